@@ -18,5 +18,7 @@ def mebibytes(delta: Column) -> Column:
     return F.bround(delta.cast("double") / F.lit(float(MEBIBYTE)), 3)
 
 
-def from_milli(c: Column) -> Column:
-    return c.cast("double") / F.lit(1000.0)
+def mean_of_milli(c: Column) -> Column:
+    """Mean of integer milli-unit readings in units.  The integers are summed
+    exactly, so the result does not depend on the order of the rows."""
+    return F.sum(c.cast("bigint")).cast("double") / F.nullif(F.count(c) * F.lit(1000.0), F.lit(0.0))

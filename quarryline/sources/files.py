@@ -9,17 +9,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from quarryline.functions.text import split_head
 
 
+def named(df: DataFrame, path: str = "path") -> DataFrame:
+    """Adds ``name`` (last part of a path) and ``stem`` (the name without its extension)."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return df.withColumns({"name": name, "stem": F.regexp_replace(name, r"\.[^.]*$", "")})
+
+
 def listing(spark: SparkSession, path: str, name_glob: str = "*") -> DataFrame:
-    """``path, name, stem, modified, bytes`` of files below a folder, contents unread."""
+    """``path, modified, bytes, name, stem`` of files below a folder, contents unread."""
     files = spark.read.format("binaryFile").options(pathGlobFilter=name_glob, recursiveFileLookup=True)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.load(path).select(
-        "path",
-        name.alias("name"),
-        F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"),
-        F.col("modificationTime").alias("modified"),
-        F.col("length").alias("bytes"),
+    found = files.load(path).select(
+        "path", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes")
     )
+    return named(found)
 
 
 def keyed(files: DataFrame, separator: str = "-", exclude: Sequence[str] = ()) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quarryline.functions.maths import from_milli, mebibytes
+from quarryline.functions.maths import mean_of_milli, mebibytes
 
 HISTORY = 50
 
@@ -47,7 +47,7 @@ def counter_rate(
 
 def sensor_mean(df: DataFrame, keys: Sequence[str | Column], milli: str, output: str = "mean") -> DataFrame:
     """Mean over the sensors of a tick, milli-units to units."""
-    return df.groupBy(*keys).agg(F.avg(from_milli(F.col(milli))).alias(output))
+    return df.groupBy(*keys).agg(mean_of_milli(F.col(milli)).alias(output))
 
 
 def metric_row(
