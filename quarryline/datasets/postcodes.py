@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,7 +13,12 @@ from quarryline.functions import casts
 from quarryline.functions.codes import recode_strict
 from quarryline.functions.geodesy import with_lonlat
 from quarryline.functions.nulls import empty_flag, sentinels_to_null
-from quarryline.operators.codebook import apply_lookup, literal_lookup, lookup_from_columns, override
+from quarryline.operators.codebook import (
+    Recode,
+    lookup_entry,
+    resolve_lookups,
+    with_labels,
+)
 from quarryline.sinks import landing
 from quarryline.sources.files import contains_member, listing
 from quarryline.sources.text import file_order, header_of, read_csv, read_csv_sidecar
@@ -139,7 +145,9 @@ CODE_COLUMNS = {
 
 
 @dataclass(frozen=True)
-class Recode:
+class Coded:
+    """One line of ``RECODED``."""
+
     source: str
     output: str
     position: int
@@ -147,15 +155,26 @@ class Recode:
     file_part: str
 
     @property
-    def lookup_key(self) -> tuple[str, int, str]:
-        return (self.file_part, self.position, self.flags)
+    def lookup_name(self) -> str:
+        """Columns with the same lookup share it; extra codes belong to one source."""
+        own = self.source if self.source in EXTRA_CODES else ""
+        return f"{self.file_part}|{self.position}|{self.flags}|{own}"
+
+    def rule(self) -> Recode:
+        return Recode(
+            self.source,
+            self.output,
+            strict=True,
+            fallback=UNKNOWN if "f" in self.flags else None,
+            null_label=UNKNOWN if "n" in self.flags else None,
+        )
 
 
-def recodes() -> list[Recode]:
+def recodes() -> list[Coded]:
     out = []
     for line in RECODED.strip().splitlines():
         source, output, position, flags, part = (x.strip() for x in line.split("|"))
-        out.append(Recode(source, output, int(position), flags, part))
+        out.append(Coded(source, output, int(position), flags, part))
     return out
 
 
@@ -182,12 +201,29 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     return frame.withColumn("_row", file_order())
 
 
-def build_lookup(spark: SparkSession, recode: Recode, file: DataFrame) -> DataFrame:
-    """``(code, label)`` of one recode: the file's two columns, then the extra codes."""
-    order = F.col("_row") if "_row" in file.columns else None
-    base = lookup_from_columns(file, 0, recode.position, order)
-    if recode.source == "itl":  # a second level sits in the next two columns
-        base = override(base, lookup_from_columns(file, 2, 3, order))
+def lookup_rows(spark: SparkSession, files: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows of every lookup in one table: each file is read once for all the
+    lookups it serves, and the extra codes come last."""
+    names = {r.lookup_name: r for r in recodes()}
+    parts = []
+    for part, file in files.items():
+        columns = file.columns
+        order = "_row" if "_row" in columns else None
+        entries = []
+        for name, r in names.items():
+            if r.file_part == part:
+                entries.append(lookup_entry(name, columns[0], columns[r.position], 0, order))
+                if r.source == "itl":  # a second level sits in the next two columns
+                    entries.append(lookup_entry(name, columns[2], columns[3], 1, order))
+        if entries:
+            parts.append(file.selectExpr(f"inline(array({', '.join(entries)}))"))
+    extras = [(name, code, label) for name, r in names.items() for code, label in _extra_codes(r).items()]
+    added = spark.createDataFrame(extras, "map string, code string, label string")
+    last = "named_struct('priority', 2, 'block', CAST(0 AS BIGINT), 'row', CAST(0 AS BIGINT)) AS at"
+    return reduce(DataFrame.union, [*parts, added.coalesce(1).selectExpr("map", "code", "label", last)])
+
+
+def _extra_codes(recode: Coded) -> dict[str, str]:
     extra = dict(EXTRA_CODES.get(recode.source, {}))
     for flag in recode.flags:
         extra.update(PSEUDO.get(flag, {}))
@@ -195,7 +231,7 @@ def build_lookup(spark: SparkSession, recode: Recode, file: DataFrame) -> DataFr
         extra[""] = UNKNOWN
     if "s" in recode.flags:
         extra[" "] = UNKNOWN
-    return override(base, literal_lookup(spark, extra)) if extra else base
+    return extra
 
 
 def direct_columns(downloaded: datetime | Column) -> dict[str, Column]:
@@ -230,26 +266,16 @@ def clean_directory(
     column needs no second join.  With ``null_island`` the placeholder
     coordinates of postcodes without a grid reference become null.
     """
-    spark, df = raw.sparkSession, raw
-    lookups: dict = {}
-    for r in recodes():
-        key = (*r.lookup_key, r.source if r.source in EXTRA_CODES else "")
-        if key not in lookups:
-            lookups[key] = build_lookup(spark, r, files[r.file_part])
-        df = apply_lookup(
-            df, r.source, lookups[key], f"_out_{r.output}",
-            strict=True,
-            fallback=UNKNOWN if "f" in r.flags else None,
-            null_label=UNKNOWN if "n" in r.flags else None,
-        )
+    resolved = resolve_lookups(lookup_rows(raw.sparkSession, files))
+    joined, labels = with_labels(raw, [(r.rule(), resolved.get(r.lookup_name, {})) for r in recodes()])
     outputs = direct_columns(downloaded)
     if null_island:
         placed = F.col("osgrdind") != "9"
         for c in ("latitude", "longitude"):
             outputs[c] = F.when(placed, outputs[c])
-    outputs |= {r.output: F.col(f"_out_{r.output}") for r in recodes()}
+    outputs |= labels
     outputs |= {name: F.col(source) for source, name in CODE_COLUMNS.items()}
-    return df.select(*[c.alias(name) for name, c in outputs.items()])
+    return joined.select(*[c.alias(name) for name, c in outputs.items()])
 
 
 def directory_columns(spark: SparkSession, path: str) -> DataFrame:

@@ -39,6 +39,7 @@ def manifest(periods: DataFrame, data_types_column: str) -> DataFrame:
     has_meta = F.year(PERIOD) >= FIRST_META_YEAR
     return periods.select(
         PERIOD,
+        types,
         F.concat(F.lit(f"{INFO_SERVER}?currentstep=region&downloadYear="), span, F.lit("&regiontype=all&la=0")).alias("url_info"),
         F.concat(
             F.lit(f"{SERVER}?download=true&regions=0&filters="), types, F.lit("&fileformat="), fmt,

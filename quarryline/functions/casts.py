@@ -6,6 +6,8 @@ cleaned table must not, so numbers pass a pattern first.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from quarryline.functions.nulls import BOOLEAN_NULL_TOKENS, sentinels_to_null, text_tokens_to_null
@@ -66,9 +68,19 @@ def clean_boolean(c: Column) -> Column:
     return strict(digits, "int").cast("boolean")
 
 
+def _shape(fmt: str) -> str:
+    """Pattern of text a format can read.  Text of another shape is passed over
+    before parsing: a failed parse costs far more than the test, and cleaned
+    columns hold many blanks."""
+    shape = re.escape(spark_pattern(fmt))
+    for letters, digits in (("yyyy", r"[0-9]{4}"), ("MMM", r"[A-Za-z]{3}"), *((x, r"[0-9]{2}") for x in ("MM", "dd", "HH", "mm", "ss"))):
+        shape = shape.replace(letters, digits)
+    return f"^{shape}$"
+
+
 def clean_date(c: Column, fmt: str) -> Column:
     """Lenient date by one format; anything unreadable is null."""
-    return F.try_to_date(c, spark_pattern(fmt))
+    return F.when(c.rlike(_shape(fmt)), F.try_to_date(c, spark_pattern(fmt)))
 
 
 def strict_date(c: Column, fmt: str) -> Column:
@@ -81,4 +93,4 @@ def clean_time(c: Column, fmt: str) -> Column:
     stamp = F.try_to_timestamp(
         F.concat(F.lit("1970-01-01 "), text), F.lit("yyyy-MM-dd " + spark_pattern(fmt))
     )
-    return F.date_format(stamp, "HH:mm:ss")
+    return F.when(text.rlike(_shape(fmt)), F.date_format(stamp, "HH:mm:ss"))

@@ -3,10 +3,11 @@
 The published Ordnance Survey method: inverse transverse Mercator on the Airy
 1830 ellipsoid, then a Helmert shift to WGS84 (accurate to a few metres).
 
-Both latitude solutions are closed forms (a footpoint series and Bowring's
-formula), not loops.  Each stage reads the previous one many times, so the
-transform is a chain of projections: as a single nested expression it would
-grow geometrically.  Every stage stays inside generated code.
+The grid latitude starts from a footpoint series, so two of the published
+correction steps reach its fixed point; the shifted latitude is Bowring's closed
+form.  Each stage reads the previous one many times, so the transform is a chain
+of projections: as a single nested expression it would grow geometrically.
+Every stage stays inside generated code.
 """
 
 from __future__ import annotations
@@ -31,9 +32,23 @@ _E2 = 1 - AIRY_B**2 / AIRY_A**2
 _W2 = 1 - WGS_B**2 / WGS_A**2
 
 
-def _arc(lat: float) -> float:
-    """Meridian arc from the equator on Airy 1830, before the scale factor."""
-    n = _N
+CORRECTIONS = 2
+
+
+def _arc(p: Column) -> Column:
+    """Scaled meridian arc from the grid's origin latitude on Airy 1830."""
+    n, d, s = _N, p - ORIGIN_LAT, p + ORIGIN_LAT
+    return AIRY_B * SCALE_F0 * (
+        (1 + n + 1.25 * n**2 + 1.25 * n**3) * d
+        - (3 * n + 3 * n**2 + 21 / 8 * n**3) * F.sin(d) * F.cos(s)
+        + 15 / 8 * (n**2 + n**3) * F.sin(2 * d) * F.cos(2 * s)
+        - 35 / 24 * n**3 * F.sin(3 * d) * F.cos(3 * s)
+    )
+
+
+def _arc_to_origin() -> float:
+    """Meridian arc from the equator to the origin latitude, unscaled."""
+    n, lat = _N, ORIGIN_LAT
     return AIRY_B * (
         (1 + n + 1.25 * n**2 + 1.25 * n**3) * lat
         - (3 * n + 3 * n**2 + 21 / 8 * n**3) * math.sin(lat) * math.cos(lat)
@@ -64,7 +79,8 @@ def _airy_stages(easting: Column, northing: Column) -> list[dict[str, Column]]:
     )
     return [
         {
-            "_mu": ((northing.cast("double") - NORTHING_0) / SCALE_F0 + _arc(ORIGIN_LAT)) / arc_scale,
+            "_north": northing.cast("double") - NORTHING_0,
+            "_mu": ((northing.cast("double") - NORTHING_0) / SCALE_F0 + _arc_to_origin()) / arc_scale,
             "_d": easting.cast("double") - EASTING_0,
         },
         {
@@ -74,6 +90,7 @@ def _airy_stages(easting: Column, northing: Column) -> list[dict[str, Column]]:
             + (151 * n**3 / 96) * F.sin(6 * mu)
             + (1097 * n**4 / 512) * F.sin(8 * mu)
         },
+        *[{"_foot": foot + (F.col("_north") - _arc(foot)) / (AIRY_A * SCALE_F0)}] * CORRECTIONS,
         {"_w": 1 - _E2 * F.sin(foot) * F.sin(foot), "_t": F.tan(foot)},
         {
             "_nu": AIRY_A * SCALE_F0 / F.sqrt("_w"),

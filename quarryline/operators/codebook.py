@@ -9,11 +9,14 @@ split by the adaptive skew join.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quarryline.functions.codes import LITERAL_MAP_LIMIT
+from quarryline.functions.codes import LITERAL_MAP_LIMIT, literal_map
 from quarryline.functions.text import replace_first
+from quarryline.plans.sizing import BROADCAST_ROWS
+from quarryline.session import pin
 
 # A code-book past this many rows is joined, never brought to the driver.
 CODEBOOK_ROWS = 10_000
@@ -50,31 +53,88 @@ def override(base: DataFrame, extra: DataFrame) -> DataFrame:
 # ---- applying lookups ------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Recode:
+    """How one column is recoded: codes missing from the lookup become ``fallback``
+    when given, else fail the job when ``strict``, else become null; a null code
+    becomes ``null_label``."""
+
+    column: str
+    output: str
+    strict: bool = False
+    fallback: str | None = None
+    null_label: str | None = None
+
+    def label(self, found: Column) -> Column:
+        code = F.col(self.column)
+        if self.fallback is not None:
+            found = F.coalesce(found, F.lit(self.fallback))
+        elif self.strict:
+            message = F.concat(F.lit(f"unmapped {self.column}: "), code.cast("string"))
+            found = F.coalesce(found, F.raise_error(message).cast("string"))
+        return F.when(code.isNull(), F.lit(self.null_label)).otherwise(found)
+
+
+def with_labels(
+    df: DataFrame, recodes: Sequence[tuple[Recode, DataFrame | Mapping[str, str]]]
+) -> tuple[DataFrame, dict[str, Column]]:
+    """The frame joined to every lookup table its recodes need, and the label
+    expressions by output name.  Mappings become literal maps and need no join;
+    recodes of one column by one table share a join."""
+    sides: dict[tuple[str, int], str] = {}
+    labels: dict[str, Column] = {}
+    for recode, lookup in recodes:
+        if isinstance(lookup, Mapping):
+            found = F.try_element_at(literal_map(lookup), F.col(recode.column).cast("string"))
+        else:
+            at = (recode.column, id(lookup))
+            if at not in sides:
+                sides[at] = f"_label{len(sides)}"
+                code = f"_code{len(sides)}"
+                side = lookup.select(F.col("code").alias(code), F.col("label").alias(sides[at]))
+                df = df.join(side, F.col(recode.column).cast("string") == F.col(code), "left")
+            found = F.col(sides[at])
+        labels[recode.output] = recode.label(found)
+    return df, labels
+
+
 def apply_lookup(
-    df: DataFrame,
-    column: str,
-    lookup: DataFrame,
-    output: str,
-    *,
-    strict: bool = False,
-    fallback: str | None = None,
-    null_label: str | None = None,
+    df: DataFrame, column: str, lookup: DataFrame | Mapping[str, str], output: str, **rules
 ) -> DataFrame:
-    """Adds ``output``: the label of ``column``'s code.
+    """Adds (or replaces) ``output``: the label of ``column``'s code; ``rules`` as in ``Recode``."""
+    joined, labels = with_labels(df, [(Recode(column, output, **rules), lookup)])
+    kept = [labels[output].alias(c) if c == output else F.col(f"`{c}`") for c in df.columns]
+    return joined.select(*kept, *([] if output in df.columns else [labels[output].alias(output)]))
+
+
+def lookup_entry(name: str, code: str, label: str, priority: int, order: str | None = None) -> str:
+    """SQL of one row of a many-lookup table: a later priority, then a later row, wins."""
+    quoted = name.replace("'", "\\'")
+    block, row = (f"{order}.block", f"{order}.row") if order else ("0", "0")
+    return (
+        f"named_struct('map', '{quoted}', 'code', CAST(`{code}` AS STRING), 'label', CAST(`{label}` AS STRING), "
+        f"'at', named_struct('priority', {priority}, 'block', CAST({block} AS BIGINT), 'row', CAST({row} AS BIGINT)))"
+    )
 
-    Codes missing from the lookup become ``fallback`` when given, else fail the
-    job when ``strict``, else become null.  A null code becomes ``null_label``.
+
+def resolve_lookups(rows: DataFrame) -> dict[str, DataFrame | dict[str, str]]:
+    """Many lookups (rows of ``lookup_entry``) at once, each as a literal map if
+    short, else as a table, marked for broadcast if it proved small.
+
+    One job reads and de-duplicates them all into a pinned table.
     """
-    side = lookup.select(F.col("code").alias("_code"), F.col("label").alias("_label"))
-    joined = df.join(side, F.col(column).cast("string") == F.col("_code"), "left")
-    label = F.col("_label")
-    if fallback is not None:
-        label = F.coalesce(label, F.lit(fallback))
-    elif strict:
-        message = F.concat(F.lit(f"unmapped {column}: "), F.col(column).cast("string"))
-        label = F.coalesce(label, F.raise_error(message).cast("string"))
-    label = F.when(F.col(column).isNull(), F.lit(null_label)).otherwise(label)
-    return joined.withColumn(output, label).drop("_code", "_label")
+    usable = rows.na.drop(subset=["code", "label"])
+    long = pin(usable.groupBy("map", "code").agg(F.max_by("label", F.struct("at", "label")).alias("label")))
+    sizes = {r["map"]: r["n"] for r in long.groupBy("map").agg(F.count(F.lit(1)).alias("n")).collect()}
+    short = [name for name, n in sizes.items() if n <= LITERAL_MAP_LIMIT]
+    out: dict[str, DataFrame | dict[str, str]] = {name: {} for name in short}
+    for row in long.filter(F.col("map").isin(*short)).collect() if short else []:
+        out[row["map"]][row["code"]] = row["label"]
+    for name, n in sizes.items():
+        if name not in out:
+            table = long.filter(F.col("map") == name).select("code", "label")
+            out[name] = F.broadcast(table) if n <= BROADCAST_ROWS else table
+    return out
 
 
 def unmapped_codes(df: DataFrame, column: str, lookup: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from quarryline.functions import casts
@@ -126,15 +128,18 @@ def _cleaned(spark, sf):
     )
 
 
-def _sql(expression: str, name: str, dirty: str) -> str:
-    return f"(SELECT list_first(list_transform([{dirty}], t -> {expression}))) AS {name}"
+def _of(column: str, expression: str) -> str:
+    """The cleaning expression of ``t`` applied to another column."""
+    return re.sub(r"\bt\b", column, expression)
 
 
 _CLEAN_SQL = f"""SELECT event_id, nullif(number, -1) AS number, number * 2 AS twice, ratio, flag, code, day, moment, text FROM (
-    SELECT event_id, {_sql(_TEXT_SQL, 'text', _DIRTY)}, {_sql(_INT_SQL, 'number', _NUMBER)},
-        {_sql(f"CAST({_FLOAT_SQL} AS DOUBLE)", 'ratio', _NUMBER)}, {_sql(_FLAG_SQL, 'flag', _FLAG)},
-        CASE {_CODE} WHEN '1' THEN 'Click' WHEN '2' THEN 'View' END AS code,
-        {_sql(_DATE_SQL, 'day', _DUCK_DATE)}, {_sql(_TIME_SQL, 'moment', _DUCK_TIME)} FROM events)"""
+    SELECT event_id, {_of('words', _TEXT_SQL)} AS text, {_of('digits', _INT_SQL)} AS number,
+        CAST({_of('digits', _FLOAT_SQL)} AS DOUBLE) AS ratio, {_of('flags', _FLAG_SQL)} AS flag,
+        CASE codes WHEN '1' THEN 'Click' WHEN '2' THEN 'View' END AS code,
+        {_of('days', _DATE_SQL)} AS day, {_of('moments', _TIME_SQL)} AS moment
+    FROM (SELECT event_id, {_DIRTY} AS words, {_NUMBER} AS digits, {_FLAG} AS flags, {_CODE} AS codes, {_DUCK_DATE} AS days,
+        {_DUCK_TIME} AS moments FROM events))"""
 
 
 @query("cst_clean_table", _CLEAN_SQL)

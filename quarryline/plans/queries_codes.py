@@ -115,11 +115,11 @@ def map_null_key(spark, sf):
 
 @query(
     "map_union",
-    """WITH both AS (SELECT n_name AS code, 'nation' AS level FROM nation
+    """WITH levels AS (SELECT n_name AS code, 'nation' AS level FROM nation
         UNION ALL SELECT r_name, 'region' FROM region)
        SELECT c_custkey, place, level FROM (SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN r_name ELSE n_name END AS place
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
-       LEFT JOIN both ON place = code""",
+       LEFT JOIN levels ON place = code""",
 )
 def map_union(spark, sf):
     """Codes of two levels in one column, mapped by the union of two lookups."""

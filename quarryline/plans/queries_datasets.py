@@ -147,7 +147,7 @@ _CRIMES = f"""SELECT CAST(event_id AS VARCHAR(20)) AS `Crime ID`, {{month}} AS `
     {_pick(_QUOTED_FORCES, 'event_id')} AS `Falls within`, CAST(value / 8 AS VARCHAR(30)) AS `Longitude`,
     CASE WHEN event_type = 'error' THEN NULL ELSE '51.5' END AS `Latitude`, 'On or near ' || event_type AS `Location`,
     'E0' || CAST(user_id AS VARCHAR(9)) AS `LSOA code`, CASE WHEN event_type = 'view' THEN '' ELSE 'Area' END AS `LSOA name`,
-    {_pick(list(street_crime.CRIME_CODES), 'event_id')} AS `Crime type`, NULL AS `Last outcome category`, props AS `Context` FROM {{{{events}}}}"""
+    {_pick(list(street_crime.CRIME_CODES), 'event_id')} AS `Crime type`, CAST(NULL AS STRING) AS `Last outcome category`, props AS `Context` FROM {{{{events}}}}"""
 
 
 def _slugged(values, key: str) -> str:
@@ -167,7 +167,7 @@ def _slugged(values, key: str) -> str:
 def etl_street_crime(spark, sf):
     raw = spark.sql(_CRIMES.format(month="date_format(ts, 'yyyy-MM')").format(events="{events}"), events=table(spark, sf, "events"))
     path = scratch_path(spark, "crimes")
-    raw.write.option("header", True).csv(path)
+    raw.write.options(header=True, escape='"').csv(path)
     crimes = street_crime.clean(read_csv(spark, path, street_crime.RAW_COLUMNS), _DOWNLOADED)
     return crimes.withColumns({c: F.col(c).cast("double") for c in ("longitude", "latitude")})
 

@@ -24,7 +24,7 @@ _REMARK = """CASE WHEN c_mktsegment = 'BUILDING' THEN '' WHEN c_mktsegment = 'MA
 def src_csv_strings(spark, sf):
     path = scratch_path(spark, "customer-csv")
     customer = table(spark, sf, "customer").select("c_custkey", "c_acctbal", F.expr(_REMARK).alias("remark"))
-    customer.write.option("header", True).csv(path)
+    customer.write.options(header=True, escape='"').csv(path)
     return text.read_csv(spark, path, ["c_custkey", "c_acctbal", "remark"])
 
 
@@ -235,8 +235,8 @@ def src_latest(spark, sf):
     "src_html_attrs",
     r"""SELECT page_id, array_to_string(list_sort(list_distinct(list_transform(
             list_filter(regexp_extract_all(html, '(?i)<a\b([^>]*)>', 1),
-                t -> regexp_matches(' ' || t, '(?i)\shref\s*=\s*["'']([^"'']*)["'']')),
-            t -> upper(regexp_extract(' ' || t, '(?i)\shref\s*=\s*["'']([^"'']*)["'']', 1))))), ',') AS links
+                lambda t: regexp_matches(' ' || t, '(?i)\shref\s*=\s*["'']([^"'']*)["'']')),
+            lambda t: upper(replace(regexp_extract(' ' || t, '(?i)\shref\s*=\s*["'']([^"'']*)["'']', 1), 'ß', 'ss'))))), ',') AS links
         FROM pages""",
 )
 def src_html_attrs(spark, sf):

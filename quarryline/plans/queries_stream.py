@@ -9,7 +9,7 @@ from quarryline.session import scratch_path
 from quarryline.streaming import metrics, stateful
 
 # A counter in bytes that rises with the event number.
-_READING = "event_id * 100000 + CAST(value * 100 AS BIGINT) * 1000"
+_READING = "event_id * 100000 + CAST(round(value * 100) AS BIGINT) * 1000"
 _RATE_SQL = f"""SELECT event_id, user_id, round_even(CAST(r - lag(r) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS DOUBLE) / 1048576.0, 3) AS rate
     FROM (SELECT event_id, user_id, ts, {_READING} AS r FROM events)"""
 

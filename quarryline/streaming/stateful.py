@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructType, TimestampType
 
 from quarryline.sinks.paths import matching_paths
 from quarryline.streaming.metrics import HISTORY, latest_state
@@ -47,7 +47,7 @@ def counter_rate_stream(
 
 def last_n_stream(stream: DataFrame, key: str, at: str, value: str, n: int = HISTORY) -> DataFrame:
     """The last ``n`` points of each series after every batch (update mode)."""
-    out = StructType([stream.schema[key]]).add("times", "array<timestamp>").add("points", "array<double>")
+    out = StructType([stream.schema[key]]).add("times", ArrayType(TimestampType())).add("points", ArrayType(DoubleType()))
 
     def step(group, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         times, points = state.get if state.exists else ([], [])
