@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 
@@ -54,14 +56,19 @@ def harvest_any(html: Column, element: str, attribute: str) -> Column:
 
 
 def _attribute_pattern(name: str, value: str) -> str:
-    return rf"""(?i)\s{name}\s*=\s*["']?(?-i:{value})["'\s/]?"""
+    exact = f"(?-i:{re.escape(value)})"
+    return rf"""(?i)\s{name}\s*=\s*(?:"{exact}"|'{exact}'|{exact}(?=[\s/]|$))"""
 
 
 def _join_values(tags: Column, attribute: str) -> Column:
-    pattern = rf"""(?i)\s{attribute}\s*=\s*["']([^"']*)["']"""
+    pattern = rf"""(?i)\s{attribute}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+
+    def value(tag: Column) -> Column:
+        spaced = F.concat(F.lit(" "), tag)
+        return F.upper(F.concat(F.regexp_extract(spaced, pattern, 1), F.regexp_extract(spaced, pattern, 2)))
+
     present = F.filter(tags, lambda t: F.concat(F.lit(" "), t).rlike(pattern))
-    values = F.transform(present, lambda t: F.upper(F.regexp_extract(F.concat(F.lit(" "), t), pattern, 1)))
-    return F.array_join(F.array_sort(F.array_distinct(values)), ",")
+    return F.array_join(F.array_sort(F.array_distinct(F.transform(present, value))), ",")
 
 
 def header_names(columns: list[str], style: str) -> dict[str, str]:

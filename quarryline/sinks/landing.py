@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarryline.sinks.paths import exists, matching_paths
+from quarryline.sinks.paths import exists, matching_paths, remove_file, touch
+
+MARKER = "_SUCCESS"
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -15,10 +17,14 @@ def write_periods(df: DataFrame, path: str, period: str) -> None:
     """One folder per period.  Only periods present in ``df`` are replaced.
 
     The rebalance hint lets adaptive execution join small periods' pieces and
-    split a period that holds much of the data over several files.
+    split a period that holds much of the data over several files.  Periods are
+    written aside and moved in whole, so a folder that exists is a whole period;
+    the completion marker of the table is absent while the job runs.
     """
-    spread = df.hint("rebalance", period)
+    spark, spread = df.sparkSession, df.hint("rebalance", period)
+    remove_file(spark, f"{path}/{MARKER}")
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
+    touch(spark, f"{path}/{MARKER}")
 
 
 def landed_periods(spark: SparkSession, path: str, period: str) -> DataFrame:
@@ -44,8 +50,8 @@ def land(rows: DataFrame, wanted: DataFrame, path: str, period: str) -> DataFram
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
-    """True when the writing job committed: its ``_SUCCESS`` marker exists."""
-    return exists(spark, f"{path}/_SUCCESS")
+    """True when the writing job committed: its marker file exists."""
+    return exists(spark, f"{path}/{MARKER}")
 
 
 def read_complete(spark: SparkSession, path: str) -> DataFrame:

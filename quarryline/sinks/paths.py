@@ -5,14 +5,29 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+def _located(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching a glob, sorted; also finds the marker files scans leave out."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(pattern)
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    target, system = _located(spark, pattern)
     found = system.globStatus(target)
     return sorted(s.getPath().toString() for s in found) if found else []
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     return bool(matching_paths(spark, path))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file, replacing an older one."""
+    target, system = _located(spark, path)
+    system.create(target, True).close()
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    """Remove one marker file if it is there."""
+    target, system = _located(spark, path)
+    system.delete(target, False)
