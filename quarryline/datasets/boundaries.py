@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from quarryline.operators import calendars, quality
 from quarryline.operators.spatial import ring_edges, rings, simplify_rings
 from quarryline.sources.files import SERVICE_ROW, latest, listing, payload_rows, read_geojson
+from quarryline.sources.literal import literal_table
 
 # Layer, short name and service name of every published layer.
 LAYERS = """
@@ -92,8 +93,8 @@ CATALOGUE = {line.split()[0]: Layer(*line.split()) for line in LAYERS.strip().sp
 
 def catalogue(spark: SparkSession) -> DataFrame:
     rows = [(x.name, x.short_name, x.service, x.key, x.rows_per_request) for x in CATALOGUE.values()]
-    return spark.createDataFrame(
-        rows, "layer string, short_name string, service string, key string, rows_per_request int"
+    return literal_table(
+        spark, rows, "layer string, short_name string, service string, key string, rows_per_request int"
     )
 
 

@@ -21,6 +21,7 @@ from quarryline.operators.codebook import (
 )
 from quarryline.sinks import landing
 from quarryline.sources.files import contains_member, listing
+from quarryline.sources.literal import literal_table
 from quarryline.sources.text import file_order, header_of, read_csv, read_csv_sidecar
 
 UNKNOWN = "Unknown"
@@ -218,9 +219,9 @@ def lookup_rows(spark: SparkSession, files: Mapping[str, DataFrame]) -> DataFram
         if entries:
             parts.append(file.selectExpr(f"inline(array({', '.join(entries)}))"))
     extras = [(name, code, label) for name, r in names.items() for code, label in _extra_codes(r).items()]
-    added = spark.createDataFrame(extras, "map string, code string, label string")
+    added = literal_table(spark, extras, "map string, code string, label string")
     last = "named_struct('priority', 2, 'block', CAST(0 AS BIGINT), 'row', CAST(0 AS BIGINT)) AS at"
-    return reduce(DataFrame.union, [*parts, added.coalesce(1).selectExpr("map", "code", "label", last)])
+    return reduce(DataFrame.union, [*parts, added.selectExpr("map", "code", "label", last)])
 
 
 def _extra_codes(recode: Coded) -> dict[str, str]:

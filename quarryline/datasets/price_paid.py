@@ -13,6 +13,7 @@ from quarryline.functions.text import trim_spaces
 from quarryline.operators import aggregates, calendars, joins, orderstats
 from quarryline.operators.rows import sort_coded
 from quarryline.sinks import landing
+from quarryline.sources.literal import literal_table
 from quarryline.sources.text import read_csv
 
 # The sixteen fields of a raw line, in order.
@@ -60,7 +61,7 @@ def unknown_codes(raw: DataFrame) -> DataFrame:
 
 
 def years(spark: SparkSession, as_of: date) -> DataFrame:
-    frame = spark.createDataFrame([(as_of,)], "as_of date")
+    frame = literal_table(spark, [(as_of,)], "as_of date")
     return calendars.years(frame, F.lit(FIRST_YEAR), F.col("as_of"), PERIOD).select(PERIOD)
 
 

@@ -12,6 +12,7 @@ from quarryline.operators import aggregates
 from quarryline.operators.codebook import CodeBook, read_codebook
 from quarryline.operators.loader import clean_table
 from quarryline.sinks import landing
+from quarryline.sources.literal import literal_table
 from quarryline.sources.text import header_of, read_csv
 
 
@@ -135,7 +136,7 @@ TABLES = tuple(SCHEMAS)
 def manifest(spark: SparkSession, server: str = SERVER) -> DataFrame:
     name = "dft-road-casualty-statistics-{}-1979-latest-published-year.csv"
     rows = [(t, f"{server}/{name.format(t)}", f"{t}-1979-latest-published-year.csv") for t in TABLES]
-    return spark.createDataFrame(rows, "table string, url string, file_name string")
+    return literal_table(spark, rows, "table string, url string, file_name string")
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:

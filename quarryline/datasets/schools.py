@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quarryline.functions.dates import academic_year
 from quarryline.functions.text import harvest_attribute
 from quarryline.operators import calendars
+from quarryline.sources.literal import literal_table
 
 FIRST_YEAR = "1992-01-01"
 # Years that were never published.
@@ -21,7 +22,7 @@ PERIOD = "period"
 
 
 def years(spark: SparkSession, as_of: date) -> DataFrame:
-    frame = spark.createDataFrame([(as_of,)], "as_of date")
+    frame = literal_table(spark, [(as_of,)], "as_of date")
     spine = calendars.years(frame, F.lit(FIRST_YEAR), F.add_months("as_of", -12), PERIOD)
     return calendars.without(spine, PERIOD, MISSING_YEARS).select(PERIOD)
 

@@ -14,6 +14,7 @@ from quarryline.operators import calendars, joins
 from quarryline.operators.quality import digest_state
 from quarryline.sinks import landing
 from quarryline.sources.files import is_member
+from quarryline.sources.literal import literal_table
 from quarryline.sources.text import read_csv
 
 # Police forces as written in the files; labels follow ``slug``.
@@ -138,7 +139,7 @@ def clean(raw: DataFrame, downloaded: datetime | Column) -> DataFrame:
 
 
 def months(spark: SparkSession, as_of: date) -> DataFrame:
-    frame = spark.createDataFrame([(as_of,)], "as_of date")
+    frame = literal_table(spark, [(as_of,)], "as_of date")
     end = F.add_months("as_of", -MONTHS_BEHIND)
     return calendars.months(frame, F.lit(FIRST_MONTH), end, PERIOD).select(PERIOD)
 
@@ -154,7 +155,7 @@ def archive_name(start: Column, end: Column, as_of: Column) -> Column:
 def archives(spark: SparkSession) -> DataFrame:
     """``seq, label, start, end, expected`` of the closed archives."""
     rows = [(i, f"{a}_{b}", a, b, digest) for i, ((a, b), digest) in enumerate(ARCHIVES.items())]
-    frame = spark.createDataFrame(rows, "seq int, label string, start string, end string, expected string")
+    frame = literal_table(spark, rows, "seq int, label string, start string, end string, expected string")
     return frame.withColumns({c: casts.strict_date(F.col(c), "%Y-%m") for c in ("start", "end")})
 
 

@@ -17,6 +17,7 @@ from quarryline.functions.codes import LITERAL_MAP_LIMIT, literal_map
 from quarryline.functions.text import replace_first
 from quarryline.plans.sizing import BROADCAST_ROWS
 from quarryline.session import pin
+from quarryline.sources.literal import literal_table
 
 # A code-book past this many rows is joined, never brought to the driver.
 CODEBOOK_ROWS = 10_000
@@ -41,7 +42,7 @@ def lookup_from_columns(
 
 
 def literal_lookup(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
-    return spark.createDataFrame(list(mapping.items()), "code string, label string")
+    return literal_table(spark, list(mapping.items()), "code string, label string")
 
 
 def override(base: DataFrame, extra: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from quarryline.sources.literal import literal_table
+
 
 def left_lookup(df: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Left equi-join on one key with the right side projected first.  Null keys
@@ -81,5 +83,5 @@ def as_integer_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def inline_intervals(spark, rows: Mapping[str, tuple[str, str]]) -> DataFrame:
     """``label -> (start, end)`` as the small interval table the join expects."""
     data = [(i, label, *span) for i, (label, span) in enumerate(rows.items())]
-    frame = spark.createDataFrame(data, "seq int, label string, start string, end string")
+    frame = literal_table(spark, data, "seq int, label string, start string, end string")
     return frame.withColumns({c: F.to_date(c, "yyyy-MM") for c in ("start", "end")})

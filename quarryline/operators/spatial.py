@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quarryline.plans.sizing import small_side
+from quarryline.session import pin
 
 RING = "array<array<double>>"
 
@@ -41,6 +42,10 @@ def ring_edges(ring_table: DataFrame, keys: Sequence[str]) -> DataFrame:
 # ---- containment -----------------------------------------------------------
 
 
+# Edges of four doubles: about 16 MB.
+BROADCAST_EDGES = 500_000
+
+
 def edge_cells(edges: DataFrame, boundary: str, cell: float) -> DataFrame:
     """Per (cell row, cell column, boundary): the edges a ray to the right from any
     point of that cell can meet, or that can hold such a point.
@@ -91,18 +96,20 @@ def points_in_boundaries(
     by the even-odd rule; a point on an edge is outside).
 
     An equi-join on the grid cell: a point meets only boundaries present in its
-    own cell and only the edges that matter there.  The edge side is broadcast
-    if it proves small; otherwise a hot cell of points is split by the adaptive
-    skew join.
+    own cell and only the edges that matter there.  The edge side is built once
+    and broadcast if it proves small; otherwise a hot cell of points is split by
+    the adaptive skew join.
     """
-    index = edge_cells(edges, boundary, cell).withColumnsRenamed({boundary: "_boundary"})
+    index = pin(edge_cells(edges, boundary, cell).withColumnsRenamed({boundary: "_boundary"}))
+    held = index.agg(F.sum(F.size("_edges"))).first()[0] or 0
+    side = F.broadcast(index) if held <= BROADCAST_EDGES else index
     located = points.withColumns(
         {
             "_row": F.floor(F.col(y) / F.lit(cell)).cast("bigint"),
             "_col": F.floor(F.col(x) / F.lit(cell)).cast("bigint"),
         }
     )
-    joined = located.join(small_side(index), ["_row", "_col"])
+    joined = located.join(side, ["_row", "_col"])
     inside = joined.filter(_strictly_inside(F.col(x), F.col(y), F.col("_edges")))
     return inside.select(*points.columns, F.col("_boundary").alias(boundary))
 
@@ -154,12 +161,12 @@ def kernel_density(
     det = F.col("_vx") * F.col("_vy") - F.col("_vxy") * F.col("_vxy")
     # Inverse of the scaled 2x2 covariance, halved: the exponent's coefficients.
     scale = F.when(det > 0, 0.5 / (det * factor))
-    shapes = stats.select(
+    shapes = pin(stats.select(
         *keys, "min_x", "max_x", "min_y", "max_y",
         (F.col("_vy") * scale).alias("_a"),
         (-F.col("_vxy") * scale).alias("_b"),
         (F.col("_vx") * scale).alias("_c"),
-    )
+    ))
     cells = grid(shapes.select(*keys, "min_x", "max_x", "min_y", "max_y"), n).select(*keys, "cell", "i", "j", "x", "y")
 
     weighted = points.groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).cast("double").alias("_w"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quarryline.functions import casts
 from quarryline.operators import codebook, loader
 from quarryline.plans.registry import query, table
+from quarryline.sources.literal import literal_table
 
 # Junk and good text by event, the same expression in both engines.
 _DIRTY = """CASE event_id % 12 WHEN 0 THEN 'null' WHEN 1 THEN 'NULL' WHEN 2 THEN 'None' WHEN 3 THEN 'NONE'
@@ -91,7 +92,7 @@ def cst_time(spark, sf):
 
 def _book(spark):
     rows = [("events", "code", "-1", "Missing"), ("events", "code", "1", "Click"), ("events", "code", "2", "View")]
-    return spark.createDataFrame(rows, "table string, field string, code string, label string")
+    return literal_table(spark, rows, "table string, field string, code string, label string")
 
 
 @query(

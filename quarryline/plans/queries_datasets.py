@@ -12,6 +12,7 @@ from quarryline.operators import calendars
 from quarryline.operators.codebook import CodeBook, read_codebook
 from quarryline.plans.registry import query, table
 from quarryline.session import scratch_path
+from quarryline.sources.literal import literal_table
 from quarryline.sources.text import read_csv
 
 _DOWNLOADED = datetime(2024, 11, 1)
@@ -194,6 +195,9 @@ _COLLISIONS_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS accident_index, CAST(
         CASE WHEN o_orderpriority <> '5-LOW' THEN split_part(o_orderpriority, '-', 2) END AS enhanced_severity_collision FROM orders)"""
 
 
+_BOOK_COLUMNS = "table string, `field name` string, `code/format` string, label string"
+
+
 def _collision_book(spark, orders) -> CodeBook:
     """Severity is fixed; the detail codes are those the orders hold, -1 for missing."""
     names = ["table", "field name", "code/format", "label"]
@@ -203,7 +207,7 @@ def _collision_book(spark, orders) -> CodeBook:
         F.when(F.col("o_orderpriority") == "5-LOW", "-1").otherwise(F.substring("o_orderpriority", 1, 1)).alias(names[2]),
         F.split_part("o_orderpriority", F.lit("-"), F.lit(2)).alias(names[3]),
     )
-    book = spark.createDataFrame(fixed, [*names]).unionByName(detail)
+    book = literal_table(spark, fixed, _BOOK_COLUMNS).unionByName(detail)
     return CodeBook(read_codebook(book).filter(F.col("table") == "collision"), drop_missing_code=True)
 
 
@@ -249,7 +253,7 @@ def etl_road_casualty(spark, sf):
         (F.col("l_quantity").cast("int") - 2).cast("string").alias("age_of_casualty"),
     )
     rows = [("casualty", f, c, v) for f, codes in _CASUALTY_BOOK.items() for c, v in codes.items()]
-    book = spark.createDataFrame(rows, ["table", "field name", "code/format", "label"])
+    book = literal_table(spark, rows, _BOOK_COLUMNS)
     return road_collisions.clean(raw, "casualty", road_collisions.load_codebook(book, "casualty"))
 
 
@@ -339,7 +343,7 @@ def etl_code_point(spark, sf):
     )
     path = scratch_path(spark, "code-point")
     raw.write.csv(f"{path}/data")
-    sidecar = spark.createDataFrame([("PC,EA,NO",), ("Postcode,Eastings,Northings",)], "value string")
+    sidecar = literal_table(spark, [("PC,EA,NO",), ("Postcode,Eastings,Northings",)], "value string")
     sidecar.coalesce(1).write.text(f"{path}/doc")
     placed = postcodes.clean_code_point(postcodes.read_code_point(spark, f"{path}/data", f"{path}/doc"))
     inside = F.col("Longitude").between(-9, 3) & F.col("Latitude").between(49, 61)

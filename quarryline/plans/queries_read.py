@@ -9,7 +9,7 @@ from quarryline.operators.codebook import read_codebook
 from quarryline.operators.spatial import ring_edges, rings
 from quarryline.plans.registry import query, table
 from quarryline.session import scratch_path
-from quarryline.sources import files, text
+from quarryline.sources import files, literal, text
 
 # A quoted empty field, a missing field and plain text in one column.
 _REMARK = """CASE WHEN c_mktsegment = 'BUILDING' THEN '' WHEN c_mktsegment = 'MACHINERY' THEN NULL
@@ -69,7 +69,7 @@ def src_csv_glob(spark, sf):
 def src_sidecar_header(spark, sf):
     path = scratch_path(spark, "supplier-sidecar")
     table(spark, sf, "supplier", "s_suppkey", "s_name", "s_acctbal").write.csv(f"{path}/data")
-    names = spark.createDataFrame([("SU,NA,BA",), ("Supplier,Name,Balance",)], "value string")
+    names = literal.literal_table(spark, [("SU,NA,BA",), ("Supplier,Name,Balance",)], "value string")
     names.coalesce(1).write.text(f"{path}/doc")
     return text.read_csv_sidecar(spark, f"{path}/data", f"{path}/doc")
 
@@ -108,7 +108,7 @@ def src_parquet_partitioned(spark, sf):
        ON e.event_type = m.kind GROUP BY 1""",
 )
 def src_inline(spark, sf):
-    meanings = text.inline(spark, {"kind": ["click", "purchase", "signup"], "meaning": [1, 2.5, "x"]})
+    meanings = literal.inline(spark, {"kind": ["click", "purchase", "signup"], "meaning": [1, 2.5, "x"]})
     events = table(spark, sf, "events", "event_type")
     named = events.join(meanings, F.col("event_type") == F.col("kind"), "left")
     return named.groupBy(F.coalesce("meaning", F.lit("other")).alias("meaning")).agg(F.count(F.lit(1)).alias("n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarryline.sinks.paths import exists, matching_paths, remove_file, touch
+from quarryline.sources.literal import literal_table
 
 MARKER = "_SUCCESS"
 
@@ -30,7 +31,7 @@ def write_periods(df: DataFrame, path: str, period: str) -> None:
 def landed_periods(spark: SparkSession, path: str, period: str) -> DataFrame:
     """Periods already in the table, read off its folder names (no file is opened)."""
     found = [p.rsplit("=", 1)[1] for p in matching_paths(spark, f"{path}/{period}=*")]
-    dates = spark.createDataFrame([(p,) for p in found], f"{period} string")
+    dates = literal_table(spark, [(p,) for p in found], f"{period} string")
     return dates.select(F.try_to_date(period).alias(period)).na.drop()
 
 
@@ -46,7 +47,7 @@ def land(rows: DataFrame, wanted: DataFrame, path: str, period: str) -> DataFram
     todo = [r[0] for r in missing.collect()]  # a calendar: years or months, not data
     if todo:
         write_periods(rows.filter(F.col(period).isin(*todo)), path, period)
-    return spark.createDataFrame([(p,) for p in todo], f"{period} date")
+    return literal_table(spark, [(p,) for p in todo], f"{period} date")
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:

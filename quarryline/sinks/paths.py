@@ -27,6 +27,12 @@ def touch(spark: SparkSession, path: str) -> None:
     system.create(target, True).close()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote, with its files."""
+    target, system = _located(spark, path)
+    system.delete(target, True)
+
+
 def remove_file(spark: SparkSession, path: str) -> None:
     """Remove one marker file if it is there."""
     target, system = _located(spark, path)

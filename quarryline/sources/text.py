@@ -63,9 +63,3 @@ def profile_types(spark: SparkSession, paths, sampling_ratio: float = 0.01) -> d
     """Types Spark would infer from a sample: a help for writing a declaration."""
     reader = spark.read.options(header=True, inferSchema=True, samplingRatio=sampling_ratio)
     return dict(reader.csv(paths).dtypes)
-
-
-def inline(spark: SparkSession, data: Mapping[str, Sequence]) -> DataFrame:
-    """A small literal table of mixed values, as text."""
-    columns = [[None if v is None else str(v) for v in values] for values in data.values()]
-    return spark.createDataFrame(list(zip(*columns, strict=True)), text_schema(list(data)))

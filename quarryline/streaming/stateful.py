@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import ArrayType, DoubleType, StructType, TimestampType
 
-from quarryline.sinks.paths import matching_paths
+from quarryline.sinks.paths import matching_paths, remove_folder
 from quarryline.streaming.metrics import HISTORY, latest_state
 
 MEBIBYTE = 1_048_576
@@ -64,12 +64,14 @@ def last_n_stream(stream: DataFrame, key: str, at: str, value: str, n: int = HIS
     return stream.groupBy(key).applyInPandasWithState(step, out, state_type, "update", GroupStateTimeout.NoTimeout)
 
 
-def snapshot_writer(path: str, keys: Sequence[str], at: Sequence[str], columns: Sequence[str]) -> Callable:
+def snapshot_writer(
+    path: str, keys: Sequence[str], at: Sequence[str], columns: Sequence[str], keep: int = 3
+) -> Callable:
     """``foreachBatch`` function keeping the newest row per key under ``path``.
 
     Batch b reads the newest complete snapshot before b and writes its own
     folder, so a repeated batch gives the same result and keys absent from a
-    batch are kept.
+    batch are kept.  Only the last ``keep`` snapshots stay.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -78,6 +80,8 @@ def snapshot_writer(path: str, keys: Sequence[str], at: Sequence[str], columns:
         if held is not None:
             rows = rows.unionByName(held.select(*keys, *columns))
         latest_state(rows, keys, at, columns).write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+        for old in _complete_batches(batch.sparkSession, path)[:-keep]:
+            remove_folder(batch.sparkSession, old)
 
     return write
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarryline.functions import casts, dates, maths, nulls, text
 from quarryline.operators import loader
 from quarryline.operators.codebook import CodeBook
-from quarryline.sources.text import inline
+from quarryline.sources.literal import inline
 
 T = F.col("t")
 

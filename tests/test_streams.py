@@ -115,6 +115,10 @@ def test_snapshot_keeps_absent_keys_and_repeats_safely(spark, tmp_path):
         write(second, 1)
     got = {r["host"]: r["bytes"] for r in stateful.read_snapshot(spark, path).collect()}
     assert got == {"a": 11, "b": 20}
+    for batch_id in range(2, 7):
+        write(first.filter("host = 'b'"), batch_id)
+    assert len(list((tmp_path / "snap").glob("batch=*"))) == 3
+    assert {r["host"]: r["bytes"] for r in stateful.read_snapshot(spark, path).collect()} == got
 
 
 def test_latest_row_as_json(spark):
