@@ -19,6 +19,17 @@ FLOAT_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?([nN
 _STRFTIME = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss", "%b": "MMM"}
 
 
+_SHAPES = {
+    "yyyy": r"[0-9]{4}",
+    "MMM": r"[A-Za-z]{3}",
+    "MM": r"(0[1-9]|1[0-2])",
+    "dd": r"(0[1-9]|[12][0-9]|3[01])",
+    "HH": r"([01][0-9]|2[0-3])",
+    "mm": r"[0-5][0-9]",
+    "ss": r"[0-5][0-9]",
+}
+
+
 def spark_pattern(fmt: str) -> str:
     """``%d/%m/%Y`` and ``dd/MM/yyyy`` are both accepted; the latter is returned."""
     for part, letters in _STRFTIME.items():
@@ -73,7 +84,7 @@ def _shape(fmt: str) -> str:
     before parsing: a failed parse costs far more than the test, and cleaned
     columns hold many blanks."""
     shape = re.escape(spark_pattern(fmt))
-    for letters, digits in (("yyyy", r"[0-9]{4}"), ("MMM", r"[A-Za-z]{3}"), *((x, r"[0-9]{2}") for x in ("MM", "dd", "HH", "mm", "ss"))):
+    for letters, digits in _SHAPES.items():
         shape = shape.replace(letters, digits)
     return f"^{shape}$"
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # Rows of a narrow side (keys plus a few numbers): about 10 MB.
 BROADCAST_ROWS = 100_000
@@ -17,26 +17,13 @@ BROADCAST_ROWS = 100_000
 ROWS_IN_ONE_TASK = 1_000_000
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when the table has at most ``max_rows``; stops reading once it knows."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table marked for broadcast if it proves small, else unchanged (a
+def small_side(pinned: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A pinned table marked for broadcast if it proves small, else unchanged (a
     shuffled join, where adaptive execution splits hot keys)."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    return F.broadcast(pinned) if pinned.count() <= max_rows else pinned
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows in the largest group: one map-side combined count, one row back."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return counts.agg(F.max("n")).first()[0] or 0
-
-
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality of all keys, so a null group finds its own row."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
