@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quarryline.functions import casts
+from quarryline.functions import casts, dates
 from quarryline.functions.codes import recode_strict
 from quarryline.functions.geodesy import with_lonlat
 from quarryline.functions.nulls import empty_flag, sentinels_to_null
@@ -237,7 +237,6 @@ def _extra_codes(recode: Coded) -> dict[str, str]:
 
 def direct_columns(downloaded: datetime | Column) -> dict[str, Column]:
     """Output columns that need no lookup."""
-    stamp = downloaded if isinstance(downloaded, Column) else F.lit(downloaded)
     blank_to_null = {c: sentinels_to_null(F.col(c), [""]) for c in ("oseast1m", "osnrth1m")}
     return {
         "postcode": F.col("pcds"),
@@ -254,7 +253,7 @@ def direct_columns(downloaded: datetime | Column) -> dict[str, Column]:
         "postcode_user_type": recode_strict(F.col("usertype"), USER_TYPE, "usertype"),
         "country": recode_strict(F.col("ctry"), COUNTRY, "ctry"),
         "index_of_multiple_deprivation": sentinels_to_null(casts.strict(F.col("imd"), "int"), [0]),
-        "datetime_download": stamp.cast("timestamp_ntz"),
+        "datetime_download": dates.stamp(downloaded),
     }
 
 

@@ -48,9 +48,8 @@ def clean(raw: DataFrame, downloaded: datetime | Column) -> DataFrame:
         "postcode": trim_spaces(F.col("postcode")),
         **{name: recode_strict(F.col(name), codes, name) for name, codes in CODES.items()},
     }
-    stamp = downloaded if isinstance(downloaded, Column) else F.lit(downloaded)
     return raw.select(
-        *[special.get(c, F.col(c)).alias(c) for c in COLUMNS], stamp.cast("timestamp_ntz").alias("datetime_download")
+        *[special.get(c, F.col(c)).alias(c) for c in COLUMNS], dates.stamp(downloaded).alias("datetime_download")
     )
 
 

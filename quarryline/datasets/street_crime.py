@@ -7,7 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quarryline.functions import casts
+from quarryline.functions import casts, dates
 from quarryline.functions.codes import recode_strict, slug
 from quarryline.functions.nulls import pair_mismatch
 from quarryline.operators import calendars, joins
@@ -119,7 +119,6 @@ def read_raw(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 def clean(raw: DataFrame, downloaded: datetime | Column) -> DataFrame:
     """Typed and coded crimes; an unknown force or type fails the job."""
     month = casts.strict_date(F.col("Month"), "%Y-%m")
-    stamp = downloaded if isinstance(downloaded, Column) else F.lit(downloaded)
     return raw.select(
         F.col("Crime ID").alias("id_crime"),
         month.alias("month"),
@@ -134,7 +133,7 @@ def clean(raw: DataFrame, downloaded: datetime | Column) -> DataFrame:
         recode_strict(F.col("Crime type"), CRIME_CODES, "Crime type").alias("crime_type"),
         F.col("Last outcome category").alias("last_outcome_category"),
         F.col("Context").alias("context"),
-        stamp.cast("timestamp_ntz").alias("datetime_download"),
+        dates.stamp(downloaded).alias("datetime_download"),
     )
 
 

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, functions as F
 
 from quarryline.functions.casts import spark_pattern
 
 
+def stamp(value: datetime | Column) -> Column:
+    """A moment without a time zone: the same wall clock under any session zone."""
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def month_start(c: Column) -> Column:
     return F.trunc(c, "month")
 

@@ -4,16 +4,17 @@ Spark's ``percentile`` and ``median`` keep every distinct value of a group in
 one task, and ``percentile_approx`` is not exact.  Two exact plans are used:
 
 * every group proves small: count per (group, value), then a running count;
-* otherwise: one mergeable sketch per group brackets each wanted rank, a second
-  pass counts only what lies below, inside and between brackets, and the
-  running count sees just the inside of the brackets.  The table itself is
-  never shuffled and no task holds a hot group.
+* otherwise: one mergeable sketch per large group brackets each wanted rank, a
+  second pass counts what lies inside the brackets value by value and what lies
+  between them in bulk, and the running count sees just that.  A large group is
+  never shuffled whole and no task holds one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -60,37 +61,43 @@ def order_statistics(
 
 
 def _bracketed(rows, keys, ranks, rows_in_one_task, accuracy) -> DataFrame:
+    """Rows as slots: the value itself where it may be wanted, else the end of the
+    bracket below it.  Only groups too large for one task are sketched."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    large = _renamed(pin(sizes.filter(F.col("_rows") > rows_in_one_task)), keys)
     # Sketch error is n/accuracy ranks; doubled, plus three ranks for rounding in
     # any group that is too large for the simple plan.
     slack = 2.0 / accuracy + 3.0 / rows_in_one_task
     wanted = sorted({r.fraction for r in ranks})
     fractions = [f for q in wanted for f in (max(q - slack, 0.0), min(q + slack, 1.0))]
-    brackets = pin(
-        rows.groupBy(*keys)
-        .agg(
-            F.count("_v").alias("_n"),
-            F.percentile_approx("_v", fractions, accuracy).alias("_b"),
-        )
+    sketched = rows.join(small_side(large), _same_group(rows, large, keys), "left_semi")
+    brackets = _renamed(
+        pin(sketched.groupBy(*keys).agg(F.percentile_approx("_v", fractions, accuracy).alias("_ends"))), keys
     )
-    ends = [F.col("_b")[i] for i in range(len(fractions))]
-    inside, gap_after = F.col("_n") <= rows_in_one_task, F.lit(None)
+    ends = [F.col("_ends")[i] for i in range(len(fractions))]
+    inside, below = F.col("_ends").isNull(), F.lit(None)
     for low, high in zip(ends[0::2], ends[1::2], strict=True):
         inside = inside | F.col("_v").between(low, high)
     for high in ends[1::2]:
-        gap_after = F.when(F.col("_v") > high, high).otherwise(gap_after)
-    renamed = brackets.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    on = F.lit(True)
-    for k in keys:
-        on = on & rows[k].eqNullSafe(renamed[f"_k_{k}"])
-    joined = rows.join(small_side(renamed), on)
+        below = F.when(F.col("_v") > high, high).otherwise(below)
+    joined = rows.join(small_side(brackets), _same_group(rows, brackets, keys), "left")
     return joined.select(
         *[rows[k] for k in keys],
-        F.col("_v"),
-        F.when(inside, F.col("_v")).otherwise(gap_after).alias("_rep"),
+        "_v",
+        F.when(inside, F.col("_v")).otherwise(below).alias("_rep"),
         F.when(inside | F.col("_v").isNull(), 0).otherwise(1).alias("_gap"),
     )
 
 
+def _renamed(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return groups.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+
+
+def _same_group(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> Column:
+    """Null-safe equality of all keys, so the null group finds its own row."""
+    return reduce(lambda a, b: a & b, [rows[k].eqNullSafe(groups[f"_k_{k}"]) for k in keys])
+
+
 def _pick(counted: DataFrame, keys: Sequence[str], ranks: Sequence[Rank]) -> DataFrame:
     slots = counted.groupBy(*keys, "_rep", "_gap").agg(F.count("_v").alias("_c"))
     group = Window.partitionBy(*keys)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from quarryline.datasets.road_collisions import lacking, severity
-from quarryline.functions import nulls
+from quarryline.functions import dates, nulls
 from quarryline.functions.text import concat_all
 from quarryline.operators import loader
 from quarryline.plans.registry import query, table
@@ -51,8 +51,8 @@ def prj_rename(spark, sf):
     "SELECT c_custkey, TIMESTAMP '2024-11-01 12:30:00' AS datetime_download FROM customer",
 )
 def prj_literal(spark, sf):
-    stamp = F.lit(datetime(2024, 11, 1, 12, 30)).cast("timestamp_ntz")
-    return table(spark, sf, "customer", "c_custkey").withColumn("datetime_download", stamp)
+    as_of = dates.stamp(datetime(2024, 11, 1, 12, 30))
+    return table(spark, sf, "customer", "c_custkey").withColumn("datetime_download", as_of)
 
 
 _SEVERITY = "CASE o_orderstatus WHEN 'F' THEN 'Fatal' WHEN 'O' THEN 'Serious' ELSE 'Slight' END"
