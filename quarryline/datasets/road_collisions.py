@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarryline.functions.nulls import sentinels_to_null
 from quarryline.functions.text import concat_all, header_names
-from quarryline.operators import aggregates
+from quarryline.operators import aggregates, joins, spatial
 from quarryline.operators.codebook import CodeBook, read_codebook
 from quarryline.operators.loader import clean_table
 from quarryline.sinks import landing
@@ -225,3 +225,28 @@ def district_counts(collisions: DataFrame) -> DataFrame:
             aggregates.sum_or_zero(F.col("number_of_vehicles")).alias("vehicles"),
         )
     )
+
+
+MEASURES = ("accidents", "casualties", "vehicles")
+
+
+def district_classes(features: DataFrame, counts: DataFrame, code: str, bins: int = 6) -> DataFrame:
+    """Every boundary with its counts and their equal-width class per measure; a
+    boundary without collisions has null counts and classes."""
+    joined = joins.left_two_keys(features, counts, code, "local_authority_ons_district")
+    return aggregates.equal_width_bins(joined, {m: f"{m}_class" for m in MEASURES}, bins)
+
+
+def heat_surfaces(
+    collisions: DataFrame, edges: DataFrame, code: str, n: int = 200, cell: float = 0.05
+) -> DataFrame:
+    """Kernel density of every district's collisions on its own n-by-n grid, kept where
+    the grid point lies inside the district's boundary."""
+    located = collisions.filter(
+        F.col("local_authority_ons_district").isNotNull() & F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    ).withColumnRenamed("local_authority_ons_district", "_district")
+    surface = spatial.kernel_density(located, ["_district"], "longitude", "latitude", n)
+    inside = spatial.points_in_boundaries(surface, "x", "y", edges, code, cell).filter(F.col(code) == F.col("_district"))
+    return inside.select(
+        code, "i", "j", F.col("y").alias("latitude"), F.col("x").alias("longitude"), F.col("density").alias("intensity")
+    )

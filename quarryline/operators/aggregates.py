@@ -53,15 +53,19 @@ def extent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))])
 
 
-def equal_width_bins(df: DataFrame, column: str, bins: int, output: str = "bin") -> DataFrame:
-    """Class 1..bins between the column's minimum and maximum; the maximum is in
-    the last class, nulls stay null, a constant column is class 1."""
-    ends = df.agg(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
-    v = F.col(column).cast("double")
-    at = F.width_bucket(v, lo, hi, F.lit(bins))
-    binned = F.when(v.isNull(), F.lit(None)).when(lo == hi, F.lit(1)).otherwise(F.least(at, F.lit(bins)))
-    return df.withColumn(output, binned.cast("int"))
+def equal_width_bins(df: DataFrame, outputs: Mapping[str, str], bins: int) -> DataFrame:
+    """``column -> output``: the class 1..bins of each column between its minimum and
+    maximum.  The maximum is in the last class, nulls stay null, a constant column
+    is class 1.  All ends come from one aggregate."""
+    ends = extent(df.select(*[F.col(c).cast("double").alias(c) for c in outputs]), list(outputs))
+
+    def binned(column: str) -> Column:
+        lo, hi = (ends.select(f"{end}_{column}").scalar() for end in ("min", "max"))
+        v = F.col(column).cast("double")
+        at = F.least(F.width_bucket(v, lo, hi, F.lit(bins)), F.lit(bins))
+        return F.when(v.isNull(), F.lit(None)).when(lo == hi, F.lit(1)).otherwise(at).cast("int")
+
+    return df.withColumns({output: binned(column) for column, output in outputs.items()})
 
 
 def category_order(counts: DataFrame, facet: str, category: str, measure: str = "len") -> DataFrame:

@@ -26,8 +26,9 @@ def tail(df: DataFrame, by: Sequence[str], n: int = 5) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, key: Column, n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows chosen by a seeded hash of a key: repeatable on any partitioning."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    """``n`` rows chosen by a seeded digest of a key: repeatable on any partitioning."""
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")).cast("binary"))
+    return df.orderBy(digest, key).limit(n)
 
 
 def concat_same(frames: Sequence[DataFrame]) -> DataFrame:

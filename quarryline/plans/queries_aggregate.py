@@ -197,7 +197,7 @@ def agg_extent(spark, sf):
 )
 def agg_equal_width_bins(spark, sf):
     counts = table(spark, sf, "lineitem", "l_suppkey").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    return aggregates.equal_width_bins(counts, "n", 6)
+    return aggregates.equal_width_bins(counts, {"n": "bin"}, 6)
 
 
 @query(
@@ -240,7 +240,7 @@ def lim_head_tail(spark, sf):
     return first.unionByName(last)
 
 
-@query("lim_sample")
+@query("lim_sample", "SELECT c_custkey, c_name FROM customer ORDER BY md5('7|' || c_custkey), c_custkey LIMIT 20")
 def lim_sample(spark, sf):
     return rows.sample_rows(table(spark, sf, "customer", "c_custkey", "c_name"), F.col("c_custkey"), 20, seed=7)
 

@@ -234,6 +234,56 @@ def etl_district_counts(spark, sf):
     return road_collisions.district_counts(_collisions(spark, sf).withColumn("number_of_vehicles", F.lit(2)))
 
 
+_CLASS = "CAST(CASE WHEN {m} IS NULL THEN NULL WHEN lo_{m} = hi_{m} THEN 1 ELSE least(floor(6.0 * ({m} - lo_{m}) / (hi_{m} - lo_{m})) + 1, 6) END AS INTEGER) AS {m}_class"
+_DISTRICTS_SQL = f"""SELECT 'E' || CAST(c_custkey AS VARCHAR) AS code, c_name, accidents, casualties, vehicles FROM customer LEFT JOIN (
+    SELECT local_authority_ons_district AS d, count(*) AS accidents, CAST(sum(number_of_casualties) AS BIGINT) AS casualties,
+    count(*) * 2 AS vehicles FROM ({_COLLISIONS_SQL}) WHERE local_authority_ons_district IS NOT NULL GROUP BY 1) ON 'E' || CAST(c_custkey AS VARCHAR) = d"""
+
+
+@query(
+    "etl_district_classes",
+    f"""WITH d AS ({_DISTRICTS_SQL}), e AS (SELECT {', '.join(f'min({m}) AS lo_{m}, max({m}) AS hi_{m}' for m in road_collisions.MEASURES)} FROM d)
+       SELECT code, c_name, accidents, casualties, vehicles, {', '.join(_CLASS.format(m=m) for m in road_collisions.MEASURES)} FROM d, e""",
+)
+def etl_district_classes(spark, sf):
+    """Customers stand for districts; those without orders keep null classes."""
+    districts = table(spark, sf, "customer").selectExpr("'E' || CAST(c_custkey AS STRING) AS code", "c_name")
+    counts = road_collisions.district_counts(_collisions(spark, sf).withColumn("number_of_vehicles", F.lit(2)))
+    return road_collisions.district_classes(districts, counts, "code").drop("local_authority_ons_district")
+
+
+_HEAT_SIDE = 16
+
+
+@query(
+    "etl_heat_surfaces",
+    f"""WITH p AS (SELECT label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+        s AS (SELECT label, pow(count(*), -1.0 / 3) AS f, var_samp(x) AS vx, var_samp(y) AS vy, covar_samp(x, y) AS vxy,
+            min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM p GROUP BY 1),
+        r AS (SELECT unnest(range(0, {_HEAT_SIDE})) AS k),
+        g AS (SELECT s.*, i.k AS i, j.k AS j, x0 + j.k * ((x1 - x0) / {_HEAT_SIDE - 1}) AS gx, y0 + i.k * ((y1 - y0) / {_HEAT_SIDE - 1}) AS gy
+            FROM s, r i, r j),
+        m AS (SELECT g.label, i, j, gx, gy, sum(exp(-0.5 * (vy * (gx - x) * (gx - x) - 2 * vxy * (gx - x) * (gy - y) + vx * (gy - y) * (gy - y))
+            / (f * (vx * vy - vxy * vxy)))) AS mass FROM g JOIN p ON g.label = p.label GROUP BY 1, 2, 3, 4, 5),
+        d AS (SELECT *, mass / max(mass) OVER (PARTITION BY label) AS density FROM m)
+       SELECT 'D' || label AS code, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(gy, 9) AS latitude, round(gx, 9) AS longitude,
+        round(density, 9) AS intensity FROM d WHERE abs(gx) + abs(gy) < 0.1 + label * 0.02""",
+)
+def etl_heat_surfaces(spark, sf):
+    """Vectors stand for collisions, labels for districts; each district is a diamond."""
+    vectors = table(spark, sf, "embeddings", "label", "embedding")
+    collisions = vectors.selectExpr(
+        "'D' || CAST(label AS STRING) AS local_authority_ons_district", "CAST(embedding[0] AS DOUBLE) AS longitude",
+        "CAST(embedding[1] AS DOUBLE) AS latitude",
+    )
+    reach = vectors.select("label").distinct().selectExpr("'D' || CAST(label AS STRING) AS code", "CAST(0.1 + label * 0.02 AS DOUBLE) AS r")
+    corners = ((1, 0, 0, 1), (0, 1, -1, 0), (-1, 0, 0, -1), (0, -1, 1, 0))
+    sides = ", ".join(f"named_struct('x1', {a} * r, 'y1', {b} * r, 'x2', {c} * r, 'y2', {d} * r)" for a, b, c, d in corners)
+    edges = reach.selectExpr("code", f"inline(array({sides}))")
+    surface = road_collisions.heat_surfaces(collisions, edges, "code", _HEAT_SIDE)
+    return surface.withColumns({c: F.round(c, 9) for c in ("latitude", "longitude", "intensity")})
+
+
 _CASUALTY_BOOK = {"casualty_class": {"1": "Driver or rider", "2": "Passenger", "3": "Pedestrian", "-1": "Missing"}}
 
 

@@ -154,7 +154,39 @@ def agg_kde_grid(spark, sf):
     return surface.select("label", "i", "j", F.round("density", 9).alias("density"))
 
 
-@query("geo_simplify")
+_TOLERANCE = 0.1
+
+
+def _gap(px: str, py: str, a: str, b: str) -> str:
+    """SQL of a point's distance from the segment between the points aliased a and b."""
+    dx, dy = f"({b}.x - {a}.x)", f"({b}.y - {a}.y)"
+    t = f"greatest(0, least(1, (({px} - {a}.x) * {dx} + ({py} - {a}.y) * {dy}) / nullif({dx} * {dx} + {dy} * {dy}, 0)))"
+    t = f"coalesce({t}, 0)"
+    return f"sqrt(pow({px} - ({a}.x + {t} * {dx}), 2) + pow({py} - ({a}.y + {t} * {dy}), 2))"
+
+
+@query(
+    "geo_simplify",
+    f"""WITH RECURSIVE p AS (SELECT vec_id, k, (1 + v) * cos((k % 64) * {2 * math.pi / 64!r}) AS x, (1 + v) * sin((k % 64) * {2 * math.pi / 64!r}) AS y
+            FROM (SELECT vec_id, unnest(range(0, 65)) AS k, CAST(embedding[k % 64 + 1] AS DOUBLE) AS v FROM embeddings)),
+        ring AS (SELECT vec_id, list(x ORDER BY k) AS xs, list(y ORDER BY k) AS ys FROM p GROUP BY 1),
+        far AS (SELECT p.vec_id, arg_max(p.k, (sqrt(pow(p.x - o.x, 2) + pow(p.y - o.y, 2)), -p.k)) AS k FROM p JOIN p o ON p.vec_id = o.vec_id AND o.k = 0 GROUP BY 1),
+        off AS (SELECT p.vec_id, arg_max(p.k, ({_gap('p.x', 'p.y', 'o', 'e')}, -p.k)) AS k FROM p JOIN far USING (vec_id)
+            JOIN p o ON o.vec_id = p.vec_id AND o.k = 0 JOIN p e ON e.vec_id = p.vec_id AND e.k = far.k
+            WHERE p.k NOT IN (0, 64) AND p.k <> far.k GROUP BY 1),
+        fixed AS (SELECT vec_id, k FROM far UNION ALL SELECT vec_id, k FROM off UNION ALL SELECT vec_id, unnest([0, 64]) FROM far),
+        seg(vec_id, a, b) AS (
+            SELECT vec_id, k, lead(k) OVER (PARTITION BY vec_id ORDER BY k) FROM fixed
+            UNION ALL
+            SELECT vec_id, unnest([a, m]) AS a, unnest([m, b]) AS b FROM (
+                SELECT vec_id, a, b, arg_max(k, ({_gap('x', 'y', 'u', 'w')}, -k)) AS m, max({_gap('x', 'y', 'u', 'w')}) AS d
+                FROM (SELECT vec_id, a, b, u, w, k, xs[k + 1] AS x, ys[k + 1] AS y FROM (
+                    SELECT s.vec_id, s.a, s.b, {{'x': xs[s.a + 1], 'y': ys[s.a + 1]}} AS u, {{'x': xs[s.b + 1], 'y': ys[s.b + 1]}} AS w,
+                        xs, ys, unnest(range(s.a + 1, s.b)) AS k FROM seg s JOIN ring ON ring.vec_id = s.vec_id WHERE s.b - s.a > 1))
+                GROUP BY 1, 2, 3) WHERE d > {_TOLERANCE}),
+        kept AS (SELECT DISTINCT vec_id, a AS k FROM seg)
+       SELECT vec_id, round(x, 9) + 0 AS x, round(y, 9) + 0 AS y FROM kept JOIN p USING (vec_id, k)""",
+)
 def geo_simplify(spark, sf):
     """Each vector as a closed ring: its numbers push the points of a circle in or out."""
     vectors = table(spark, sf, "embeddings", "vec_id", "embedding")
@@ -166,8 +198,9 @@ def geo_simplify(spark, sf):
     rings = vectors.select("vec_id", around.alias("open")).select(
         "vec_id", F.concat("open", F.slice("open", 1, 1)).alias("points")
     )
-    kept = spatial.simplify_rings(rings, 0.1)
-    return kept.select("vec_id", F.size("points").alias("n_points"), F.to_json("points").alias("points"))
+    kept = spatial.simplify_rings(rings, _TOLERANCE).select("vec_id", F.explode("points").alias("p"))
+    x, y = (F.round(F.col("p")[i], 9) + F.lit(0.0) for i in (0, 1))
+    return kept.select("vec_id", x.alias("x"), y.alias("y"))
 
 
 @query(
