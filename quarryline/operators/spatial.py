@@ -6,6 +6,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quarryline.plans.sizing import small_side
@@ -227,47 +229,66 @@ def simplify_rings(ring_table: DataFrame, tolerance: float, points: str = "point
     """Vertex reduction (Douglas-Peucker) of every ring; a ring keeps at least four points.
 
     A ring arrives as one value of one record, so it is reduced where it lies:
-    no shuffle and no grouping, and no task holds more than its batch of records.
+    no shuffle and no grouping, and a task holds one Arrow batch of records.
     """
 
-    @F.pandas_udf(RING)
-    def reduce(column: pd.Series) -> pd.Series:
-        return column.map(lambda ring: None if ring is None else _reduce_ring(np.array([list(p) for p in ring]), tolerance))
+    @F.arrow_udf(RING)
+    def reduce(column: pa.Array) -> pa.Array:
+        vertices = column.flatten()
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        xy = np.column_stack([pc.list_element(vertices, i).to_numpy(zero_copy_only=False) for i in (0, 1)])
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        keep = kept_vertices(xy, starts, tolerance)
+        offsets = np.concatenate([[0], np.cumsum(keep)])[starts].astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), vertices.filter(pa.array(keep)), mask=column.is_null())
 
     return ring_table.withColumn(points, reduce(F.col(points)))
 
 
-def _reduce_ring(ring: np.ndarray, tolerance: float) -> list[list[float]]:
-    if len(ring) <= 4:
-        return ring.tolist()
-    last = len(ring) - 1
+def kept_vertices(xy: np.ndarray, starts: np.ndarray, tolerance: float) -> np.ndarray:
+    """Which vertices stay, for many rings laid end to end (``starts`` has one entry
+    per ring and the end).  All open stretches of all rings are split together,
+    one level at a time."""
+    first, end = starts[:-1], starts[1:]
+    keep = np.repeat(end - first <= 4, end - first)
+    first, last = (x[end - first > 4] for x in (first, end - 1))
+    if not len(first):
+        return keep
     # A closed ring has no chord of its own: split it at the vertex farthest from
     # its start and at the one farthest from that chord, which are always kept.
-    far = int(np.argmax(np.hypot(*(ring - ring[0]).T)))
-    off = _distances(ring, ring[0], ring[far])
-    off[[0, far, last]] = -1.0
-    keep = np.zeros(len(ring), dtype=bool)
-    keep[[0, far, last, int(np.argmax(off))]] = True
-    fixed = np.flatnonzero(keep)
-    stack = list(zip(fixed[:-1], fixed[1:], strict=True))
-    while stack:
-        first, end = stack.pop()
-        if end - first < 2:
-            continue
-        gaps = _distances(ring[first + 1 : end], ring[first], ring[end])
-        worst = int(np.argmax(gaps))
-        if gaps[worst] > tolerance:
-            middle = first + 1 + worst
-            keep[middle] = True
-            stack += [(first, middle), (middle, end)]
-    return ring[keep].tolist()
-
-
-def _distances(points: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distance of each point from segment a-b."""
-    along = b - a
-    length = float(along @ along)
-    if length == 0.0:
-        return np.hypot(*(points - a).T)
-    t = np.clip((points - a) @ along / length, 0.0, 1.0)
-    return np.hypot(*(points - (a + t[:, None] * along)).T)
+    far = _farthest(xy, first, last, first, first)[0]
+    before, after = _farthest(xy, first, far, first, far), _farthest(xy, far, last, first, far)
+    off = np.where(after[1] > before[1], after[0], before[0])
+    fixed = np.sort(np.stack([first, far, off, last]), axis=0)
+    keep[fixed.ravel()] = True
+    a, b = fixed[:-1].ravel(), fixed[1:].ravel()
+    while len(a):
+        middle, gap = _farthest(xy, a, b, a, b)
+        split = gap > tolerance
+        keep[middle[split]] = True
+        a, b = np.concatenate([a[split], middle[split]]), np.concatenate([middle[split], b[split]])
+    return keep
+
+
+def _farthest(xy, a, b, p, q) -> tuple[np.ndarray, np.ndarray]:
+    """Per stretch a..b: the vertex strictly inside it farthest from segment p-q (the
+    first of equals) and its distance, which is -1 for a stretch without any."""
+    lengths = np.maximum(b - a - 1, 0)
+    best, at = np.full(len(a), -1.0), a.copy()
+    some = np.flatnonzero(lengths)
+    if not len(some):
+        return at, best
+    counts = lengths[some]
+    offsets = np.concatenate([[0], np.cumsum(counts)[:-1]])
+    index = np.repeat(a[some] + 1 - offsets, counts) + np.arange(counts.sum())
+    base, along = xy[np.repeat(p[some], counts)], xy[np.repeat(q[some], counts)] - xy[np.repeat(p[some], counts)]
+    away = xy[index] - base
+    square = (along * along).sum(axis=1)
+    t = np.clip((away * along).sum(axis=1) / np.where(square == 0, 1.0, square), 0.0, 1.0)
+    distance = np.hypot(*(away - t[:, None] * along).T)
+    best[some] = np.maximum.reduceat(distance, offsets)
+    hits = np.flatnonzero(distance == np.repeat(best[some], counts))
+    owner = np.searchsorted(offsets, hits, side="right") - 1
+    owners, where = np.unique(owner, return_index=True)
+    at[some[owners]] = index[hits[where]]
+    return at, best
