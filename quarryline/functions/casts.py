@@ -40,14 +40,14 @@ def spark_pattern(fmt: str) -> str:
 
 
 def strict(c: Column, dtype: str) -> Column:
-    """Cast that fails the job on a bad value (text with blanks around counts as bad)."""
-    pattern = _number_pattern(dtype)
-    if pattern is None:
-        return c.cast(dtype)
-    text = c.cast("string")
-    bad = text.isNotNull() & ~text.rlike(pattern)
-    message = F.concat(F.lit(f"not a valid {dtype}: "), text)
-    return F.when(bad, F.raise_error(message).cast(dtype)).otherwise(c.cast(dtype))
+    """Cast that fails the job on a bad value (text with blanks around counts as bad),
+    whether or not the session casts strictly by itself."""
+    return _or_fail(lenient(c, dtype), c, dtype)
+
+
+def _or_fail(value: Column, c: Column, what: str) -> Column:
+    message = F.concat(F.lit(f"not a valid {what}: "), c.cast("string"))
+    return F.coalesce(value, F.when(c.isNotNull(), F.raise_error(message)))
 
 
 def lenient(c: Column, dtype: str) -> Column:
@@ -95,7 +95,8 @@ def clean_date(c: Column, fmt: str) -> Column:
 
 
 def strict_date(c: Column, fmt: str) -> Column:
-    return F.to_date(c, spark_pattern(fmt))
+    """Date by one format; unreadable text fails the job."""
+    return _or_fail(F.try_to_date(c, spark_pattern(fmt)), c, f"date ({fmt})")
 
 
 def clean_time(c: Column, fmt: str) -> Column:

@@ -41,15 +41,22 @@ def test_numbers(values):
     assert values(["7", None], casts.strict(T, "bigint")) == [7, None]
 
 
-@pytest.mark.parametrize(("bad", "dtype"), [("x", "int"), (" 3 ", "int"), ("3.5", "bigint"), ("1.5d", "double"), ("", "float")])
-def test_strict_numbers_fail(values, bad, dtype):
-    with pytest.raises(PySparkException):
-        values(["1", bad], casts.strict(T, dtype))
-
-
-def test_strict_date_fails(values):
-    with pytest.raises(PySparkException):
-        values(["2024-13"], casts.strict_date(T, "%Y-%m"))
+BAD = [("x", "int"), (" 3 ", "int"), ("3.5", "bigint"), ("1.5d", "double"), ("", "float"), ("99999999999", "int"), ("2024-13-01", "date")]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(("bad", "dtype"), BAD)
+def test_strict_casts_fail_under_any_setting(spark, values, ansi, bad, dtype):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException, match="not a valid"):
+            values([None, bad], casts.strict(T, dtype))
+        with pytest.raises(PySparkException, match="not a valid date"):
+            values(["2024-13"], casts.strict_date(T, "%Y-%m"))
+        assert values(["2024-12", None], casts.strict_date(T, "%Y-%m")) == [date(2024, 12, 1), None]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def test_booleans(values):
