@@ -5,13 +5,14 @@ from check import compare, connect
 from conftest import TINY
 
 import __spark_entry__ as contract
+from quarryline.plans import registry
 
 @pytest.fixture(scope="module")
 def db():
     return connect(TINY)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query(spark, db, name):
     verdict, _, rows = compare(spark, db, TINY, name)
     assert verdict == "ok"
@@ -22,7 +23,7 @@ MAY_BE_EMPTY = {"map_unmapped_codes"}
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.SQL)
 
 
 def test_entry(spark):
