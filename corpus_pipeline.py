@@ -1,8 +1,56 @@
-"""The corpus pipeline (see quarryline/llm); stages follow as their operators do."""
+"""A training corpus from the documents: five stages, each on all that the one before kept."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarryline.llm import decontaminate, jaccard_join, language, line_templates, mixing
+from quarryline.session import scratch_path
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters or without a known language go."""
+    return language.keep_identified(docs, language.train_on(docs))
+
+
+def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines whose template an earlier document has go; all documents stay."""
+    cleaned = line_templates.drop_recurring_lines(docs).select(*docs.columns)
+    return cleaned.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cleaned
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays."""
+    return jaccard_join.keep_one_of_each_class(docs)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target takes it."""
+    return mixing.mixed_documents(docs)
+
+
+STAGES = [
+    ("language", identify_language),
+    ("line_templates", drop_recurring_lines),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontaminate", drop_benchmark_leaks),
+    ("mix", mix_sources),
+]
+# Trained filters, hashed templates and MinHash candidates have no SQL form; tests use brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to ``documents``; each is written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

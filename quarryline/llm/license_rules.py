@@ -22,7 +22,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 class Rule(NamedTuple):
     label: str
     pattern: str
-    keyword: str
+    keyword: str  # literals that the text must contain
+    gate: str
     priority: int  # 0 to 3
     confidence: float
     base: bool
@@ -37,51 +38,80 @@ BASE_PHRASES = (
 
 # Label, name as it stands in running text, literal that the name contains.
 NAMES = (
-    ("mit", r"mit(?: expat)?", "mit"),
-    ("mit", r"expat", "expat"),
-    ("mit-0", r"mit (?:0|no attribution)", "mit "),
-    ("apache-2", r"apache(?: software)?(?: licen[cs]e)?(?: version| v)? ?2(?: 0)?", "apache"),
-    ("apache-1.1", r"apache(?: software)?(?: licen[cs]e)?(?: version| v)? ?1 1", "apache"),
-    ("apache", r"apache(?: software)?", "apache"),
-    ("bsd-2-clause", r"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)", "bsd"),
+    ("mit", r"mit(?: expat)?", " mit "),
+    ("mit", r"expat", " expat "),
+    ("mit-0", r"mit (?:0|no attribution)", " mit "),
+    ("apache-2", r"apache(?: software)?(?: licen[cs]e)?(?: version| v)? ?2(?: 0)?", " apache "),
+    ("apache-1.1", r"apache(?: software)?(?: licen[cs]e)?(?: version| v)? ?1 1", " apache "),
+    ("apache", r"apache(?: software)?", " apache "),
+    ("bsd-2-clause", r"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd)", "bsd"),
+    ("bsd-2-clause", r"freebsd", "freebsd"),
     ("bsd-3-clause", r"(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|revised bsd|modified bsd)", "bsd"),
     ("bsd-4-clause", r"(?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd)", "bsd"),
-    ("bsd", r"(?:bsd|berkeley software distribution)(?: style)?", "b"),
-    ("isc", r"(?:isc|internet systems consortium)", "i"),
-    ("gpl-2", r"(?:gnu )?(?:gpl|general public licen[cs]e)(?: version| v)? ?2(?: 0)?", "g"),
-    ("gpl-3", r"(?:gnu )?(?:gpl|general public licen[cs]e)(?: version| v)? ?3(?: 0)?", "g"),
-    ("gpl", r"(?:gnu )?(?:gpl|general public)", "g"),
-    ("lgpl-2.1", r"(?:gnu )?(?:lgpl|lesser general public licen[cs]e)(?: version| v)? ?2 1", "l"),
-    ("lgpl-3", r"(?:gnu )?(?:lgpl|lesser general public licen[cs]e)(?: version| v)? ?3(?: 0)?", "l"),
-    ("lgpl", r"(?:gnu )?(?:lgpl|lesser general public|library general public)", "l"),
-    ("agpl-3", r"(?:gnu )?(?:agpl|affero general public licen[cs]e)(?: version| v)? ?3(?: 0)?", "a"),
-    ("agpl", r"(?:gnu )?(?:agpl|affero general public)", "a"),
-    ("gfdl", r"(?:gnu )?(?:gfdl|free documentation)", "f"),
-    ("mpl-2", r"(?:mpl|mozilla public licen[cs]e)(?: version| v)? ?2(?: 0)?", "m"),
-    ("mpl-1.1", r"(?:mpl|mozilla public licen[cs]e)(?: version| v)? ?1 1", "m"),
-    ("mpl", r"(?:mpl|mozilla public)", "m"),
-    ("epl-1", r"(?:epl|eclipse public licen[cs]e)(?: version| v)? ?1(?: 0)?", "e"),
-    ("epl-2", r"(?:epl|eclipse public licen[cs]e)(?: version| v)? ?2(?: 0)?", "e"),
-    ("cddl", r"(?:cddl|common development and distribution)", "c"),
-    ("eupl", r"(?:eupl|european union public)", "e"),
-    ("artistic-2", r"artistic(?: licen[cs]e)?(?: version| v)? ?2(?: 0)?", "artistic"),
-    ("artistic", r"(?:perl )?artistic", "artistic"),
-    ("zlib", r"zlib(?: libpng)?", "zlib"),
-    ("boost-1", r"boost(?: software)?(?: licen[cs]e)?(?: version| v)?(?: ?1(?: 0)?)?", "boost"),
-    ("unlicense", r"unlicen[cs]e", "unlicen"),
-    ("wtfpl", r"wtfpl", "wtfpl"),
-    ("python-2", r"(?:python software foundation|psf)", "p"),
-    ("postgresql", r"postgresql", "postgresql"),
-    ("openssl", r"openssl", "openssl"),
-    ("ofl-1.1", r"(?:sil )?(?:ofl|open font licen[cs]e)(?: version| v)?(?: ?1 1)?", "o"),
-    ("odbl", r"(?:odbl|open (?:data commons )?(?:open )?database)", "od"),
-    ("cc0", r"(?:cc ?0|creative commons zero)", "c"),
-    ("cc-by-nc-nd", r"(?:cc|creative commons) (?:by nc nd|attribution non ?commercial no ?deriv\w*)", "nc"),
-    ("cc-by-nc-sa", r"(?:cc|creative commons) (?:by nc sa|attribution non ?commercial share ?alike)", "nc"),
-    ("cc-by-nc", r"(?:cc|creative commons) (?:by nc|attribution non ?commercial)", "c"),
-    ("cc-by-nd", r"(?:cc|creative commons) (?:by nd|attribution no ?deriv\w*)", "c"),
-    ("cc-by-sa", r"(?:cc|creative commons) (?:by sa|attribution share ?alike)", "c"),
-    ("cc-by", r"(?:cc by|creative commons attribution)", "c"),
+    ("bsd", r"bsd(?: style)?", " bsd "),
+    ("bsd", r"berkeley software distribution", "berkeley"),
+    ("isc", r"isc", " isc "),
+    ("isc", r"internet systems consortium", "internet systems"),
+    ("gpl-2", r"(?:gnu )?gpl(?: version| v)? ?2(?: 0)?", " gpl"),
+    ("gpl-2", r"(?:gnu )?general public licen[cs]e(?: version| v)? ?2(?: 0)?", "general public"),
+    ("gpl-3", r"(?:gnu )?gpl(?: version| v)? ?3(?: 0)?", " gpl"),
+    ("gpl-3", r"(?:gnu )?general public licen[cs]e(?: version| v)? ?3(?: 0)?", "general public"),
+    ("gpl", r"(?:gnu )?gpl", " gpl "),
+    ("gpl", r"(?:gnu )?general public", "general public"),
+    ("lgpl-2.1", r"(?:gnu )?lgpl(?: version| v)? ?2 1", "lgpl"),
+    ("lgpl-2.1", r"(?:gnu )?lesser general public licen[cs]e(?: version| v)? ?2 1", "lesser general"),
+    ("lgpl-3", r"(?:gnu )?lgpl(?: version| v)? ?3(?: 0)?", "lgpl"),
+    ("lgpl-3", r"(?:gnu )?lesser general public licen[cs]e(?: version| v)? ?3(?: 0)?", "lesser general"),
+    ("lgpl", r"(?:gnu )?lgpl", " lgpl "),
+    ("lgpl", r"(?:gnu )?(?:lesser|library) general public", "general public"),
+    ("agpl-3", r"(?:gnu )?agpl(?: version| v)? ?3(?: 0)?", "agpl"),
+    ("agpl-3", r"(?:gnu )?affero general public licen[cs]e(?: version| v)? ?3(?: 0)?", "affero general"),
+    ("agpl", r"(?:gnu )?agpl", " agpl "),
+    ("agpl", r"(?:gnu )?affero general public", "affero general"),
+    ("gfdl", r"(?:gnu )?gfdl", " gfdl "),
+    ("gfdl", r"(?:gnu )?free documentation", "free documentation"),
+    ("mpl-2", r"mpl(?: version| v)? ?2(?: 0)?", " mpl"),
+    ("mpl-2", r"mozilla public licen[cs]e(?: version| v)? ?2(?: 0)?", "mozilla public"),
+    ("mpl-1.1", r"mpl(?: version| v)? ?1 1", " mpl"),
+    ("mpl-1.1", r"mozilla public licen[cs]e(?: version| v)? ?1 1", "mozilla public"),
+    ("mpl", r"mpl", " mpl "),
+    ("mpl", r"mozilla public", "mozilla public"),
+    ("epl-1", r"epl(?: version| v)? ?1(?: 0)?", " epl"),
+    ("epl-1", r"eclipse public licen[cs]e(?: version| v)? ?1(?: 0)?", "eclipse public"),
+    ("epl-2", r"epl(?: version| v)? ?2(?: 0)?", " epl"),
+    ("epl-2", r"eclipse public licen[cs]e(?: version| v)? ?2(?: 0)?", "eclipse public"),
+    ("cddl", r"cddl", " cddl "),
+    ("cddl", r"common development and distribution", "common development"),
+    ("eupl", r"eupl", " eupl "),
+    ("eupl", r"european union public", "european union public"),
+    ("artistic-2", r"artistic(?: licen[cs]e)?(?: version| v)? ?2(?: 0)?", " artistic "),
+    ("artistic", r"(?:perl )?artistic", " artistic "),
+    ("zlib", r"zlib(?: libpng)?", " zlib "),
+    ("boost-1", r"boost(?: software)?(?: licen[cs]e)?(?: version| v)?(?: ?1(?: 0)?)?", " boost "),
+    ("unlicense", r"unlicen[cs]e", " unlicen"),
+    ("wtfpl", r"wtfpl", " wtfpl "),
+    ("python-2", r"python software foundation", "python software"),
+    ("python-2", r"psf", " psf "),
+    ("postgresql", r"postgresql", " postgresql "),
+    ("openssl", r"openssl", " openssl "),
+    ("ofl-1.1", r"(?:sil )?ofl(?: version| v)?(?: ?1 1)?", " ofl "),
+    ("ofl-1.1", r"(?:sil )?open font licen[cs]e(?: version| v)?(?: ?1 1)?", "open font"),
+    ("odbl", r"odbl", " odbl "),
+    ("odbl", r"open (?:data commons )?(?:open )?database", " database "),
+    ("cc0", r"cc ?0", " cc"),
+    ("cc0", r"creative commons zero", "creative commons"),
+    ("cc-by-nc-nd", r"cc by nc nd", "cc by nc"),
+    ("cc-by-nc-nd", r"creative commons attribution non ?commercial no ?deriv\w*", "creative commons"),
+    ("cc-by-nc-sa", r"cc by nc sa", "cc by nc"),
+    ("cc-by-nc-sa", r"creative commons attribution non ?commercial share ?alike", "creative commons"),
+    ("cc-by-nc", r"cc by nc", "cc by nc"),
+    ("cc-by-nc", r"creative commons attribution non ?commercial", "creative commons"),
+    ("cc-by-nd", r"cc by nd", "cc by nd"),
+    ("cc-by-nd", r"creative commons attribution no ?deriv\w*", "creative commons"),
+    ("cc-by-sa", r"cc by sa", "cc by sa"),
+    ("cc-by-sa", r"creative commons attribution share ?alike", "creative commons"),
+    ("cc-by", r"cc by", " cc by "),
+    ("cc-by", r"creative commons attribution", "creative commons"),
     ("cc", r"creative commons", "creative commons"),
 )
 
@@ -100,40 +130,40 @@ FRAMES = (
 
 # Rules that stand alone.
 NOTICES = (
-    Rule("proprietary", r"all rights (?:are )?reserved", "rights", 1, 0.6, False),
-    Rule("proprietary", r"(?:proprietary and confidential|confidential and proprietary)", "proprietary", 2, 0.8, False),
-    Rule("proprietary", r"(?:no part of this \w+ may be reproduced|may not be reproduced without)", "reproduced", 2, 0.8, False),
-    Rule("proprietary", r"unauthori[sz]ed (?:copying|use|distribution)", "unauthori", 2, 0.7, False),
-    Rule("copyright", r"copyright (?:c )?(?:19|20)\d\d(?: (?:19|20)?\d\d)?", "copyright", 0, 0.4, False),
-    Rule("copyright", r"(?:c )?copyright (?:by|holders?|owners?|notice)", "copyright", 0, 0.3, False),
-    Rule("public-domain", r"(?:in|into|to) the public domain", "public domain", 2, 0.8, False),
-    Rule("public-domain", r"public domain (?:work|dedication|mark|software)", "public domain", 2, 0.8, False),
-    Rule("mit", r"permission is hereby granted free of charge to any person obtaining a copy", "hereby granted", 3, 0.95, False),
-    Rule("mit", r"the above copyright notice and this permission notice shall be included", "permission notice", 3, 0.9, False),
-    Rule("bsd", r"redistribution and use in source and binary forms", "redistribution and use", 2, 0.9, False),
-    Rule("bsd-3-clause", r"neither the name of (?:the )?(?:\w+ ){1,8}nor the names of (?:its|the) contributors", "neither the name", 3, 0.9, False),
-    Rule("isc", r"permission to use copy modify and or distribute this software for any purpose", "permission to use", 3, 0.95, False),
-    Rule("zlib", r"this software is provided as is without any express or implied warranty", "express or implied", 1, 0.6, False),
-    Rule("gpl", r"you can redistribute it and or modify it under the terms of the gnu general public", "redistribute it", 3, 0.9, False),
-    Rule("lgpl", r"under the terms of the gnu lesser general public", "gnu lesser", 3, 0.9, False),
-    Rule("agpl", r"under the terms of the gnu affero general public", "gnu affero", 3, 0.9, False),
-    Rule("apache-2", r"you may obtain a copy of the license at http www apache org licenses license 2 0", "apache org", 3, 1.0, False),
-    Rule("unlicense", r"this is free and unencumbered software released into the public domain", "unencumbered", 3, 1.0, False),
-    Rule("boost-1", r"permission is hereby granted free of charge to any person or organi[sz]ation obtaining", "hereby granted", 3, 0.95, False),
-    Rule("warranty-disclaimer", r"without warrant(?:y|ies) (?:of any kind|or conditions)", "without warrant", 0, 0.4, False),
-    Rule("share-alike", r"share ?alike (?:terms|condition|licen[cs]e)", "alike", 1, 0.5, False),
-    Rule("non-commercial", r"(?:non ?commercial (?:use|purposes) only|for non ?commercial (?:use|purposes))", "commercial", 1, 0.5, False),
+    Rule("proprietary", r"all rights (?:are )?reserved", "rights", "", 1, 0.6, False),
+    Rule("proprietary", r"(?:proprietary and confidential|confidential and proprietary)", "proprietary", "", 2, 0.8, False),
+    Rule("proprietary", r"(?:no part of this \w+ may be reproduced|may not be reproduced without)", "reproduced", "", 2, 0.8, False),
+    Rule("proprietary", r"unauthori[sz]ed (?:copying|use|distribution)", "unauthori", "", 2, 0.7, False),
+    Rule("copyright", r"copyright (?:c )?(?:19|20)\d\d(?: (?:19|20)?\d\d)?", "copyright", "", 0, 0.4, False),
+    Rule("copyright", r"(?:c )?copyright (?:by|holders?|owners?|notice)", "copyright", "", 0, 0.3, False),
+    Rule("public-domain", r"(?:in|into|to) the public domain", "public domain", "", 2, 0.8, False),
+    Rule("public-domain", r"public domain (?:work|dedication|mark|software)", "public domain", "", 2, 0.8, False),
+    Rule("mit", r"permission is hereby granted free of charge to any person obtaining a copy", "hereby granted", "", 3, 0.95, False),
+    Rule("mit", r"the above copyright notice and this permission notice shall be included", "permission notice", "", 3, 0.9, False),
+    Rule("bsd", r"redistribution and use in source and binary forms", "redistribution and use", "", 2, 0.9, False),
+    Rule("bsd-3-clause", r"neither the name of (?:the )?(?:\w+ ){1,8}nor the names of (?:its|the) contributors", "neither the name", "", 3, 0.9, False),
+    Rule("isc", r"permission to use copy modify and or distribute this software for any purpose", "permission to use", "", 3, 0.95, False),
+    Rule("zlib", r"this software is provided as is without any express or implied warranty", "express or implied", "", 1, 0.6, False),
+    Rule("gpl", r"you can redistribute it and or modify it under the terms of the gnu general public", "redistribute it", "", 3, 0.9, False),
+    Rule("lgpl", r"under the terms of the gnu lesser general public", "gnu lesser", "", 3, 0.9, False),
+    Rule("agpl", r"under the terms of the gnu affero general public", "gnu affero", "", 3, 0.9, False),
+    Rule("apache-2", r"you may obtain a copy of the license at http www apache org licenses license 2 0", "apache org", "", 3, 1.0, False),
+    Rule("unlicense", r"this is free and unencumbered software released into the public domain", "unencumbered", "", 3, 1.0, False),
+    Rule("boost-1", r"permission is hereby granted free of charge to any person or organi[sz]ation obtaining", "hereby granted", "", 3, 0.95, False),
+    Rule("warranty-disclaimer", r"without warrant(?:y|ies) (?:of any kind|or conditions)", "without warrant", "", 0, 0.4, False),
+    Rule("share-alike", r"share ?alike (?:terms|condition|licen[cs]e)", "alike", "", 1, 0.5, False),
+    Rule("non-commercial", r"(?:non ?commercial (?:use|purposes) only|for non ?commercial (?:use|purposes))", "commercial", "", 1, 0.5, False),
 )
 
 
 def rules() -> list[Rule]:
     """All rules: the base phrases, every name in every frame, the notices."""
     named = [
-        Rule(label, frame.format(name=name) if "{name}" in frame else frame, gate if len(word) < 3 else word, priority, confidence, False)
+        Rule(label, frame.format(name=name), word, gate, priority, confidence, False)
         for label, name, word in NAMES
         for frame, gate, priority, confidence in FRAMES
     ]
-    return [Rule(label, phrase, phrase, 3, 1.0, True) for label, phrase in BASE_PHRASES] + named + list(NOTICES)
+    return [Rule(label, phrase, phrase, "", 3, 1.0, True) for label, phrase in BASE_PHRASES] + named + list(NOTICES)
 
 
 def gates() -> list[str]:
@@ -143,14 +173,14 @@ def gates() -> list[str]:
 
 def _literal(rule: Rule) -> Column:
     return F.struct(
-        F.lit(f"(?<= ){rule.pattern}(?= )").alias("pattern"), F.lit(rule.keyword).alias("keyword"),
+        F.lit(f"(?<= ){rule.pattern}(?= )").alias("pattern"), F.lit(rule.keyword).alias("keyword"), F.lit(rule.gate).alias("gate"),
         F.lit(3 - rule.priority).alias("rank"), F.lit(rule.label).alias("label"),
         F.lit(rule.confidence).alias("confidence"), F.lit(rule.base).alias("base"),
     )
 
 
 def _blanks(text: Column) -> Column:
-    return F.length(text) - F.length(F.translate(text, " ", ""))
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
 def _places(words: Column, rule: Column) -> Column:
@@ -218,13 +248,22 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spaced = F.trim(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), NOT_WORD, " "))
     rows = docs.select(F.col(id_col), F.concat(F.lit(" "), spaced, F.lit(" ")).alias("_ql_words"))
     lowered = F.lower("_ql_words")
+    open_ = F.lit(False)
+    for gate in gates():
+        open_ = open_ | F.contains(lowered, F.lit(gate))
     rows = rows.select(
         F.col(id_col),
         F.when(F.col("_ql_words") == "  ", 0).otherwise(_blanks(F.col("_ql_words")) - 1).cast("long").alias("n_words"),
-        F.when(F.rlike(lowered, F.lit("|".join(gates()))), F.translate("_ql_words", UPPER, LOWER)).alias("_ql_words"),
+        F.when(open_, F.translate("_ql_words", UPPER, LOWER)).alias("_ql_words"),
     )
     table = F.array(*[_literal(r) for r in rules()])
-    wanted = F.filter(table, lambda r: F.contains(F.col("_ql_words"), r["keyword"]))
+    literals = F.array(*[F.lit(x) for x in sorted({r.keyword for r in rules()} | {r.gate for r in rules()})])
+    present = F.when(F.col("_ql_words").isNotNull(), F.filter(literals, lambda x: F.contains(F.col("_ql_words"), x)))
+    rows = rows.select("*", present.alias("_ql_present"))
+    wanted = F.filter(
+        table,
+        lambda r: F.array_contains(F.col("_ql_present"), r["keyword"]) & F.array_contains(F.col("_ql_present"), r["gate"]),
+    )
     found = F.when(F.col("_ql_words").isNotNull(), F.flatten(F.transform(wanted, lambda r: _places(F.col("_ql_words"), r))))
     none = F.array().cast("array<struct<start:int,minus_end:int,rank:int,label:string,confidence:double,base:boolean>>")
     rows = rows.select(F.col(id_col), "n_words", F.coalesce(found, none).alias("found"))

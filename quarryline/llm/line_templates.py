@@ -29,64 +29,57 @@ VARIABLE = "<*>"
 _DIGIT_TOKEN = r"(?<!\S)[^\s\d]*+\d\S*"
 
 
-def masked_tokens(line: Column) -> Column:
-    """Tokens between blanks, those with a digit as the variable field."""
-    spaced = F.regexp_replace(F.regexp_replace(line, _DIGIT_TOKEN, VARIABLE), r"\s+", " ")
-    return F.split(F.trim(spaced), " ")
-
-
-def _hashes(line: Column) -> Column:
-    """For a line of enough tokens the hash pairs of its templates, the whole one first."""
-    tokens = masked_tokens(line)
-    return F.when(
-        F.size(tokens) >= LEAST_TOKENS,
-        F.transform(
-            F.array(tokens),
-            lambda t: F.struct(
-                F.size(t).alias("n"),
-                F.slice(t, 1, LEADING_TOKENS).alias("lead"),
-                *[
-                    F.slice(t, _edge(t, k) + 1, _edge(t, k + 1) - _edge(t, k)).alias(f"part{k}")
-                    for k in range(STRETCHES)
-                ],
-            ),
-        )[0],
-    )
-
-
-def _edge(tokens: Column, k: int) -> Column:
-    """Tokens before stretch k."""
-    rest = F.size(tokens) - LEADING_TOKENS
-    return F.floor(rest * k / STRETCHES).cast("int") + LEADING_TOKENS
-
-
-def _templates(line: Column) -> Column:
-    """array<struct<h bigint, g int>>: 96 bits for each template of a line, the whole one first."""
-
-    def both(left_out: int, p: Column) -> Column:
-        # A stretch without tokens makes the whole template again; its number keeps them apart.
-        parts = [p["lead"]] + [p[f"part{k}"] if k != left_out else F.lit(VARIABLE) for k in range(STRETCHES)]
-        return F.struct(
-            F.xxhash64(p["n"], F.lit(left_out), *parts).alias("h"), F.hash(*parts, p["n"], F.lit(left_out)).alias("g")
-        )
+def masked(line: Column) -> Column:
+    """The line with every token that has a digit as the variable field."""
+    return F.when(F.rlike(line, F.lit("[0-9]")), F.regexp_replace(line, _DIGIT_TOKEN, VARIABLE)).otherwise(line)
 
-    def fixed_left(p: Column, k: int) -> Column:
-        """A template needs a variable stretch of at least a token, and fixed tokens enough."""
-        return (F.size(p[f"part{k}"]) > 0) & (p["n"] - F.size(p[f"part{k}"]) >= LEAST_TOKENS)
 
-    return F.transform(
-        F.array(_hashes(line)),
-        lambda p: F.when(
-            p.isNotNull(),
-            F.array_compact(F.array(both(-1, p), *[F.when(fixed_left(p, k), both(k, p)) for k in range(STRETCHES)])),
-        ),
-    )[0]
+def _edge(k: int) -> Column:
+    """Tokens before stretch k of a line of n tokens."""
+    return F.floor(F.greatest(F.col("n") - LEADING_TOKENS, F.lit(0)) * k / STRETCHES).cast("int") + LEADING_TOKENS
 
 
 def _proposals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_ql_id, line, h, g): a row for each line and template."""
+    """(_ql_id, line, h, g): for each line and template 96 bits of hash.
+
+    Tokens stand between single blanks.  Each stretch is hashed once, with its
+    place; a template is the exclusive or of the hashes of all stretches but the
+    variable one.  Stretches are cut as strings, which stays in generated code.
+    """
+    stretches = range(STRETCHES)
     lines = docs.select(F.col(id_col).alias("_ql_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line", "content"))
-    return lines.select("_ql_id", "line", F.explode(_templates(F.col("content"))).alias("t")).select("_ql_id", "line", "t.h", "t.g")
+    lines = lines.select("_ql_id", "line", masked(F.col("content")).alias("content"))
+    blanks = F.length("content") - F.length(F.replace(F.col("content"), F.lit(" "), F.lit("")))
+    lines = lines.select("*", (blanks + 1).alias("n"))
+    lines = lines.select("*", *[_edge(k).alias(f"e{k}") for k in range(STRETCHES + 1)])
+    lines = lines.select("*", *[F.expr(f"substring_index(content, ' ', e{k})").alias(f"upto{k}") for k in range(STRETCHES + 1)])
+    parts = lines.select(
+        "_ql_id", "line", "n", *[f"e{k}" for k in range(STRETCHES + 1)], F.col("upto0").alias("lead"),
+        *[
+            F.substr("content", F.length(f"upto{k}") + 1, F.length(f"upto{k + 1}") - F.length(f"upto{k}")).alias(f"part{k}")
+            for k in stretches
+        ],
+    )
+    hashes = parts.select(
+        "_ql_id", "line", "n", *[f"e{k}" for k in range(STRETCHES + 1)],
+        F.xxhash64("lead", "n").alias("h_lead"), F.hash("lead", "n").alias("g_lead"),
+        *[F.xxhash64(f"part{k}", F.lit(k)).alias(f"h{k}") for k in stretches],
+        *[F.hash(f"part{k}", F.lit(k)).alias(f"g{k}") for k in stretches],
+    )
+    whole = {side: F.col(f"{side}_lead") for side in "hg"}
+    for k in stretches:
+        whole = {side: whole[side].bitwiseXOR(F.col(f"{side}{k}")) for side in "hg"}
+    hashes = hashes.withColumns({"h": whole["h"], "g": whole["g"]})
+
+    def proposed(k: int) -> Column:
+        """A variable stretch needs a token, and its line fixed tokens enough."""
+        width = F.col(f"e{k + 1}") - F.col(f"e{k}")
+        allowed = (width > 0) & (F.col("n") - width >= LEAST_TOKENS)
+        return F.when(allowed, F.struct(F.col("h").bitwiseXOR(F.col(f"h{k}")).alias("h"), F.col("g").bitwiseXOR(F.col(f"g{k}")).alias("g")))
+
+    templates = F.array(F.struct("h", "g"), *[proposed(k) for k in stretches])
+    rows = hashes.select("_ql_id", "line", F.explode(F.when(F.col("n") >= LEAST_TOKENS, templates)).alias("t"))
+    return rows.where(F.col("t").isNotNull()).select("_ql_id", "line", "t.h", "t.g")
 
 
 def recurring_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_DOCUMENTS) -> DataFrame:

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import license_rules, line_templates, merkle, mixing, token_counts
+from quarryline.llm import (
+    decontaminate, jaccard_join, language, license_rules, line_templates, merkle, mixing, pii, secrets,
+    token_counts,
+)
 
 VOCABULARY_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -57,3 +60,47 @@ def op5_pareto_mix(spark, folder):
 def op9_merkle_prints(spark, folder):
     """Fingerprints of every document and of its edited text, and how alike they are."""
     return merkle.edit_likeness(_table(spark, folder))
+
+
+@_query
+def op4_pii(spark, folder):
+    """Personal data in every document."""
+    return pii.scan_pii(_table(spark, folder))
+
+
+@_query
+def op6_decontaminate(spark, folder):
+    """Documents that hold a benchmark item or a near copy of one, with those items."""
+    found = decontaminate.contaminated(_table(spark, folder), _table(spark, folder, "benchmark"))
+    return found.groupBy("doc_id").agg(
+        F.count("*").alias("n_items"), F.max("similarity").alias("similarity"),
+        F.array_join(F.transform(F.array_sort(F.collect_list("item_id")), lambda x: x.cast("string")), ",").alias("item_ids"),
+    )
+
+
+@_query
+def op7_language(spark, folder):
+    """The predicted language of every document."""
+    docs = _table(spark, folder)
+    filters = language.train_on(docs)
+    return language.predict(docs, filters, keep=["doc_id"]).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@_query
+def op8_jaccard_join(spark, folder):
+    """Near-duplicate class and links of every document."""
+    return jaccard_join.near_duplicates(_table(spark, folder))
+
+
+@_query
+def op10_secrets(spark, folder):
+    """Secrets of the documents that have something like one."""
+    found = secrets.scan_secrets(_table(spark, folder))
+    span = F.when(F.col("is_secret"), F.struct("start", "end"))
+    spans = F.transform(F.array_sort(F.collect_list(span)), lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return found.groupBy("doc_id").agg(
+        F.count("*").alias("n_candidates"), F.count_if("is_secret").alias("n_secrets"),
+        F.round(F.max("score"), 6).alias("score"), F.array_join(spans, ",").alias("spans"),
+    )
