@@ -44,19 +44,22 @@ def _proposals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Tokens stand between single blanks.  Each stretch is hashed once, with its
     place; a template is the exclusive or of the hashes of all stretches but the
-    variable one.  Stretches are cut as strings, which stays in generated code.
+    variable one.  Stretches are cut as bytes, which stays in generated code.
     """
     stretches = range(STRETCHES)
     lines = docs.select(F.col(id_col).alias("_ql_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line", "content"))
     lines = lines.select("_ql_id", "line", masked(F.col("content")).alias("content"))
-    blanks = F.length("content") - F.length(F.replace(F.col("content"), F.lit(" "), F.lit("")))
+    blanks = F.octet_length("content") - F.octet_length(F.replace(F.col("content"), F.lit(" "), F.lit("")))
     lines = lines.select("*", (blanks + 1).alias("n"))
     lines = lines.select("*", *[_edge(k).alias(f"e{k}") for k in range(STRETCHES + 1)])
     lines = lines.select("*", *[F.expr(f"substring_index(content, ' ', e{k})").alias(f"upto{k}") for k in range(STRETCHES + 1)])
     parts = lines.select(
         "_ql_id", "line", "n", *[f"e{k}" for k in range(STRETCHES + 1)], F.col("upto0").alias("lead"),
         *[
-            F.substr("content", F.length(f"upto{k}") + 1, F.length(f"upto{k + 1}") - F.length(f"upto{k}")).alias(f"part{k}")
+            F.substr(
+                F.col("content").cast("binary"), F.octet_length(f"upto{k}") + 1,
+                F.octet_length(f"upto{k + 1}") - F.octet_length(f"upto{k}"),
+            ).alias(f"part{k}")
             for k in stretches
         ],
     )
