@@ -247,10 +247,10 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     spaced = F.trim(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), NOT_WORD, " "))
     rows = docs.select(F.col(id_col), F.concat(F.lit(" "), spaced, F.lit(" ")).alias("_ql_words"))
-    lowered = F.lower("_ql_words")
+    rows = rows.select("*", F.lower("_ql_words").alias("_ql_lowered"))
     open_ = F.lit(False)
     for gate in gates():
-        open_ = open_ | F.contains(lowered, F.lit(gate))
+        open_ = open_ | F.contains(F.col("_ql_lowered"), F.lit(gate))
     rows = rows.select(
         F.col(id_col),
         F.when(F.col("_ql_words") == "  ", 0).otherwise(_blanks(F.col("_ql_words")) - 1).cast("long").alias("n_words"),
