@@ -205,8 +205,8 @@ def contaminated(
 ) -> DataFrame:
     """(id, item, similarity) for each document and each item that a window of it resembles by LEAST or more.
 
-    Window and item are compared at the item's size in words; a text shorter than
-    the item is compared whole, and an item of fewer than five words, which has no
+    Window and item are compared at the item's size in words; a window may be cut
+    short by the start or the end of its text, and an item of fewer than five words, which has no
     shingle of five, matches only a text of its words.  Items without words and documents without words
     match nothing; null texts count as empty; repeated items are items of their
     own, rows that share an id are one document, null ids come out as null.  Empty
