@@ -102,7 +102,9 @@ def test_contaminated(spark, frame):
         words = WORD.findall(text or "")
         for item, body in enumerate(items):
             size = len(WORD.findall(body or ""))
-            windows = [words[k : k + size] for k in range(max(1, len(words) - size + 1))] if size and words else []
+            # Windows may be cut short by the start or the end of the text.
+            windows = [words[max(0, k) : k + size] for k in range(1 - size, len(words))] if size and words else []
+            windows = [w for w in windows if len(w) >= 5 or w == words]
             if any(similar(shingles(" ".join(w)), shingles(body)) >= 0.8 for w in windows):
                 want.add((doc, item))
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(frame(rows), benchmark).collect()}
