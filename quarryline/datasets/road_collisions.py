@@ -145,8 +145,10 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_codebook(book: DataFrame, table: str) -> CodeBook:
-    """The code-book of one table without its missing-value codes."""
-    return CodeBook(read_codebook(book).filter(F.col("table") == table), drop_missing_code=True)
+    """The code-book of one table without its missing-value codes; of a repeated
+    code the row last by ``_row`` wins if the book has that column."""
+    order = F.col("_row") if "_row" in book.columns else None
+    return CodeBook(read_codebook(book, order).filter(F.col("table") == table), drop_missing_code=True)
 
 
 def severity() -> Column:

@@ -1,17 +1,18 @@
-"""Recoding by small literal maps, closed domains and declaration order.
+"""Recoding by maps written in code, closed domains and declaration order.
 
-For maps too large to write as a literal see ``operators.codebook``.
+For lookups that are tables see ``operators.codebook``.
 """
 
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Mapping, Sequence
 from itertools import chain
 
 from pyspark.sql import Column, functions as F
 
-# A literal map is searched entry by entry, so past this many a join is cheaper.
+# A map is searched entry by entry, so a longer one is dealt into parts of about this many.
 LITERAL_MAP_LIMIT = 64
 
 
@@ -23,16 +24,26 @@ def slug(label: str) -> str:
 def literal_map(mapping: Mapping) -> Column:
     """The map as a constant.  Text maps travel as one JSON literal, which the
     optimizer folds into the map once, instead of two calls per entry."""
-    if len(mapping) > LITERAL_MAP_LIMIT:
-        raise ValueError(f"{len(mapping)} entries: use operators.codebook.apply_lookup")
-    if all(isinstance(x, str) for x in chain.from_iterable(mapping.items())):
+    if _is_text(mapping):
         return F.from_json(F.lit(json.dumps(dict(mapping))), "map<string,string>")
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
 
 
+def _is_text(mapping: Mapping) -> bool:
+    return all(isinstance(x, str) for x in chain.from_iterable(mapping.items()))
+
+
 def recode_lenient(c: Column, mapping: Mapping) -> Column:
-    """Mapped label, or null for a code the map does not hold."""
-    return F.try_element_at(literal_map(mapping), c)
+    """Mapped label, or null for a code the map does not hold; maps of any length."""
+    n_parts = -(-len(mapping) // LITERAL_MAP_LIMIT)
+    if n_parts <= 1 or not _is_text(mapping):
+        return F.try_element_at(literal_map(mapping), c)
+    parts: list[dict[str, str]] = [{} for _ in range(n_parts)]
+    for code, label in mapping.items():
+        parts[zlib.crc32(code.encode()) % n_parts][code] = label
+    dealt = F.from_json(F.lit(json.dumps(parts)), "array<map<string,string>>")
+    part = F.crc32(c.cast("binary")) % n_parts
+    return F.try_element_at(F.get(dealt, part.cast("int")), c)
 
 
 def recode_strict(c: Column, mapping: Mapping, name: str = "value") -> Column:

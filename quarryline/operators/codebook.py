@@ -11,34 +11,42 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from quarryline.functions.codes import LITERAL_MAP_LIMIT, literal_map
+from quarryline.functions.codes import LITERAL_MAP_LIMIT, recode_lenient
 from quarryline.functions.text import replace_first
 from quarryline.plans.sizing import BROADCAST_ROWS
 from quarryline.session import pin
 from quarryline.sources.literal import literal_table
 
-# A code-book past this many rows is joined, never brought to the driver.
-CODEBOOK_ROWS = 10_000
 MISSING_CODE = "-1"
 
 
 # ---- building lookups ------------------------------------------------------
 
 
+def one_label(rows: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """One label for each code.  Of a repeated code the row last in ``order`` wins;
+    without an order a code with two different labels fails the job."""
+    if order is not None:
+        return rows.groupBy(*keys).agg(F.max_by("label", F.struct(order, "label")).alias("label"))
+    found = rows.groupBy(*keys).agg(F.min("label").alias("label"), F.max("label").alias("_other"))
+    message = F.concat(F.lit("two labels for code "), F.col("code"))
+    checked = F.when(F.col("label") == F.col("_other"), F.col("label")).otherwise(F.raise_error(message).cast("string"))
+    return found.select(*keys, checked.alias("label"))
+
+
 def lookup_from_columns(
     df: DataFrame, code: int = 0, label: int = 1, order: Column | None = None
 ) -> DataFrame:
-    """Two columns chosen by position; rows with a null dropped; of repeated
-    codes the one last in ``order`` wins."""
+    """Two columns chosen by position; rows with a null dropped; repeated codes as in ``one_label``."""
     code_c, label_c = df.columns[code], df.columns[label]
     pairs = df.select(
         F.col(code_c).cast("string").alias("code"),
         F.col(label_c).cast("string").alias("label"),
-        (F.col(label_c).cast("string") if order is None else order).alias("_at"),
+        *([] if order is None else [order.alias("_at")]),
     ).na.drop(subset=["code", "label"])
-    return pairs.groupBy("code").agg(F.max_by("label", "_at").alias("label"))
+    return one_label(pairs, ["code"], None if order is None else "_at")
 
 
 def literal_lookup(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
@@ -86,7 +94,7 @@ def with_labels(
     labels: dict[str, Column] = {}
     for recode, lookup in recodes:
         if isinstance(lookup, Mapping):
-            found = F.try_element_at(literal_map(lookup), F.col(recode.column).cast("string"))
+            found = recode_lenient(F.col(recode.column).cast("string"), lookup)
         else:
             at = (recode.column, id(lookup))
             if at not in sides:
@@ -162,10 +170,11 @@ def check_domain(df: DataFrame, column: str, lookup: DataFrame) -> DataFrame:
 # ---- code-book of many fields ---------------------------------------------
 
 
-def read_codebook(df: DataFrame) -> DataFrame:
+def read_codebook(df: DataFrame, order: Column | None = None) -> DataFrame:
     """Standard shape ``(table, field, code, label)`` of a published code-book,
-    with the two names that differ between book and data put right."""
-    named = df.toDF(*[c.strip().lower() for c in df.columns])
+    with the two names that differ between book and data put right; ``at`` holds
+    the rows' order if one is given."""
+    named = df.withColumnsRenamed({c: c.strip().lower() for c in df.columns})
     return named.select(
         replace_first(F.col("table"), "accident", "collision").alias("table"),
         replace_first(
@@ -173,47 +182,38 @@ def read_codebook(df: DataFrame) -> DataFrame:
         ).alias("field"),
         F.col("code/format").cast("string").alias("code"),
         F.col("label").cast("string").alias("label"),
+        *([] if order is None else [order.alias("at")]),
     )
 
 
 class CodeBook:
     """The fields of one code-book that a table's coded columns need.
 
-    A book of up to ``CODEBOOK_ROWS`` rows is read once; its short fields turn
-    into literal maps (no join), its long ones into small joined lookups.  A
-    larger book is only ever joined.
+    The book is read once and pinned with one label for each code: of a repeated
+    code the row last in the book's column ``at`` wins; without that column two
+    labels fail the job.  Short fields are written as literal maps (no join),
+    longer ones are joined; the labels are the same either way.
     """
 
     def __init__(self, book: DataFrame, drop_missing_code: bool = False):
         usable = book.filter(F.col("code").isNotNull() & F.col("label").isNotNull())
         self.book = usable.filter(F.col("code") != MISSING_CODE) if drop_missing_code else usable
-        head = self.book.select("field", "code", "label").limit(CODEBOOK_ROWS + 1).collect()
-        self.maps: dict[str, dict[str, str]] | None = None
-        if len(head) <= CODEBOOK_ROWS:
-            self.maps = {}
-            for row in head:
-                self.maps.setdefault(row.field, {})[row.code] = row.label
-        self._fields = None
-
-    @property
-    def fields(self) -> set[str]:
-        if self.maps is not None:
-            return set(self.maps)
-        if self._fields is None:
-            self._fields = {r.field for r in self.book.select("field").distinct().collect()}
-        return self._fields
+        self._labels = pin(one_label(self.book, ["field", "code"], "at" if "at" in book.columns else None))
+        counts = self._labels.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each column
+        self.fields = {r.field for r in counts}
+        short = [r.field for r in counts if r.n <= LITERAL_MAP_LIMIT]
+        self._maps: dict[str, dict[str, str]] = {}
+        for row in self._labels.filter(F.col("field").isin(*short)).collect() if short else []:
+            self._maps.setdefault(row.field, {})[row.code] = row.label
 
     def literal(self, field: str) -> dict[str, str] | None:
         """The field's map if it is short enough to write as a literal."""
-        found = None if self.maps is None else self.maps.get(field)
-        return found if found is not None and len(found) <= LITERAL_MAP_LIMIT else None
+        return self._maps.get(field)
 
     def lookup(self, field: str) -> DataFrame:
-        rows = self.book.filter(F.col("field") == field)
-        return rows.groupBy("code").agg(F.max("label").alias("label"))
-
-    def domain(self, field: str) -> Sequence[str]:
-        """Labels in the sorted order a coded column compares by."""
-        if self.maps is not None:
-            return sorted(set(self.maps.get(field, {}).values()))
-        return sorted(r.label for r in self.lookup(field).select("label").distinct().collect())
+        return self._labels.filter(F.col("field") == field).select("code", "label")
+
+    def domain(self, field: str) -> DataFrame:
+        """``label, position``: labels in the sorted order a coded column compares by."""
+        labels = self.lookup(field).select("label").distinct()
+        return labels.withColumn("position", F.row_number().over(Window.orderBy("label")))

@@ -1,13 +1,12 @@
 """Exact order statistics per group: nearest-rank quantiles and medians.
 
 Spark's ``percentile`` and ``median`` keep every distinct value of a group in
-one task, and ``percentile_approx`` is not exact.  Two exact plans are used:
-
-* every group proves small: count per (group, value), then a running count;
-* otherwise: one mergeable sketch per large group brackets each wanted rank, a
-  second pass counts what lies inside the brackets value by value and what lies
-  between them in bulk, and the running count sees just that.  A large group is
-  never shuffled whole and no task holds one.
+one task, and ``percentile_approx`` is not exact.  Here values are counted per
+(group, value), the counts are dealt to ranges of (group, value), and each
+range's sum gives the running count at which the next range of the group starts.
+Only the ranges that hold a wanted rank are then ordered.  A group of any size
+is spread over as many ranges as its values need, and the plan is the same at
+every size.
 """
 
 from __future__ import annotations
@@ -15,104 +14,62 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quarryline.functions.maths import ln_ieee
-from quarryline.plans.sizing import ROWS_IN_ONE_TASK, largest_group, small_side
 from quarryline.session import pin
 
 QUARTILES_AND_TAILS = (0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95)
-SKETCH_ACCURACY = 10_000
 
 
 @dataclass(frozen=True)
 class Rank:
-    """A wanted output: where it lies (fraction) and its exact 0-based rank among n."""
+    """A wanted output and its exact 0-based rank among n."""
 
     name: str
-    fraction: float
     rank: Callable[[Column], Column]
 
 
 def nearest(name: str, q: float) -> Rank:
     """Nearest rank, halves away from zero."""
-    return Rank(name, q, lambda n: F.floor((n - 1) * F.lit(float(q)) + 0.5))
+    return Rank(name, lambda n: F.floor((n - 1) * F.lit(float(q)) + 0.5))
 
 
-def order_statistics(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    ranks: Sequence[Rank],
-    rows_in_one_task: int = ROWS_IN_ONE_TASK,
-    accuracy: int = SKETCH_ACCURACY,
-) -> DataFrame:
+def order_statistics(df: DataFrame, keys: Sequence[str], value: str, ranks: Sequence[Rank]) -> DataFrame:
     """One row per group (a null key is a group) with the exact value at each rank.
 
-    Null values are not counted; a group without values yields nulls.
+    Null values are not counted; a group without values yields nulls.  The input
+    is read once, when this is called; the counts are pinned with their range.
     """
-    rows = df.select(*keys, F.col(value).alias("_v"))
-    if largest_group(rows, keys) <= rows_in_one_task:
-        counted = rows.withColumns({"_rep": F.col("_v"), "_gap": F.lit(0)})
-    else:
-        counted = _bracketed(rows, keys, ranks, rows_in_one_task, accuracy)
-    return _pick(counted, keys, ranks)
-
-
-def _bracketed(rows, keys, ranks, rows_in_one_task, accuracy) -> DataFrame:
-    """Rows as slots: the value itself where it may be wanted, else the end of the
-    bracket below it.  Only groups too large for one task are sketched."""
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = _renamed(pin(sizes.filter(F.col("_rows") > rows_in_one_task)), keys)
-    # Sketch error is n/accuracy ranks; doubled, plus three ranks for rounding in
-    # any group that is too large for the simple plan.
-    slack = 2.0 / accuracy + 3.0 / rows_in_one_task
-    wanted = sorted({r.fraction for r in ranks})
-    fractions = [f for q in wanted for f in (max(q - slack, 0.0), min(q + slack, 1.0))]
-    sketched = rows.join(small_side(large), _same_group(rows, large, keys), "left_semi")
-    brackets = _renamed(
-        pin(sketched.groupBy(*keys).agg(F.percentile_approx("_v", fractions, accuracy).alias("_ends"))), keys
-    )
-    ends = [F.col("_ends")[i] for i in range(len(fractions))]
-    inside, below = F.col("_ends").isNull(), F.lit(None)
-    for low, high in zip(ends[0::2], ends[1::2], strict=True):
-        inside = inside | F.col("_v").between(low, high)
-    for high in ends[1::2]:
-        below = F.when(F.col("_v") > high, high).otherwise(below)
-    joined = rows.join(small_side(brackets), _same_group(rows, brackets, keys), "left")
-    return joined.select(
-        *[rows[k] for k in keys],
-        "_v",
-        F.when(inside, F.col("_v")).otherwise(below).alias("_rep"),
-        F.when(inside | F.col("_v").isNull(), 0).otherwise(1).alias("_gap"),
-    )
-
-
-def _renamed(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return groups.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-
-
-def _same_group(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality of all keys, so the null group finds its own row."""
-    return reduce(lambda a, b: a & b, [rows[k].eqNullSafe(groups[f"_k_{k}"]) for k in keys])
-
-
-def _pick(counted: DataFrame, keys: Sequence[str], ranks: Sequence[Rank]) -> DataFrame:
-    slots = counted.groupBy(*keys, "_rep", "_gap").agg(F.count("_v").alias("_c"))
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("_rep", "_gap").rowsBetween(Window.unboundedPreceding, 0)
-    running = slots.withColumns(
-        {"_hi": F.sum("_c").over(upto), "_n": F.sum("_c").over(group)}
-    )
+    # Structs compare and join null-safely, so the null group finds its own rows.
+    group = F.struct(F.lit(0).alias("_all"), *[F.col(k) for k in keys]).alias("_group")
+    counted = df.select(group, F.col(value).alias("_v")).groupBy("_group", "_v").agg(F.count("_v").alias("_c"))
+    dealt = pin(counted.repartitionByRange("_group", "_v").withColumn("_range", F.spark_partition_id()))
+
+    wanted = _ranges(dealt, ranks).filter("_n = 0 or _holds_rank")
+    inner = Window.partitionBy("_group", "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    running = dealt.join(wanted, ["_group", "_range"]).withColumn("_upto", F.col("_before") + F.sum("_c").over(inner))
     outputs = []
     for r in ranks:
         at = r.rank(F.col("_n"))
-        hit = (F.col("_hi") - F.col("_c") <= at) & (at < F.col("_hi"))
-        missed = F.raise_error(F.lit(f"{r.name}: rank outside its bracket, raise accuracy"))
-        picked = F.when(F.col("_gap") == 0, F.col("_rep")).otherwise(missed)
-        outputs.append(F.max(F.when(hit, picked)).alias(r.name))
-    return running.groupBy(*keys).agg(*outputs)
+        hit = (F.col("_upto") - F.col("_c") <= at) & (at < F.col("_upto"))
+        outputs.append(F.max(F.when(hit, F.col("_v"))).alias(r.name))
+    found = running.groupBy("_group").agg(*outputs)
+    return found.select(*[F.col("_group")[k].alias(k) for k in keys], *[f"`{r.name}`" for r in ranks])
+
+
+def _ranges(dealt: DataFrame, ranks: Sequence[Rank]) -> DataFrame:
+    """A row for each range a group touches: values before it, values of the group,
+    and whether a wanted rank lies in it.  There are as many as groups and ranges together."""
+    sums = dealt.groupBy("_group", "_range").agg(F.sum("_c").alias("_sum"))
+    group = Window.partitionBy("_group")
+    upto = F.sum("_sum").over(group.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0))
+    placed = sums.withColumns({"_before": upto - F.col("_sum"), "_n": F.sum("_sum").over(group)})
+    at = [r.rank(F.col("_n")) for r in ranks]
+    held = reduce(or_, [(F.col("_before") <= a) & (a < F.col("_before") + F.col("_sum")) for a in at])
+    return placed.withColumn("_holds_rank", held).drop("_sum")
 
 
 def quantiles_nearest(
@@ -120,24 +77,21 @@ def quantiles_nearest(
     keys: Sequence[str],
     value: str,
     quantiles: Sequence[float] = QUARTILES_AND_TAILS,
-    **plan,
 ) -> DataFrame:
     """Columns ``<value>_q0.05`` and so on, exact, per group."""
     ranks = [nearest(f"{value}_q{q:.2f}", q) for q in quantiles]
-    return order_statistics(df, keys, value, ranks, **plan)
+    return order_statistics(df, keys, value, ranks)
 
 
-def median_by(df: DataFrame, keys: Sequence[str], value: str, name: str, **plan) -> DataFrame:
+def median_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Mean of the two middle values, exact, per group."""
     middle = [
-        Rank("_low", 0.5, lambda n: F.floor((n - 1) / 2)),
-        Rank("_high", 0.5, lambda n: F.floor(n / 2)),
+        Rank("_low", lambda n: F.floor((n - 1) / 2)),
+        Rank("_high", lambda n: F.floor(n / 2)),
     ]
-    found = order_statistics(df, keys, value, middle, **plan)
+    found = order_statistics(df, keys, value, middle)
     return found.select(*keys, ((F.col("_low") + F.col("_high")) / 2).alias(name))
 
 
-def log_median(df: DataFrame, keys: Sequence[str], value: str, name: str, **plan) -> DataFrame:
-    return median_by(df, keys, value, name, **plan).withColumn(name, ln_ieee(F.col(name)))
-
-
+def log_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    return median_by(df, keys, value, name).withColumn(name, ln_ieee(F.col(name)))

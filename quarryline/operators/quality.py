@@ -10,12 +10,10 @@ STATUS_OKAY = 200
 
 
 def bad_status(manifest: DataFrame, status: str, key: str, url: str) -> DataFrame:
-    """Responses other than 200, with a message naming key and url."""
-    message = F.concat(
-        F.lit("bad response for "), F.col(key).cast("string"), F.lit(" at "), F.col(url),
-        F.lit(": "), F.col(status).cast("string"),
-    )
-    return manifest.filter(F.col(status) != STATUS_OKAY).select(key, url, status, message.alias("message"))
+    """Responses other than 200, also those without a status, with a message naming key and url."""
+    told = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in (key, url, status)]
+    message = F.concat(F.lit("bad response for "), told[0], F.lit(" at "), told[1], F.lit(": "), told[2])
+    return manifest.filter(~F.col(status).eqNullSafe(STATUS_OKAY)).select(key, url, status, message.alias("message"))
 
 
 def payload_flags(body: Column) -> dict[str, Column]:
@@ -33,27 +31,37 @@ def payload_problems(df: DataFrame, body: str, keep: Sequence[str]) -> DataFrame
 
 
 def chunk_gaps(manifest: DataFrame, ids: DataFrame, id_column: str, size: int) -> DataFrame:
-    """Chunks whose number of distinct landed ids differs from their declared range."""
-    landed = ids.select(F.floor((F.col(id_column) - 1) / size).cast("bigint").alias("chunk"), id_column)
-    counted = landed.groupBy("chunk").agg(F.count_distinct(id_column).alias("n_landed"))
-    declared = manifest.withColumn("n_declared", F.col("id_end") - F.col("id_start") + 1)
-    joined = declared.join(counted, "chunk", "left").withColumn(
-        "n_landed", F.coalesce("n_landed", F.lit(0).cast("bigint"))
+    """Chunks that lack a declared id or hold one that is not declared.
+
+    ``n_landed`` counts the distinct ids inside a chunk's range, ``n_stray`` those
+    outside it; a chunk that nobody declared has ``n_declared`` 0 and only strays.
+    """
+    landed = ids.select(F.floor((F.col(id_column) - 1) / size).cast("bigint").alias("chunk"), F.col(id_column).alias("_id"))
+    joined = manifest.join(landed.na.drop().distinct(), "chunk", "full")
+    inside = F.coalesce(F.col("_id").between(F.col("id_start"), F.col("id_end")), F.lit(False))
+    declared = [c for c in manifest.columns if c != "chunk"]
+    counted = joined.groupBy("chunk", *declared).agg(
+        F.count_if(inside).alias("n_landed"), F.count_if(F.col("_id").isNotNull() & ~inside).alias("n_stray")
     )
-    return joined.filter(F.col("n_landed") != F.col("n_declared"))
+    n_declared = F.coalesce(F.col("id_end") - F.col("id_start") + 1, F.lit(0)).cast("bigint")
+    return counted.withColumn("n_declared", n_declared).filter("n_landed <> n_declared or n_stray > 0")
 
 
-def exactly_one(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """The single ``name`` of each group; a group with none or several fails the job."""
-    found = df.groupBy(*keys).agg(F.count(name).alias("_n"), F.min(name).alias(name))
+def exactly_one(df: DataFrame, keys: Sequence[str], name: str, wanted: Column | None = None) -> DataFrame:
+    """The single ``name`` of each group that ``wanted`` holds for; a group with none or
+    several fails the job.  Pass all rows with the predicate: a group that a filter has
+    emptied could not be seen."""
+    hit = F.col(name) if wanted is None else F.when(wanted, F.col(name))
+    found = df.groupBy(*keys).agg(F.count(hit).alias("_n"), F.min(hit).alias(name))
     message = F.concat(F.lit(f"expected exactly one {name}, found "), F.col("_n").cast("string"))
     checked = F.when(F.col("_n") == 1, F.col(name)).otherwise(F.raise_error(message).cast("string"))
     return found.select(*keys, checked.alias(name))
 
 
-def match_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def match_counts(df: DataFrame, keys: Sequence[str], name: str, wanted: Column | None = None) -> DataFrame:
     """Groups that ``exactly_one`` would refuse, with their number of matches."""
-    return df.groupBy(*keys).agg(F.count(name).alias("n_matches")).filter("n_matches <> 1")
+    hit = F.col(name) if wanted is None else F.when(wanted, F.col(name))
+    return df.groupBy(*keys).agg(F.count(hit).alias("n_matches")).filter("n_matches <> 1")
 
 
 def digest_state(df: DataFrame, content: str, expected: str) -> DataFrame:

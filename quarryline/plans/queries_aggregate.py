@@ -129,7 +129,7 @@ def agg_quantiles_hot_group(spark, sf):
     kinds = lines.select(
         F.when(F.col("l_returnflag") != "R", F.lit("x")).alias("kind"), F.col("l_extendedprice").alias("v")
     )
-    return orderstats.quantiles_nearest(kinds, ["kind"], "v", (0.05, 0.5, 0.95), rows_in_one_task=1000)
+    return orderstats.quantiles_nearest(kinds, ["kind"], "v", (0.05, 0.5, 0.95))
 
 
 @query(

@@ -73,6 +73,40 @@ def dq_chunk_gaps(spark, sf):
     return quality.chunk_gaps(manifest, landed, "id", 40).select("chunk", "n_landed", "n_declared")
 
 
+@query(
+    "dq_chunk_strays",
+    """WITH ids AS (SELECT DISTINCT CASE event_type WHEN 'signup' THEN event_id + 1000003 ELSE event_id + 1 END AS id
+                   FROM events WHERE event_type <> 'error'),
+        m AS (SELECT unnest(range(0, (SELECT CAST(ceil(count(*) / 40.0) AS BIGINT) FROM events))) AS c),
+        d AS (SELECT c, c * 40 + 1 AS lo, least((c + 1) * 40, (SELECT count(*) FROM events)) AS hi FROM m),
+        j AS (SELECT CAST((id - 1) // 40 AS BIGINT) AS c, id FROM ids),
+        t AS (SELECT coalesce(d.c, j.c) AS chunk, count(*) FILTER (id BETWEEN lo AND hi) AS n_landed,
+                count(*) FILTER (id IS NOT NULL AND (lo IS NULL OR id < lo OR id > hi)) AS n_stray,
+                coalesce(max(hi - lo + 1), 0) AS n_declared FROM d FULL JOIN j ON d.c = j.c GROUP BY 1)
+       SELECT * FROM t WHERE n_landed <> n_declared OR n_stray > 0""",
+)
+def dq_chunk_strays(spark, sf):
+    """Sign-ups land under ids nobody declared, errors don't land."""
+    events = table(spark, sf, "events", "event_id", "event_type")
+    manifest = calendars.chunks(events.agg(F.count(F.lit(1)).alias("n")), F.col("n"), 40)
+    id_ = F.col("event_id") + F.when(F.col("event_type") == "signup", 1000003).otherwise(1)
+    landed = events.filter("event_type <> 'error'").select(id_.alias("id"))
+    return quality.chunk_gaps(manifest, landed, "id", 40).select("chunk", "n_landed", "n_stray", "n_declared")
+
+
+@query(
+    "dq_status_null",
+    """SELECT event_id, 'bad response for ' || event_id || ' at x: ' || CASE event_type WHEN 'error' THEN 'null' ELSE '404' END AS message
+       FROM events WHERE event_type IN ('error', 'signup')""",
+)
+def dq_status_null(spark, sf):
+    """A response that never came has no status."""
+    events = table(spark, sf, "events", "event_id", "event_type")
+    status = F.when(F.col("event_type") == "signup", 404).when(F.col("event_type") != "error", 200)
+    manifest = events.select("event_id", F.lit("x").alias("url"), status.alias("status"))
+    return quality.bad_status(manifest, "status", "event_id", "url").select("event_id", "message")
+
+
 _COLLISIONS = """SELECT CAST(o_orderkey AS VARCHAR(20)) AS accident_index, year(o_orderdate) AS accident_year,
     CASE o_orderstatus WHEN 'F' THEN 'Fatal' WHEN 'O' THEN 'Serious' ELSE 'Slight' END AS accident_severity,
     CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN NULL ELSE 51.5 END AS latitude,
@@ -119,7 +153,19 @@ def dq_exactly_one(spark, sf):
     members = orders.select(
         "o_orderkey", F.explode(F.array(F.concat(name, F.lit(".csv")), F.concat(name, F.lit(".txt")))).alias("member")
     )
-    return quality.exactly_one(members.filter(F.col("member").endswith(".csv")), ["o_orderkey"], "member")
+    return quality.exactly_one(members, ["o_orderkey"], "member", F.col("member").endswith(".csv"))
+
+
+@query(
+    "dq_no_match",
+    """SELECT o_orderkey, CAST(0 AS BIGINT) AS n_matches FROM orders WHERE o_orderstatus = 'F'""",
+)
+def dq_no_match(spark, sf):
+    """Orders whose members are all of another kind: a key without a match is reported."""
+    orders = table(spark, sf, "orders", "o_orderkey", "o_orderstatus")
+    kinds = F.array(F.lit("a.txt"), F.when(F.col("o_orderstatus") == "F", "b.txt").otherwise("b.csv"))
+    members = orders.select("o_orderkey", F.explode(kinds).alias("member"))
+    return quality.match_counts(members, ["o_orderkey"], "member", F.col("member").endswith(".csv"))
 
 
 @query(

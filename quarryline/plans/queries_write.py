@@ -44,7 +44,8 @@ def snk_missing_periods(spark, sf):
     rows = orders.withColumn("period", year_start(F.col("o_orderdate")))
     span = rows.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
     wanted = calendars.years(span, F.col("lo"), F.col("hi"))
-    landing.land(rows, wanted.filter("period < DATE '1998-01-01'"), path, "period")
+    early = "period < DATE '1998-01-01'"
+    landing.land(rows.filter(early), wanted.filter(early), path, "period")
     late = landing.land(rows, wanted, path, "period").withColumn("late", F.lit(True))
     counted = spark.read.parquet(path).groupBy("period").agg(F.count(F.lit(1)).alias("n"))
     return counted.join(late, "period", "left").select(
@@ -52,6 +53,20 @@ def snk_missing_periods(spark, sf):
     )
 
 
+@query(
+    "snk_outside_calendar",
+    """SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(date_trunc('year', o_orderdate) AS DATE) END AS period
+       FROM orders WHERE o_orderpriority = '5-LOW' OR year(o_orderdate) = 1995""",
+)
+def snk_outside_calendar(spark, sf):
+    """Rows without a period, and of a year that the calendar leaves out."""
+    orders = table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderpriority")
+    dated = F.when(F.col("o_orderpriority") != "5-LOW", year_start(F.col("o_orderdate")))
+    span = orders.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
+    wanted = calendars.years(span, F.col("lo"), F.col("hi")).filter("year(period) <> 1995")
+    return landing.outside_calendar(orders.select("o_orderkey", dated.alias("period")), wanted, "period").select("o_orderkey", "period")
+
+
 @query("snk_complete", "SELECT c_custkey, c_acctbal FROM customer")
 def snk_complete(spark, sf):
     path = scratch_path(spark, "complete")

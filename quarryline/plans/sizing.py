@@ -7,23 +7,13 @@ serve the few places that must choose a plan shape themselves.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
 # Rows of a narrow side (keys plus a few numbers): about 10 MB.
 BROADCAST_ROWS = 100_000
-# Rows one task may order on its own without becoming a straggler.
-ROWS_IN_ONE_TASK = 1_000_000
 
 
 def small_side(pinned: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """A pinned table marked for broadcast if it proves small, else unchanged (a
     shuffled join, where adaptive execution splits hot keys)."""
     return F.broadcast(pinned) if pinned.count() <= max_rows else pinned
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest group: one map-side combined count, one row back."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quarryline.plans.sizing import small_side
+from quarryline.session import pin
 from quarryline.sinks.paths import exists, matching_paths, remove_file, touch
 from quarryline.sources.literal import literal_table
 
@@ -28,26 +30,50 @@ def write_periods(df: DataFrame, path: str, period: str) -> None:
     touch(spark, f"{path}/{MARKER}")
 
 
+def _manifest(path: str) -> str:
+    return f"{path.rstrip('/')}-landed"
+
+
 def landed_periods(spark: SparkSession, path: str, period: str) -> DataFrame:
-    """Periods already in the table, read off its folder names (no file is opened)."""
+    """Periods already landed: the table's folders, and periods that proved to have no rows."""
     found = [p.rsplit("=", 1)[1] for p in matching_paths(spark, f"{path}/{period}=*")]
     dates = literal_table(spark, [(p,) for p in found], f"{period} string")
-    return dates.select(F.try_to_date(period).alias(period)).na.drop()
+    dates = dates.select(F.try_to_date(period).alias(period)).na.drop()
+    if exists(spark, _manifest(path)):
+        dates = dates.unionByName(spark.read.parquet(_manifest(path)).select(F.col("period").alias(period)))
+    return dates.distinct()
 
 
 def missing_periods(wanted: DataFrame, landed: DataFrame, period: str) -> DataFrame:
-    return wanted.select(period).join(landed.select(period), period, "left_anti")
+    return wanted.select(period).na.drop().distinct().join(landed.select(period), period, "left_anti")
+
+
+def outside_calendar(rows: DataFrame, wanted: DataFrame, period: str) -> DataFrame:
+    """The rows that ``land`` refuses: without a period, or of one that is not wanted."""
+    return rows.join(wanted.select(period), period, "left_anti")
 
 
 def land(rows: DataFrame, wanted: DataFrame, path: str, period: str) -> DataFrame:
     """Write the rows of every wanted period not landed yet, as ONE job; returns the
-    periods that were missing.  Running it again writes nothing."""
+    periods that were missing.
+
+    A row outside the calendar fails the job (``outside_calendar`` lists such rows).
+    A period without rows is noted beside the table as landed, so a run that has
+    nothing to land scans nothing.
+    """
     spark = rows.sparkSession
-    missing = missing_periods(wanted, landed_periods(spark, path, period), period)
-    todo = [r[0] for r in missing.collect()]  # a calendar: years or months, not data
-    if todo:
-        write_periods(rows.filter(F.col(period).isin(*todo)), path, period)
-    return literal_table(spark, [(p,) for p in todo], f"{period} date")
+    landed = landed_periods(spark, path, period)
+    missing = pin(missing_periods(wanted, landed, period))
+    if missing.isEmpty():
+        return missing
+    calendar = wanted.select(period).union(landed.select(period)).distinct()
+    known = pin(calendar.join(missing.withColumn("_todo", F.lit(True)), period, "left").withColumnRenamed(period, "_period"))
+    told = F.concat(F.lit("row outside the calendar: "), F.coalesce(F.col(period).cast("string"), F.lit("null")))
+    todo = F.when(F.col("_period").isNull(), F.raise_error(told).cast("boolean")).otherwise(F.col("_todo"))
+    dealt = rows.join(small_side(known), F.col(period) == F.col("_period"), "left").filter(todo)
+    write_periods(dealt.drop("_period", "_todo"), path, period)
+    missing.select(F.col(period).alias("period")).coalesce(1).write.mode("append").parquet(_manifest(path))
+    return missing
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:

@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-LITERAL_ROWS = 10_000
-
 
 def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
     """Rows held by the driver as a relation whose size the optimizer knows.
@@ -18,8 +16,6 @@ def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) ->
     ``createDataFrame`` on a list gives a table of unknown size, and a join with
     one shuffles the other side however large that is; this one is broadcast.
     """
-    if len(rows) > LITERAL_ROWS:
-        raise ValueError(f"{len(rows)} rows are too many for a literal table")
     arrow = to_arrow_schema(StructType.fromDDL(schema))
     columns = list(zip(*rows, strict=True)) or [()] * len(arrow)
     arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow, strict=True)]

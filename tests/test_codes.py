@@ -36,9 +36,13 @@ def test_number_codes(spark):
     assert [r[0] for r in df.select(codes.recode_lenient(T, {1: "one"})).collect()] == ["one", None, None]
 
 
-def test_long_maps_are_refused_as_literals():
-    with pytest.raises(ValueError, match="apply_lookup"):
-        codes.recode_lenient(T, {str(i): "x" for i in range(65)})
+@pytest.mark.parametrize("n", [64, 65, 20_000])
+def test_maps_of_any_length(values, n):
+    mapping = {f"c\u00e9{i}": f"L{i}" for i in range(n)}
+    texts = ["c\u00e90", f"c\u00e9{n - 1}", f"c\u00e9{n}", None]
+    assert values(texts, codes.recode_lenient(T, mapping)) == ["L0", f"L{n - 1}", None, None]
+    with pytest.raises(PySparkException, match="unmapped value"):
+        values(["z"], codes.recode_strict(T, mapping))
 
 
 def test_domain_and_order(values):
@@ -69,6 +73,10 @@ def test_lookup_of_repeated_codes(spark):
     assert [tuple(r) for r in found.collect()] == [("a", "last")]
     other = codebook.lookup_from_columns(df, 0, 2, F.col("at"))
     assert sorted(tuple(r) for r in other.collect()) == [("a", "y"), ("b", "z")]
+    with pytest.raises(PySparkException, match="two labels for code a"):
+        codebook.lookup_from_columns(df, 0, 1).collect()
+    same = codebook.lookup_from_columns(df.withColumn("label", F.lit("same")), 0, 1)
+    assert sorted(tuple(r) for r in same.collect()) == [("a", "same"), ("b", "same")]
 
 
 def test_override_and_unmapped(spark, coded):
@@ -92,17 +100,21 @@ def test_codebook(spark):
     assert book.fields == {"enhanced_severity_collision", "kind", "long"}
     assert book.literal("kind") == {"1": "One"} and book.literal("long") is None
     assert book.lookup("long").count() == 100
-    assert book.domain("kind") == ["One"]
+    assert [tuple(r) for r in book.domain("kind").collect()] == [("One", 1)]
     assert {r["table"] for r in book.book.collect()} == {"collision"}
 
 
-def test_codebook_too_large_to_collect(spark, monkeypatch, coded):
-    monkeypatch.setattr(codebook, "CODEBOOK_ROWS", 2)
-    rows = [("t", "code", c, c.upper()) for c in "abcd"]
-    book = codebook.CodeBook(spark.createDataFrame(rows, "table string, field string, code string, label string"))
-    assert book.maps is None and book.fields == {"code"} and book.literal("code") is None
-    assert _labels(codebook.apply_lookup(coded, "code", book.lookup("code"), "label")) == ["A", None, None, None]
-    assert book.domain("code") == ["A", "B", "C", "D"]
+@pytest.mark.parametrize("n", [3, 100])
+def test_codebook_repeated_codes_at_any_length(spark, coded, n):
+    rows = [("t", "code", "a", "Zed", 1), ("t", "code", "a", "Alpha", 2)] + [("t", "code", f"x{i}", "x", 3) for i in range(n)]
+    table = spark.createDataFrame(rows, "table string, field string, code string, label string, at int")
+    book = codebook.CodeBook(table)
+    assert book.fields == {"code"} and (book.literal("code") is None) == (n > 64)
+    for lookup in (book.lookup("code"), book.literal("code")):
+        if lookup is not None:
+            assert _labels(codebook.apply_lookup(coded, "code", lookup, "label")) == ["Alpha", None, None, None]
+    with pytest.raises(PySparkException, match="two labels for code a"):
+        codebook.CodeBook(table.drop("at"))
 
 
 def test_resolve_lookups(spark):

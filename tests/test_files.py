@@ -81,6 +81,17 @@ def test_exactly_one(spark):
     with pytest.raises(PySparkException, match="expected exactly one name, found 2"):
         quality.exactly_one(many, ["k"], "name").collect()
     assert quality.match_counts(many, ["k"], "name").count() == 2
+    is_a = F.col("name") == "a"
+    assert [tuple(r) for r in quality.match_counts(df, ["k"], "name", is_a).collect()] == [(2, 0)]
+    with pytest.raises(PySparkException, match="expected exactly one name, found 0"):
+        quality.exactly_one(df, ["k"], "name", is_a).collect()
+
+
+def test_chunk_gaps_sees_strays(spark):
+    manifest = spark.createDataFrame([(0, 1, 3), (1, 4, 5)], "chunk bigint, id_start bigint, id_end bigint")
+    ids = spark.createDataFrame([(i,) for i in (1, 2, 3, 3, 4, 6, 7, 8, 9)] + [(None,)], "id bigint")
+    got = quality.chunk_gaps(manifest, ids, "id", 3).select("chunk", "n_declared", "n_landed", "n_stray")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 2, 1, 1), (2, 0, 0, 3)]
 
 
 def test_geojson_chunks(spark, tmp_path):
@@ -99,9 +110,9 @@ def test_geojson_chunks(spark, tmp_path):
 
 
 def test_status_and_payload(spark):
-    manifest = spark.createDataFrame([("k", "http://a", 200), ("k2", "http://b", 404)], "key string, url string, status int")
+    manifest = spark.createDataFrame([("k", "http://a", 200), ("k2", "http://b", 404), ("k3", None, None)], "key string, url string, status int")
     bad = quality.bad_status(manifest, "status", "key", "url")
-    assert bad.first()["message"] == "bad response for k2 at http://b: 404"
+    assert [r["message"] for r in bad.orderBy("key").collect()] == ["bad response for k2 at http://b: 404", "bad response for k3 at null: null"]
     quality.require_none(bad.filter("status = 200"), "fine")
     with pytest.raises(ValueError, match="responses"):
         quality.require_none(bad, "responses")
@@ -118,12 +129,23 @@ def test_land_only_what_is_missing(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = _periods(spark, ("2020-01-01", 1), ("2020-01-01", 2), ("2021-01-01", 3))
     wanted = rows.select("period").distinct()
-    assert landing.land(rows, wanted.filter("period < '2021-01-01'"), path, "period").count() == 1
+    early = "period < '2021-01-01'"
+    with pytest.raises(PySparkException, match="outside the calendar: 2021-01-01"):
+        landing.land(rows, wanted.filter(early), path, "period")
+    assert landing.outside_calendar(rows, wanted.filter(early), "period").count() == 1
+    assert landing.land(rows.filter(early), wanted.filter(early), path, "period").count() == 1
     changed = rows.withColumn("v", F.col("v") * 10)
     late = landing.land(changed, wanted, path, "period")
     assert [str(r[0]) for r in late.collect()] == ["2021-01-01"]
     assert sorted(r["v"] for r in landing.read_complete(spark, path).collect()) == [1, 2, 30]
     assert landing.land(changed, wanted, path, "period").count() == 0
+    undated = rows.withColumn("period", F.lit(None).cast("date"))
+    assert landing.land(undated, wanted, path, "period").count() == 0  # nothing is missing, nothing is read
+    later = wanted.unionByName(spark.createDataFrame([("2022-01-01",)], "p string").select(F.to_date("p").alias("period")))
+    with pytest.raises(PySparkException, match="outside the calendar: null"):
+        landing.land(undated, later, path, "period")
+    assert landing.land(changed, later, path, "period").count() == 1  # a year without rows is landed once
+    assert landing.land(undated, later, path, "period").count() == 0
     landing.remove_file(spark, f"{path}/_SUCCESS")
     with pytest.raises(FileNotFoundError):
         landing.read_complete(spark, path)
