@@ -25,13 +25,13 @@ from quarryline.sources.literal import literal_table
 from quarryline.sources.text import file_order, header_of, read_csv, read_csv_sidecar
 
 UNKNOWN = "Unknown"
-# Labels of pseudo codes, by the place the flag letter stands for.
+# Labels of pseudo codes, by place.
 PSEUDO = {
-    "E": {"E99999999": "(pseudo) England (UA/MD/LB)"},
-    "C": {"L99999999": "(pseudo) Channel Islands", "M99999999": "(pseudo) Isle of Man"},
-    "N": {"N99999999": "(pseudo) Northern Ireland"},
-    "S": {"S99999999": "(pseudo) Scotland"},
-    "W": {"W99999999": "(pseudo) Wales"},
+    "england": {"E99999999": "(pseudo) England (UA/MD/LB)"},
+    "channel_islands": {"L99999999": "(pseudo) Channel Islands", "M99999999": "(pseudo) Isle of Man"},
+    "northern_ireland": {"N99999999": "(pseudo) Northern Ireland"},
+    "scotland": {"S99999999": "(pseudo) Scotland"},
+    "wales": {"W99999999": "(pseudo) Wales"},
 }
 # Codes labelled directly.
 GRID_REFERENCE_INDICATOR = {
@@ -56,50 +56,6 @@ COUNTRY = {
 # Code of a cancer alliance absent from its lookup file.
 EXTRA_CODES = {"calncv": {"E56000035": UNKNOWN}}
 
-# Recoded columns.  Source | label column | label position in the
-# lookup file | flags | lookup file name holds.  Flags: b blank is Unknown, s one
-# space is Unknown, n null is Unknown, f codes absent from the file are Unknown,
-# E C N S W the pseudo codes of that place.
-RECODED = """
-oscty | county | 1 | b | County names and codes UK as at
-ced | county_electoral_division | 1 | bCNSWf | County Electoral Division names and codes EN as at
-oslaua | local_authority | 1 | b | LA_UA names and codes UK as at
-osward | ward | 1 | bC | Ward names and codes UK as at
-parish | parish | 1 | bCNSf | Parish_NCP names and codes EW as at
-oshlthau | former_health_authority | 2 | b | HLTHAU names and codes UK as at
-nhser | national_health_service_england_region | 2 | bCNSWf | NHSER names and codes EN as at
-rgn | region | 2 | b | Region names and codes EN as at
-streg | standard_statistical_region | 1 | n | SSR names and codes UK as at
-pcon | westminster_parliamentary_constituency | 1 | bC | Westminster Parliamentary Constituency names and codes UK as at
-eer | european_electoral_region | 2 | b | EER names and codes UK as at
-teclec | learning_skills_council | 2 | b | TECLEC names and codes UK as at
-ttwa | travel_to_work_area | 1 | b | TTWA names and codes UK as at
-pct | primary_care_trust | 2 | b | PCT names and codes UK as at
-itl | international_territorial_level | 1 | bC | LAD23_LAU121_ITL321_ITL221_ITL121_UK_LU
-statsward | statistical_ward_2005 | 1 | b | Statistical ward names and codes UK as at 2005
-casward | census_area_statitics_ward | 1 | b | CAS ward names and codes UK as at
-npark | national_park | 1 | b | National Park names and codes GB as at
-lsoa01 | lower_layer_super_output_area_census_2001 | 1 | bf | LSOA (2001) names and codes EW & NI as at
-msoa01 | middle_layer_super_output_area_census_2001 | 1 | bCN | MSOA (2001) names and codes GB as at
-ur01ind | urban_rural_indicator_census_2001 | 1 | s | Urban Rural (2001) Indicator names and codes UK
-oac01 | output_area_classification_supergroup_census_2001 | 1 | b | 2001 Census Output Area Classification Names and Codes UK
-oac01 | output_area_classification_group_census_2001 | 2 | b | 2001 Census Output Area Classification Names and Codes UK
-lsoa11 | lower_layer_super_output_area_census_2011 | 1 | b | LSOA (2011) names and codes UK as at
-msoa11 | middle_layer_super_output_area_census_2011 | 1 | b | MSOA (2011) names and codes UK as at
-sicbl | sub_integrated_health_board_location | 2 | b | Sub_ICB Location and Local Health Board names and codes UK as at
-bua24 | built_up_area | 1 | bCNS | BUA24 names and codes EW as at
-ru11ind | rural_urban_indicator_census_2011 | 1 | b | Rural Urban (2011) Indicator names and codes GB as at
-oac11 | output_area_classification_supergroup_census_2011 | 1 | b | 2011 Census Output Area Classification Names and Codes UK
-oac11 | output_area_classification_group_census_2011 | 2 | b | 2011 Census Output Area Classification Names and Codes UK
-oac11 | output_area_classification_subgroup_census_2011 | 3 | b | 2011 Census Output Area Classification Names and Codes UK
-lep1 | local_enterprise_partnership | 1 | bECNSW | LEP names and codes EN as at
-lep2 | local_enterprise_partnership_overlap | 1 | bECNSW | LEP names and codes EN as at
-pfa | police_force_area | 1 | b | PFA names and codes GB as at
-calncv | cancer_alliance | 1 | bCNSW | CALNCV names and codes EN as at
-icb | integrated_care_board | 2 | bCNSW | ICB names and codes UK as at
-lsoa21 | lower_layer_super_output_area_census_2021 | 1 | bCf | LSOA (2021) names and codes EW as at
-msoa21 | middle_layer_super_output_area_census_2021 | 1 | bCf | MSOA (2021) names and codes EW as at
-"""
 # Code columns kept beside the labels, source and output name.
 CODE_COLUMNS = {
     "oscty": "county_code",
@@ -147,48 +103,179 @@ CODE_COLUMNS = {
 
 @dataclass(frozen=True)
 class Coded:
-    """One line of ``RECODED``."""
+    """A recoded column: its source, output, the label's position in the lookup file,
+    a part of that file's name, and which codes are ``Unknown`` or pseudo codes."""
 
     source: str
     output: str
     position: int
-    flags: str
     file_part: str
+    blank_is_unknown: bool = False
+    space_is_unknown: bool = False
+    null_is_unknown: bool = False
+    absent_is_unknown: bool = False
+    pseudo: tuple[str, ...] = ()
+
+    @property
+    def extra_codes(self) -> dict[str, str]:
+        """Codes the lookup file lacks."""
+        extra = dict(EXTRA_CODES.get(self.source, {}))
+        for place in self.pseudo:
+            extra.update(PSEUDO[place])
+        if self.blank_is_unknown:
+            extra[""] = UNKNOWN
+        if self.space_is_unknown:
+            extra[" "] = UNKNOWN
+        return extra
 
     @property
     def lookup_name(self) -> str:
-        """Columns with the same lookup share it; extra codes belong to one source."""
-        own = self.source if self.source in EXTRA_CODES else ""
-        return f"{self.file_part}|{self.position}|{self.flags}|{own}"
+        """Columns with the same lookup share it."""
+        return "|".join([self.file_part, str(self.position), *self.extra_codes])
 
     def rule(self) -> Recode:
         return Recode(
             self.source,
             self.output,
             strict=True,
-            fallback=UNKNOWN if "f" in self.flags else None,
-            null_label=UNKNOWN if "n" in self.flags else None,
+            fallback=UNKNOWN if self.absent_is_unknown else None,
+            null_label=UNKNOWN if self.null_is_unknown else None,
         )
 
 
-def recodes() -> list[Coded]:
-    out = []
-    for line in RECODED.strip().splitlines():
-        source, output, position, flags, part = (x.strip() for x in line.split("|"))
-        out.append(Coded(source, output, int(position), flags, part))
-    return out
+# Recoded columns.
+RECODED = (
+    Coded("oscty", "county", 1, "County names and codes UK as at", blank_is_unknown=True),
+    Coded(
+        "ced", "county_electoral_division", 1, "County Electoral Division names and codes EN as at",
+        blank_is_unknown=True, absent_is_unknown=True, pseudo=("channel_islands", "northern_ireland", "scotland", "wales"),
+    ),
+    Coded("oslaua", "local_authority", 1, "LA_UA names and codes UK as at", blank_is_unknown=True),
+    Coded("osward", "ward", 1, "Ward names and codes UK as at", blank_is_unknown=True, pseudo=("channel_islands",)),
+    Coded(
+        "parish", "parish", 1, "Parish_NCP names and codes EW as at",
+        blank_is_unknown=True, absent_is_unknown=True, pseudo=("channel_islands", "northern_ireland", "scotland"),
+    ),
+    Coded("oshlthau", "former_health_authority", 2, "HLTHAU names and codes UK as at", blank_is_unknown=True),
+    Coded(
+        "nhser", "national_health_service_england_region", 2, "NHSER names and codes EN as at",
+        blank_is_unknown=True, absent_is_unknown=True, pseudo=("channel_islands", "northern_ireland", "scotland", "wales"),
+    ),
+    Coded("rgn", "region", 2, "Region names and codes EN as at", blank_is_unknown=True),
+    Coded("streg", "standard_statistical_region", 1, "SSR names and codes UK as at", null_is_unknown=True),
+    Coded(
+        "pcon", "westminster_parliamentary_constituency", 1, "Westminster Parliamentary Constituency names and codes UK as at",
+        blank_is_unknown=True, pseudo=("channel_islands",),
+    ),
+    Coded("eer", "european_electoral_region", 2, "EER names and codes UK as at", blank_is_unknown=True),
+    Coded("teclec", "learning_skills_council", 2, "TECLEC names and codes UK as at", blank_is_unknown=True),
+    Coded("ttwa", "travel_to_work_area", 1, "TTWA names and codes UK as at", blank_is_unknown=True),
+    Coded("pct", "primary_care_trust", 2, "PCT names and codes UK as at", blank_is_unknown=True),
+    Coded(
+        "itl", "international_territorial_level", 1, "LAD23_LAU121_ITL321_ITL221_ITL121_UK_LU",
+        blank_is_unknown=True, pseudo=("channel_islands",),
+    ),
+    Coded(
+        "statsward", "statistical_ward_2005", 1, "Statistical ward names and codes UK as at 2005",
+        blank_is_unknown=True,
+    ),
+    Coded("casward", "census_area_statitics_ward", 1, "CAS ward names and codes UK as at", blank_is_unknown=True),
+    Coded("npark", "national_park", 1, "National Park names and codes GB as at", blank_is_unknown=True),
+    Coded(
+        "lsoa01", "lower_layer_super_output_area_census_2001", 1, "LSOA (2001) names and codes EW & NI as at",
+        blank_is_unknown=True, absent_is_unknown=True,
+    ),
+    Coded(
+        "msoa01", "middle_layer_super_output_area_census_2001", 1, "MSOA (2001) names and codes GB as at",
+        blank_is_unknown=True, pseudo=("channel_islands", "northern_ireland"),
+    ),
+    Coded(
+        "ur01ind", "urban_rural_indicator_census_2001", 1, "Urban Rural (2001) Indicator names and codes UK",
+        space_is_unknown=True,
+    ),
+    Coded(
+        "oac01", "output_area_classification_supergroup_census_2001", 1, "2001 Census Output Area Classification Names and Codes UK",
+        blank_is_unknown=True,
+    ),
+    Coded(
+        "oac01", "output_area_classification_group_census_2001", 2, "2001 Census Output Area Classification Names and Codes UK",
+        blank_is_unknown=True,
+    ),
+    Coded(
+        "lsoa11", "lower_layer_super_output_area_census_2011", 1, "LSOA (2011) names and codes UK as at",
+        blank_is_unknown=True,
+    ),
+    Coded(
+        "msoa11", "middle_layer_super_output_area_census_2011", 1, "MSOA (2011) names and codes UK as at",
+        blank_is_unknown=True,
+    ),
+    Coded(
+        "sicbl", "sub_integrated_health_board_location", 2, "Sub_ICB Location and Local Health Board names and codes UK as at",
+        blank_is_unknown=True,
+    ),
+    Coded(
+        "bua24", "built_up_area", 1, "BUA24 names and codes EW as at",
+        blank_is_unknown=True, pseudo=("channel_islands", "northern_ireland", "scotland"),
+    ),
+    Coded(
+        "ru11ind", "rural_urban_indicator_census_2011", 1, "Rural Urban (2011) Indicator names and codes GB as at",
+        blank_is_unknown=True,
+    ),
+    Coded(
+        "oac11", "output_area_classification_supergroup_census_2011", 1, "2011 Census Output Area Classification Names and Codes UK",
+        blank_is_unknown=True,
+    ),
+    Coded(
+        "oac11", "output_area_classification_group_census_2011", 2, "2011 Census Output Area Classification Names and Codes UK",
+        blank_is_unknown=True,
+    ),
+    Coded(
+        "oac11", "output_area_classification_subgroup_census_2011", 3, "2011 Census Output Area Classification Names and Codes UK",
+        blank_is_unknown=True,
+    ),
+    Coded(
+        "lep1", "local_enterprise_partnership", 1, "LEP names and codes EN as at",
+        blank_is_unknown=True, pseudo=("england", "channel_islands", "northern_ireland", "scotland", "wales"),
+    ),
+    Coded(
+        "lep2", "local_enterprise_partnership_overlap", 1, "LEP names and codes EN as at",
+        blank_is_unknown=True, pseudo=("england", "channel_islands", "northern_ireland", "scotland", "wales"),
+    ),
+    Coded("pfa", "police_force_area", 1, "PFA names and codes GB as at", blank_is_unknown=True),
+    Coded(
+        "calncv", "cancer_alliance", 1, "CALNCV names and codes EN as at",
+        blank_is_unknown=True, pseudo=("channel_islands", "northern_ireland", "scotland", "wales"),
+    ),
+    Coded(
+        "icb", "integrated_care_board", 2, "ICB names and codes UK as at",
+        blank_is_unknown=True, pseudo=("channel_islands", "northern_ireland", "scotland", "wales"),
+    ),
+    Coded(
+        "lsoa21", "lower_layer_super_output_area_census_2021", 1, "LSOA (2021) names and codes EW as at",
+        blank_is_unknown=True, absent_is_unknown=True, pseudo=("channel_islands",),
+    ),
+    Coded(
+        "msoa21", "middle_layer_super_output_area_census_2021", 1, "MSOA (2021) names and codes EW as at",
+        blank_is_unknown=True, absent_is_unknown=True, pseudo=("channel_islands",),
+    ),
+)
 
 
 def lookup_files(spark: SparkSession, folder: str) -> dict[str, str]:
     """File name part -> the one lookup file holding it; none or several is an error."""
+    parts = list(dict.fromkeys(r.file_part for r in RECODED))
     files = listing(spark, folder, "*.csv")
-    found = {}
-    for part in dict.fromkeys(r.file_part for r in recodes()):
-        paths = [r.path for r in files.filter(contains_member(F.col("name"), part + _space(part))).limit(2).collect()]
+    held = F.filter(
+        F.array(*[F.when(contains_member(F.col("name"), part + _space(part)), F.lit(part)) for part in parts]),
+        lambda part: part.isNotNull(),
+    )
+    matches: dict[str, list[str]] = {part: [] for part in parts}
+    for row in files.select("path", F.explode(held).alias("part")).collect():  # as many as lookup files
+        matches[row.part].append(row.path)
+    for part, paths in matches.items():
         if len(paths) != 1:
-            raise ValueError(f"expected exactly one lookup file for {part!r}, found {paths}")
-        found[part] = paths[0]
-    return found
+            raise ValueError(f"expected exactly one lookup file for {part!r}, found {sorted(paths)}")
+    return {part: paths[0] for part, paths in matches.items()}
 
 
 def _space(part: str) -> str:
@@ -205,7 +292,7 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
 def lookup_rows(spark: SparkSession, files: Mapping[str, DataFrame]) -> DataFrame:
     """The rows of every lookup in one table: each file is read once for all the
     lookups it serves, and the extra codes come last."""
-    names = {r.lookup_name: r for r in recodes()}
+    names = {r.lookup_name: r for r in RECODED}
     parts = []
     for part, file in files.items():
         columns = file.columns
@@ -218,23 +305,12 @@ def lookup_rows(spark: SparkSession, files: Mapping[str, DataFrame]) -> DataFram
                     entries.append(lookup_entry(name, columns[2], columns[3], 1, order))
         if entries:
             parts.append(file.selectExpr(f"inline(array({', '.join(entries)}))"))
-    extras = [(name, code, label) for name, r in names.items() for code, label in _extra_codes(r).items()]
+    extras = [(name, code, label) for name, r in names.items() for code, label in r.extra_codes.items()]
     added = literal_table(spark, extras, "map string, code string, label string")
     last = "named_struct('priority', 2, 'block', CAST(0 AS BIGINT), 'row', CAST(0 AS BIGINT)) AS at"
     return reduce(DataFrame.union, [*parts, added.selectExpr("map", "code", "label", last)])
 
 
-def _extra_codes(recode: Coded) -> dict[str, str]:
-    extra = dict(EXTRA_CODES.get(recode.source, {}))
-    for flag in recode.flags:
-        extra.update(PSEUDO.get(flag, {}))
-    if "b" in recode.flags:
-        extra[""] = UNKNOWN
-    if "s" in recode.flags:
-        extra[" "] = UNKNOWN
-    return extra
-
-
 def direct_columns(downloaded: datetime | Column) -> dict[str, Column]:
     """Output columns that need no lookup."""
     blank_to_null = {c: sentinels_to_null(F.col(c), [""]) for c in ("oseast1m", "osnrth1m")}
@@ -267,7 +343,7 @@ def clean_directory(
     coordinates of postcodes without a grid reference become null.
     """
     resolved = resolve_lookups(lookup_rows(raw.sparkSession, files))
-    joined, labels = with_labels(raw, [(r.rule(), resolved.get(r.lookup_name, {})) for r in recodes()])
+    joined, labels = with_labels(raw, [(r.rule(), resolved.get(r.lookup_name, {})) for r in RECODED])
     outputs = direct_columns(downloaded)
     if null_island:
         placed = F.col("osgrdind") != "9"

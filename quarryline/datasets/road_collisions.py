@@ -16,111 +16,107 @@ from quarryline.sources.literal import literal_table
 from quarryline.sources.text import header_of, read_csv
 
 
-def _declare(text: str) -> dict[str, str]:
-    return dict(line.split() for line in text.strip().splitlines())
-
-
 # Declared columns and kinds.  ``accident_reference`` is text and
 # ``vehicle_reference`` an integer in every table, so the tables join.
 SCHEMAS = {
-    "vehicle": _declare("""
-        accident_index string
-        accident_year int
-        accident_reference string
-        vehicle_reference int
-        vehicle_type coded
-        towing_and_articulation coded
-        vehicle_manoeuvre coded
-        vehicle_direction_from coded
-        vehicle_direction_to coded
-        vehicle_location_restricted_lane coded
-        junction_location coded
-        skidding_and_overturning coded
-        hit_object_in_carriageway coded
-        vehicle_leaving_carriageway coded
-        hit_object_off_carriageway coded
-        first_point_of_impact coded
-        vehicle_left_hand_drive coded
-        journey_purpose_of_driver coded
-        sex_of_driver coded
-        age_of_driver int
-        age_band_of_driver coded
-        engine_capacity_cc int
-        propulsion_code coded
-        age_of_vehicle int
-        generic_make_model string
-        driver_imd_decile int
-        driver_home_area_type coded
-        lsoa_of_driver string
-        escooter_flag boolean
-        dir_from_e string
-        dir_from_n string
-        dir_to_e string
-        dir_to_n string
-        driver_distance_banding coded
-    """),
-    "collision": _declare("""
-        accident_index string
-        accident_year int
-        accident_reference string
-        location_easting_osgr int
-        location_northing_osgr int
-        longitude float
-        latitude float
-        police_force coded
-        accident_severity coded
-        number_of_vehicles int
-        number_of_casualties int
-        date date
-        day_of_week coded
-        time time
-        local_authority_district coded
-        local_authority_ons_district string
-        local_authority_highway string
-        first_road_class coded
-        first_road_number int
-        road_type coded
-        speed_limit int
-        junction_detail coded
-        junction_control coded
-        second_road_class coded
-        second_road_number int
-        pedestrian_crossing_human_control coded
-        pedestrian_crossing_physical_facilities coded
-        light_conditions coded
-        weather_conditions coded
-        road_surface_conditions coded
-        special_conditions_at_site coded
-        carriageway_hazards coded
-        urban_or_rural_area coded
-        did_police_officer_attend_scene_of_accident coded
-        trunk_road_flag coded
-        lsoa_of_accident_location string
-        enhanced_severity_collision coded
-    """),
-    "casualty": _declare("""
-        accident_index string
-        accident_year int
-        accident_reference string
-        vehicle_reference int
-        casualty_reference int
-        casualty_class coded
-        sex_of_casualty coded
-        age_of_casualty int
-        age_band_of_casualty coded
-        casualty_severity coded
-        pedestrian_location coded
-        pedestrian_movement coded
-        car_passenger coded
-        bus_or_coach_passenger coded
-        pedestrian_road_maintenance_worker coded
-        casualty_type coded
-        casualty_home_area_type coded
-        casualty_imd_decile coded
-        lsoa_of_casualty string
-        enhanced_casualty_severity coded
-        casualty_distance_banding coded
-    """),
+    "vehicle": {
+        "accident_index": "string",
+        "accident_year": "int",
+        "accident_reference": "string",
+        "vehicle_reference": "int",
+        "vehicle_type": "coded",
+        "towing_and_articulation": "coded",
+        "vehicle_manoeuvre": "coded",
+        "vehicle_direction_from": "coded",
+        "vehicle_direction_to": "coded",
+        "vehicle_location_restricted_lane": "coded",
+        "junction_location": "coded",
+        "skidding_and_overturning": "coded",
+        "hit_object_in_carriageway": "coded",
+        "vehicle_leaving_carriageway": "coded",
+        "hit_object_off_carriageway": "coded",
+        "first_point_of_impact": "coded",
+        "vehicle_left_hand_drive": "coded",
+        "journey_purpose_of_driver": "coded",
+        "sex_of_driver": "coded",
+        "age_of_driver": "int",
+        "age_band_of_driver": "coded",
+        "engine_capacity_cc": "int",
+        "propulsion_code": "coded",
+        "age_of_vehicle": "int",
+        "generic_make_model": "string",
+        "driver_imd_decile": "int",
+        "driver_home_area_type": "coded",
+        "lsoa_of_driver": "string",
+        "escooter_flag": "boolean",
+        "dir_from_e": "string",
+        "dir_from_n": "string",
+        "dir_to_e": "string",
+        "dir_to_n": "string",
+        "driver_distance_banding": "coded",
+    },
+    "collision": {
+        "accident_index": "string",
+        "accident_year": "int",
+        "accident_reference": "string",
+        "location_easting_osgr": "int",
+        "location_northing_osgr": "int",
+        "longitude": "float",
+        "latitude": "float",
+        "police_force": "coded",
+        "accident_severity": "coded",
+        "number_of_vehicles": "int",
+        "number_of_casualties": "int",
+        "date": "date",
+        "day_of_week": "coded",
+        "time": "time",
+        "local_authority_district": "coded",
+        "local_authority_ons_district": "string",
+        "local_authority_highway": "string",
+        "first_road_class": "coded",
+        "first_road_number": "int",
+        "road_type": "coded",
+        "speed_limit": "int",
+        "junction_detail": "coded",
+        "junction_control": "coded",
+        "second_road_class": "coded",
+        "second_road_number": "int",
+        "pedestrian_crossing_human_control": "coded",
+        "pedestrian_crossing_physical_facilities": "coded",
+        "light_conditions": "coded",
+        "weather_conditions": "coded",
+        "road_surface_conditions": "coded",
+        "special_conditions_at_site": "coded",
+        "carriageway_hazards": "coded",
+        "urban_or_rural_area": "coded",
+        "did_police_officer_attend_scene_of_accident": "coded",
+        "trunk_road_flag": "coded",
+        "lsoa_of_accident_location": "string",
+        "enhanced_severity_collision": "coded",
+    },
+    "casualty": {
+        "accident_index": "string",
+        "accident_year": "int",
+        "accident_reference": "string",
+        "vehicle_reference": "int",
+        "casualty_reference": "int",
+        "casualty_class": "coded",
+        "sex_of_casualty": "coded",
+        "age_of_casualty": "int",
+        "age_band_of_casualty": "coded",
+        "casualty_severity": "coded",
+        "pedestrian_location": "coded",
+        "pedestrian_movement": "coded",
+        "car_passenger": "coded",
+        "bus_or_coach_passenger": "coded",
+        "pedestrian_road_maintenance_worker": "coded",
+        "casualty_type": "coded",
+        "casualty_home_area_type": "coded",
+        "casualty_imd_decile": "coded",
+        "lsoa_of_casualty": "string",
+        "enhanced_casualty_severity": "coded",
+        "casualty_distance_banding": "coded",
+    },
 }
 FORMATS = {"vehicle": {}, "collision": {"date": "%d/%m/%Y", "time": "%H:%M"}, "casualty": {}}
 # The only numeric columns in which -1 means missing.

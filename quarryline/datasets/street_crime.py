@@ -18,71 +18,71 @@ from quarryline.sources.literal import literal_table
 from quarryline.sources.text import read_csv
 
 # Police forces as written in the files; labels follow ``slug``.
-FORCES = """
-Avon and Somerset Constabulary
-Bedfordshire Police
-British Transport Police
-Cambridgeshire Constabulary
-Cheshire Constabulary
-City of London Police
-Cleveland Police
-Cumbria Constabulary
-Derbyshire Constabulary
-Devon & Cornwall Police
-Dorset Police
-Durham Constabulary
-Dyfed-Powys Police
-Essex Police
-Gloucestershire Constabulary
-Greater Manchester Police
-Gwent Police
-Hampshire Constabulary
-Hertfordshire Constabulary
-Humberside Police
-Kent Police
-Lancashire Constabulary
-Leicestershire Police
-Lincolnshire Police
-Merseyside Police
-Metropolitan Police Service
-Norfolk Constabulary
-North Wales Police
-North Yorkshire Police
-Northamptonshire Police
-Northumbria Police
-Nottinghamshire Police
-Police Service of Northern Ireland
-South Wales Police
-South Yorkshire Police
-Staffordshire Police
-Suffolk Constabulary
-Surrey Police
-Sussex Police
-Thames Valley Police
-Warwickshire Police
-West Mercia Police
-West Midlands Police
-West Yorkshire Police
-Wiltshire Police
-""".strip().splitlines()
+FORCES = (
+    "Avon and Somerset Constabulary",
+    "Bedfordshire Police",
+    "British Transport Police",
+    "Cambridgeshire Constabulary",
+    "Cheshire Constabulary",
+    "City of London Police",
+    "Cleveland Police",
+    "Cumbria Constabulary",
+    "Derbyshire Constabulary",
+    "Devon & Cornwall Police",
+    "Dorset Police",
+    "Durham Constabulary",
+    "Dyfed-Powys Police",
+    "Essex Police",
+    "Gloucestershire Constabulary",
+    "Greater Manchester Police",
+    "Gwent Police",
+    "Hampshire Constabulary",
+    "Hertfordshire Constabulary",
+    "Humberside Police",
+    "Kent Police",
+    "Lancashire Constabulary",
+    "Leicestershire Police",
+    "Lincolnshire Police",
+    "Merseyside Police",
+    "Metropolitan Police Service",
+    "Norfolk Constabulary",
+    "North Wales Police",
+    "North Yorkshire Police",
+    "Northamptonshire Police",
+    "Northumbria Police",
+    "Nottinghamshire Police",
+    "Police Service of Northern Ireland",
+    "South Wales Police",
+    "South Yorkshire Police",
+    "Staffordshire Police",
+    "Suffolk Constabulary",
+    "Surrey Police",
+    "Sussex Police",
+    "Thames Valley Police",
+    "Warwickshire Police",
+    "West Mercia Police",
+    "West Midlands Police",
+    "West Yorkshire Police",
+    "Wiltshire Police",
+)
 # Crime types as written in the files; labels follow ``slug``.
-CRIME_TYPES = """
-All crime
-Anti-social behaviour
-Bicycle theft
-Burglary
-Criminal damage and arson
-Drugs
-Other crime
-Other theft
-Possession of weapons
-Public order
-Robbery
-Shoplifting
-Theft from the person
-Vehicle crime
-Violence and sexual offences
-""".strip().splitlines()
+CRIME_TYPES = (
+    "All crime",
+    "Anti-social behaviour",
+    "Bicycle theft",
+    "Burglary",
+    "Criminal damage and arson",
+    "Drugs",
+    "Other crime",
+    "Other theft",
+    "Possession of weapons",
+    "Public order",
+    "Robbery",
+    "Shoplifting",
+    "Theft from the person",
+    "Vehicle crime",
+    "Violence and sexual offences",
+)
 # Older types folded into a current one.
 OLDER_CRIME_TYPES = {
     "Violent crime": "violence_and_sexual_offences",
@@ -111,9 +111,14 @@ ARCHIVE_SERVER = "https://data.police.uk/data/archive"
 PERIOD = "period"
 
 
-def read_raw(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Street files only; other members of an archive are passed over."""
-    return read_csv(spark, paths, RAW_COLUMNS, name_glob="*-street*.csv", recursiveFileLookup=True)
+def read_raw(spark: SparkSession, paths: str | Sequence[str], months: Sequence[date] = ()) -> DataFrame:
+    """Street files, of the given months only if there are some; other members are passed over.
+
+    The name starts with the month and ends in ``-street`` before the extension.
+    ``_metadata.file_modification_time`` of the rows can serve as the time of download.
+    """
+    prefix = "{" + ",".join(f"{m:%Y-%m}" for m in months) + "}" if months else "[0-9][0-9][0-9][0-9]-[0-9][0-9]"
+    return read_csv(spark, paths, RAW_COLUMNS, name_glob=f"{prefix}*-street.csv", recursiveFileLookup=True)
 
 
 def clean(raw: DataFrame, downloaded: datetime | Column) -> DataFrame:

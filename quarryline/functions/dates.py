@@ -25,7 +25,15 @@ def year_start(c: Column) -> Column:
 
 
 def normalise(c: Column, fmt: str | None = None) -> Column:
-    """Midnight timestamp from a number, text, date or timestamp column.
+    """Midnight timestamp from a number, text, date or timestamp column; a value that
+    cannot be read fails the job, null stays null.  Rules as in ``normalise_lenient``."""
+    found = normalise_lenient(c, fmt)
+    message = F.concat(F.lit("not a date: "), c.cast("string"))
+    return F.when(c.isNull(), F.lit(None)).otherwise(F.coalesce(found, F.raise_error(message).cast("timestamp_ntz")))
+
+
+def normalise_lenient(c: Column, fmt: str | None = None) -> Column:
+    """Midnight timestamp, or null for a value that cannot be read.
 
     Without a format the shapes YYYY, YYYY-MM, YYYYMMDD and ISO dates (with or
     without a time) are told apart by length and pattern.

@@ -330,12 +330,12 @@ _LABELS = {1: "n_name", 2: "lower(n_name)", 3: "'sub ' || n_name"}
 
 def _raw_code(source: str) -> str:
     blank = {"streg": "NULL", "ur01ind": "' '"}.get(source, "''")
-    pseudo = "WHEN c_mktsegment = 'MACHINERY' THEN 'L99999999' " if "C" in _flags(source) else ""
+    pseudo = "WHEN c_mktsegment = 'MACHINERY' THEN 'L99999999' " if _has_channel_islands(source) else ""
     return f"CASE WHEN c_mktsegment = 'BUILDING' THEN {blank} {pseudo}ELSE {_CODE_RAW} END"
 
 
-def _flags(source: str) -> str:
-    return "".join(r.flags for r in postcodes.recodes() if r.source == source)
+def _has_channel_islands(source: str) -> bool:
+    return any("channel_islands" in r.pseudo for r in postcodes.RECODED if r.source == source)
 
 
 def _directory_raw() -> dict[str, str]:
@@ -355,9 +355,9 @@ def _directory_sql() -> str:
         "country": "CASE WHEN c_nationkey < 10 THEN 'England' ELSE 'Wales' END",
         "index_of_multiple_deprivation": "CAST(nullif(c_nationkey, 0) AS INTEGER)", "datetime_download": "TIMESTAMP '2024-11-01 00:00:00'",
     }
-    for r in postcodes.recodes():
-        label = f"CASE WHEN n_regionkey = 2 THEN 'Unknown' ELSE {_LABELS[r.position]} END" if "f" in r.flags else _LABELS[r.position]
-        pseudo = "WHEN c_mktsegment = 'MACHINERY' THEN '(pseudo) Channel Islands' " if "C" in r.flags else ""
+    for r in postcodes.RECODED:
+        label = f"CASE WHEN n_regionkey = 2 THEN 'Unknown' ELSE {_LABELS[r.position]} END" if r.absent_is_unknown else _LABELS[r.position]
+        pseudo = "WHEN c_mktsegment = 'MACHINERY' THEN '(pseudo) Channel Islands' " if "channel_islands" in r.pseudo else ""
         direct[r.output] = f"CASE WHEN c_mktsegment = 'BUILDING' THEN 'Unknown' {pseudo}ELSE {label} END"
     for source, name in postcodes.CODE_COLUMNS.items():
         direct[name] = raw[source]
@@ -375,7 +375,7 @@ def etl_postcode_directory(spark, sf):
     partial = nation.filter("n_regionkey <> 2").selectExpr(
         "'X' || CAST(n_nationkey AS STRING) AS code", *[f"{e} AS l{i}" for i, e in _LABELS.items()]
     )
-    lookups = {r.file_part: partial if "f" in r.flags else whole for r in postcodes.recodes()}
+    lookups = {r.file_part: partial if r.absent_is_unknown else whole for r in postcodes.RECODED}
     directory = postcodes.clean_directory(raw, lookups, _DOWNLOADED)
     return directory.withColumns({c: F.col(c).cast("double") for c in ("latitude", "longitude")})
 

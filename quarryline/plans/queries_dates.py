@@ -103,7 +103,18 @@ def cal_normalise(spark, sf):
         .when(kind == 3, F.date_format(at, "yyyy-MM-dd HH:mm:ss"))
         .otherwise(F.lit("soon"))
     )
-    return orders.select("o_orderkey", dates.normalise(written).alias("at"))
+    return orders.select("o_orderkey", dates.normalise_lenient(written).alias("at"))
+
+
+@query(
+    "cal_normalise_strict",
+    """SELECT o_orderkey, CASE o_orderkey % 2 WHEN 0 THEN date_trunc('month', o_orderdate) ELSE date_trunc('day', o_orderdate) END AS at FROM orders""",
+)
+def cal_normalise_strict(spark, sf):
+    orders = table(spark, sf, "orders", "o_orderkey", "o_orderdate")
+    written = F.date_format("o_orderdate", "yyyy-MM")
+    daily = F.date_format("o_orderdate", "yyyyMMdd")
+    return orders.select("o_orderkey", dates.normalise(F.when(F.col("o_orderkey") % 2 == 0, written).otherwise(daily)).alias("at"))
 
 
 @query(

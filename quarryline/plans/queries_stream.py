@@ -108,30 +108,23 @@ def st_last_n_buffer(spark, sf):
     return metrics.last_n(events, ["user_id"], ["ts", "event_id"])
 
 
-@query(
-    "st_last_n_stream",
-    f"SELECT user_id, count(*) AS n, CAST(min(ts) AS TIMESTAMP) AS first_at, max(ts) AS last_at, max(value) AS top FROM ({_LAST_SQL}) GROUP BY 1",
-)
+@query("st_last_n_stream", _LAST_SQL)
 def st_last_n_stream(spark, sf):
-    events = table(spark, sf, "events", "user_id", "ts", "value").withColumn("ts", F.col("ts").cast("timestamp"))
+    """The rows of the batch form, kept as state between batches."""
+    events = table(spark, sf, "events", "user_id", "event_id", "ts", "value").withColumn("ts", F.col("ts").cast("timestamp"))
     stream = _as_stream(spark, events, "history")
     target = scratch_path(spark, "buffers")
 
     def keep(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    buffers = stateful.last_n_stream(stream, "user_id", "ts", "value")
+    buffers = stateful.last_n_stream(stream, "user_id", "ts", "value", ties=["event_id"])
     writer = buffers.writeStream.outputMode("update").foreachBatch(keep).trigger(availableNow=True)
     writer.option("checkpointLocation", f"{target}-checkpoint").start().awaitTermination()
-    newest = spark.read.parquet(target).groupBy("user_id").agg(
-        F.max_by("times", "batch").alias("times"), F.max_by("points", "batch").alias("points")
-    )
-    return newest.select(
-        "user_id",
-        F.size("times").cast("bigint").alias("n"),
-        F.array_min("times").cast("timestamp_ntz").alias("first_at"),
-        F.array_max("times").cast("timestamp_ntz").alias("last_at"),
-        F.array_max("points").alias("top"),
+    points = F.arrays_zip("times", "event_id", "points")
+    newest = spark.read.parquet(target).groupBy("user_id").agg(F.max_by(points, "batch").alias("points"))
+    return newest.select("user_id", F.explode("points").alias("p")).select(
+        "user_id", "p.event_id", F.col("p.times").cast("timestamp_ntz").alias("ts"), F.col("p.points").alias("value")
     )
 
 

@@ -43,9 +43,10 @@ def read_csv_typed(
 
 
 def header_of(spark: SparkSession, path: str, row: int = 0) -> list[str]:
-    """Column names: the ``row``-th line of a (small) file, as written."""
+    """Column names: the ``row``-th line of a (small) file, as written; a blank field is
+    named by its position, ``column_2`` for the second."""
     lines = spark.read.options(**{**_CSV, "header": False}).csv(path).limit(row + 1).collect()
-    return [v for v in lines[row] if v is not None]
+    return [v or f"column_{i}" for i, v in enumerate(lines[row], 1)]
 
 
 def read_csv_sidecar(spark: SparkSession, paths, header_path: str, **options) -> DataFrame:
@@ -59,7 +60,7 @@ def file_order() -> Column:
     return F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
 
 
-def profile_types(spark: SparkSession, paths, sampling_ratio: float = 0.01) -> dict[str, str]:
-    """Types Spark would infer from a sample: a help for writing a declaration."""
+def profile_types(spark: SparkSession, paths, sampling_ratio: float = 1.0) -> dict[str, str]:
+    """Types Spark would infer, by default from all rows: a help for writing a declaration."""
     reader = spark.read.options(header=True, inferSchema=True, samplingRatio=sampling_ratio)
     return dict(reader.csv(paths).dtypes)

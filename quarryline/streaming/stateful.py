@@ -45,23 +45,32 @@ def counter_rate_stream(
     return stream.groupBy(key).applyInPandasWithState(step, out, state_type, "append", GroupStateTimeout.NoTimeout)
 
 
-def last_n_stream(stream: DataFrame, key: str, at: str, value: str, n: int = HISTORY) -> DataFrame:
-    """The last ``n`` points of each series after every batch (update mode)."""
-    out = StructType([stream.schema[key]]).add("times", ArrayType(TimestampType())).add("points", ArrayType(DoubleType()))
+def last_n_stream(
+    stream: DataFrame, key: str, at: str, value: str, n: int = HISTORY, ties: Sequence[str] = ()
+) -> DataFrame:
+    """The last ``n`` points of each series after every batch (update mode): arrays
+    ``times``, the ``ties`` columns and ``points``.  Equal times stand in the order of
+    ``ties``, as in the batch form, and at last of the value."""
+    columns = [at, *ties, value]
+    types = [TimestampType(), *[stream.schema[c].dataType for c in ties], DoubleType()]
+    arrays = StructType()
+    for name, kind in zip(["times", *ties, "points"], types, strict=True):
+        arrays = arrays.add(name, ArrayType(kind))
+    out = StructType([stream.schema[key], *arrays.fields])
 
     def step(group, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times, points = state.get if state.exists else ([], [])
-        held = pd.DataFrame({at: pd.to_datetime(pd.Series(list(times), dtype="datetime64[us]")), value: list(points)})
+        held = None
+        if state.exists:
+            held = pd.DataFrame(dict(zip(columns, map(list, state.get), strict=True)))
+            held[at] = pd.to_datetime(held[at]).astype("datetime64[us]")
         for frame in frames:  # never more than n kept between pieces of a large batch
-            merged = pd.concat([held, frame[[at, value]]], ignore_index=True) if len(held) else frame[[at, value]]
-            held = merged.sort_values([at, value], kind="stable").tail(n)
-        times = [t.to_pydatetime() for t in held[at]]
-        points = [float(v) for v in held[value]]
-        state.update((times, points))
-        yield pd.DataFrame({key: [group[0]], "times": [times], "points": [points]})
+            merged = frame[columns] if held is None else pd.concat([held, frame[columns]], ignore_index=True)
+            held = merged.sort_values(columns, kind="stable").tail(n)
+        lists = [[t.to_pydatetime() for t in held[at]], *[held[c].tolist() for c in ties], [float(v) for v in held[value]]]
+        state.update(tuple(lists))
+        yield pd.DataFrame({key: [group[0]], **{f.name: [x] for f, x in zip(arrays.fields, lists, strict=True)}})
 
-    state_type = "times array<timestamp>, points array<double>"
-    return stream.groupBy(key).applyInPandasWithState(step, out, state_type, "update", GroupStateTimeout.NoTimeout)
+    return stream.groupBy(key).applyInPandasWithState(step, out, arrays, "update", GroupStateTimeout.NoTimeout)
 
 
 def snapshot_writer(
@@ -116,6 +125,7 @@ def intake_files(
 ) -> int:
     """Process every file of ``source`` not processed before and append the rows to
     the period-partitioned ``target``; returns the number of batches run."""
+    before = _last_batch(spark, checkpoint)
     stream = spark.readStream.format(fmt).schema(schema).options(**options).load(source)
     query = (
         prepare(stream)
@@ -127,7 +137,12 @@ def intake_files(
         .start()
     )
     query.awaitTermination()
-    return len(query.recentProgress)
+    return _last_batch(spark, checkpoint) - before
+
+
+def _last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the last committed batch, -1 before the first; Spark keeps only the latest progress reports."""
+    return max((int(p.rsplit("/", 1)[1]) for p in matching_paths(spark, f"{checkpoint}/commits/[0-9]*")), default=-1)
 
 
 def tick(at: str, width: str = "1 second"):

@@ -72,11 +72,16 @@ def test_street_crime_domains():
 def test_street_crime_reads_only_street_files(spark, tmp_path):
     header = ",".join(street_crime.RAW_COLUMNS)
     line = ",".join(v or "" for v in CRIME)
-    for name in ("2020-03-kent-street.csv", "2020-03-kent-outcomes.csv"):
+    for name in ("2020-03-kent-street.csv", "2020-03-kent-outcomes.csv", "2020-03-x-street-outcomes.csv", "kent-street.csv"):
         (tmp_path / "2020-03").mkdir(exist_ok=True)
         (tmp_path / "2020-03" / name).write_text(f"{header}\n{line}\n")
     raw = street_crime.read_raw(spark, str(tmp_path))
     assert raw.count() == 1
+    (tmp_path / "2020-03" / "2020-04-kent-street.csv").write_text(f"{header}\n{line}\n{line}\n")
+    by_month = [street_crime.read_raw(spark, str(tmp_path), m).count() for m in ([date(2020, 3, 1)], [date(2020, 4, 1)], [date(2020, 3, 1), date(2020, 4, 1)])]
+    assert by_month == [1, 2, 3]
+    stamped = street_crime.clean(street_crime.read_raw(spark, str(tmp_path)), F.col("_metadata.file_modification_time"))
+    assert stamped.filter("datetime_download > TIMESTAMP_NTZ '2020-01-01 00:00:00'").count() == 3
     crimes = street_crime.clean(raw, NOW)
     path = str(tmp_path / "landed")
     assert street_crime.land(crimes, street_crime.months(spark, AS_OF), path).count() > 100
@@ -96,11 +101,11 @@ def test_months_and_archives(spark):
 
 @pytest.mark.parametrize(
     ("start", "end", "expected"),
-    [("2021-01-01", "2022-01-01", "2021-01-01_2022-01-01.zip"), (None, None, "latest_2022-03-14.zip"), ("2021-01-01", None, None), (None, "2022-01-01", None)],
+    [("2015-06-01", "2019-02-01", "2015-06-01_2019-02-01.zip"), (None, None, "latest_2031-08-09.zip"), ("2015-06-01", None, None), (None, "2019-02-01", None)],
 )
 def test_archive_name(spark, start, end, expected):
     df = spark.createDataFrame([(start, end)], "s string, e string").selectExpr("CAST(s AS DATE) AS s", "CAST(e AS DATE) AS e")
-    named = df.select(street_crime.archive_name(F.col("s"), F.col("e"), F.lit("2022-03-14").cast("date")))
+    named = df.select(street_crime.archive_name(F.col("s"), F.col("e"), F.lit("2031-08-09").cast("date")))
     if expected:
         assert named.first()[0] == expected
     else:
@@ -155,7 +160,7 @@ def test_road_declarations():
 
 
 def test_directory_has_93_columns(spark):
-    rules = postcodes.recodes()
+    rules = postcodes.RECODED
     direct = postcodes.direct_columns(NOW)
     assert len(rules) + len(postcodes.CODE_COLUMNS) + len(direct) == 93
     assert len({r.output for r in rules} | set(postcodes.CODE_COLUMNS.values()) | set(direct)) == 93
@@ -164,7 +169,7 @@ def test_directory_has_93_columns(spark):
 def _directory(spark, tmp_path, **changes):
     folder = tmp_path / "Documents"
     folder.mkdir()
-    for part in dict.fromkeys(r.file_part for r in postcodes.recodes()):
+    for part in dict.fromkeys(r.file_part for r in postcodes.RECODED):
         body = "code,label,label2,label3\n" + "".join(f"X{i},{part[:5]} {i},second {i},third {i}\n" for i in range(70)) + "X1,last,last 2,last 3\nX99,,,\n"
         (folder / f"{part} 11_24.csv").write_text(body)
     base = {"pcds": "AB1 2CD", "pcd": "AB12CD", "pcd2": "AB1 2CD", "dointr": "198001", "doterm": "", "lat": "99.999999", "long": "0.000000", "oseast1m": "", "osnrth1m": "5", "osgrdind": "9", "usertype": "0", "ctry": "W92000004", "imd": "0"}

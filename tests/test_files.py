@@ -38,7 +38,13 @@ def test_typed_read(spark, tmp_path):
     bad = _write(tmp_path / "b.csv", "n,d\nx,2020-01-02\n")
     with pytest.raises(PySparkException):
         text.read_csv_typed(spark, bad, {"n": "int", "d": "date"}).collect()
-    assert text.profile_types(spark, good, 1.0)["n"] == "int"
+    assert text.profile_types(spark, good)["n"] == "int"
+
+
+def test_blank_header_fields_keep_their_place(spark, tmp_path):
+    path = _write(tmp_path / "h.csv", "a,,c,\nx,y,z,\n")
+    assert text.header_of(spark, path) == ["a", "column_2", "c", "column_4"]
+    assert text.header_of(spark, path, 1) == ["x", "y", "z", "column_4"]
 
 
 def test_sidecar_header_and_glob(spark, tmp_path):

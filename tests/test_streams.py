@@ -92,14 +92,14 @@ def test_last_n_stream(spark, tmp_path):
 
     def collect(batch, _):
         for r in batch.collect():
-            buffers[r["host"]] = (r["times"], r["points"])
+            buffers[r["host"]] = (r["times"], r["seq"], r["points"])
 
     def build(df):
-        return stateful.last_n_stream(df.withColumn("v", F.col("bytes").cast("double")), "host", "at", "v", 10)
+        return stateful.last_n_stream(df.withColumn("v", F.col("bytes").cast("double")), "host", "at", "v", 10, ["seq"])
 
     _streamed(spark, tmp_path, [rows[:half], rows[half:]], build, "update", collect)
     for host in ("h0", "h1", "h2"):
-        want = sorted((r[1], float(r[3])) for r in rows if r[0] == host)[-10:]
+        want = sorted((r[1], r[2], float(r[3])) for r in rows if r[0] == host)[-10:]
         assert list(zip(*buffers[host], strict=True)) == want
 
 
@@ -138,9 +138,9 @@ def test_intake_reads_each_file_once(spark, tmp_path):
         )
 
     spark.createDataFrame(_readings(n=10), SCHEMA).write.parquet(source)
-    run()
+    assert run() == 1
     n = spark.read.parquet(target).count()
-    run()
+    assert run() == 0
     assert spark.read.parquet(target).count() == n == 50
     spark.createDataFrame([("new", START, 0, 0)], SCHEMA).write.mode("append").parquet(source)
     run()
