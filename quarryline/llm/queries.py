@@ -11,11 +11,11 @@ from quarryline.llm import (
     decontaminate, jaccard_join, language, license_rules, line_templates, merkle, mixing, pii, secrets,
     token_counts,
 )
+from quarryline.llm.sql import SQL
 
 VOCABULARY_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 
 def _query(function: Callable) -> Callable:
