@@ -44,17 +44,22 @@ def ring_edges(ring_table: DataFrame, keys: Sequence[str]) -> DataFrame:
 # ---- containment -----------------------------------------------------------
 
 
-# Edges of four doubles: about 16 MB.
-BROADCAST_EDGES = 500_000
+# Share of a cell by which rounding may move an edge.
+ROUNDING = 1e-6
+# A boundary index of up to this many bytes is sent to every executor.
+BROADCAST_BYTES = 16_000_000
 
 
 def edge_cells(edges: DataFrame, boundary: str, cell: float) -> DataFrame:
-    """Per (cell row, cell column, boundary): the edges a ray to the right from any
-    point of that cell can meet, or that can hold such a point.
-
-    An edge is kept in each cell row it touches and, in that row, in the columns
-    from the boundary's left end up to the edge's own right end: further right
-    the ray has passed it.
+    """Per (cell row, cell column, boundary): ``_edges``, the edges that touch the cell, and ``_levels``.
+
+    A ray to the right from a point of the cell meets, beyond its own cell, each
+    edge whose ends lie on different sides of the ray: it matters only which ends
+    are above.  Ends that two such edges share cancel out, so what is left per
+    cell are the few ends where a line enters the cell's column, and one infinite
+    level if an odd number of lines leaves through the row's upper side.  A cell
+    inside a boundary holds that one level and no edge; edges are copied only
+    into cells that they touch.
     """
     def at(c: Column) -> Column:
         return F.floor(c / F.lit(cell)).cast("bigint")
@@ -64,17 +69,54 @@ def edge_cells(edges: DataFrame, boundary: str, cell: float) -> DataFrame:
         boundary, "x1", "y1", "x2", "y2",
         F.explode(F.sequence(at(y_low), at(y_high))).alias("_row"),
     )
-    left = per_row.groupBy(boundary, "_row").agg(F.min(F.least("x1", "x2")).alias("_left"))
-    placed = per_row.join(left, [boundary, "_row"]).select(
-        boundary, "_row",
-        F.explode(F.sequence(at(F.col("_left")), at(F.greatest("x1", "x2")))).alias("_col"),
-        F.struct("x1", "y1", "x2", "y2").alias("_edge"),
+    # The stretch of the edge in this row; a nearly level edge counts in full.
+    x_low, x_high = F.least("x1", "x2"), F.greatest("x1", "x2")
+    level = F.abs(F.col("y2") - F.col("y1")) <= F.lit(cell * ROUNDING)
+
+    def x_where(y: Column) -> Column:
+        held = F.greatest(y_low, F.least(y_high, y))
+        x = F.col("x1") + (F.col("x2") - F.col("x1")) * (held - F.col("y1")) / F.when(~level, F.col("y2") - F.col("y1"))
+        return F.greatest(x_low, F.least(x_high, x))
+
+    ends = [x_where(F.col("_row") * F.lit(cell)), x_where((F.col("_row") + 1) * F.lit(cell))]
+    margin = F.lit(cell * ROUNDING)
+    placed = per_row.select(
+        boundary, "x1", "y1", "x2", "y2", "_row",
+        at(F.when(level, x_low).otherwise(F.least(*ends)) - margin).alias("_from"),
+        at(F.when(level, x_high).otherwise(F.greatest(*ends)) + margin).alias("_to"),
+    )
+    touched = placed.select(
+        "_row", F.explode(F.sequence("_from", "_to")).alias("_col"), boundary,
+        F.struct("x1", "y1", "x2", "y2").alias("_edge"), F.lit(None).cast("double").alias("_level"),
+    )
+
+    def end_level(y: str) -> Column:
+        """Above every point of the row, among them, or (null) below all."""
+        return F.when(at(F.col(y)) > F.col("_row"), float("inf")).when(at(F.col(y)) == F.col("_row"), F.col(y))
+
+    ends_of = placed.select(boundary, "_row", "_from", F.explode(F.array(end_level("y1"), end_level("y2"))).alias("_level"))
+    left = placed.groupBy(boundary, "_row").agg(F.min("_from").alias("_left"))
+    steps = ends_of.filter("_level is not null").groupBy(boundary, "_row", "_level").agg(
+        F.sort_array(F.collect_list("_from"), asc=False).alias("_steps")
+    )
+    # Columns with an odd number of such ends beyond them lie between every other pair of steps.
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_steps") - 1) / 2).cast("int")),
+        lambda k: F.struct(
+            F.coalesce(F.get("_steps", 2 * k + 1), F.col("_left")).alias("first"), (F.get("_steps", 2 * k) - 1).alias("last")
+        ),
+    )
+    odd = steps.join(left, [boundary, "_row"]).select(boundary, "_row", "_level", F.explode(pairs).alias("_p"))
+    beyond = odd.filter("_p.first <= _p.last").select(
+        "_row", F.explode(F.sequence("_p.first", "_p.last")).alias("_col"), boundary,
+        F.lit(None).cast(touched.schema["_edge"].dataType).alias("_edge"), "_level",
     )
-    return placed.groupBy("_row", "_col", boundary).agg(F.collect_list("_edge").alias("_edges"))
+    cells = touched.unionByName(beyond).groupBy("_row", "_col", boundary)
+    return cells.agg(F.collect_list("_edge").alias("_edges"), F.collect_list("_level").alias("_levels"))
 
 
-def _strictly_inside(x: Column, y: Column, edges: Column) -> Column:
-    """Odd number of crossings and on no edge."""
+def _strictly_inside(x: Column, y: Column, edges: Column, levels: Column) -> Column:
+    """Odd number of crossings, in the cell and beyond it, and on no edge."""
 
     def step(state: Column, e: Column) -> Column:
         x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
@@ -87,7 +129,8 @@ def _strictly_inside(x: Column, y: Column, edges: Column) -> Column:
             (state["on"] | touches).alias("on"),
         )
 
-    start = F.struct(F.lit(False).alias("odd"), F.lit(False).alias("on"))
+    beyond = F.size(F.filter(levels, lambda v: v > y)) % 2 == 1
+    start = F.struct(beyond.alias("odd"), F.lit(False).alias("on"))
     return F.aggregate(edges, start, step, lambda s: s["odd"] & ~s["on"])
 
 
@@ -103,8 +146,9 @@ def points_in_boundaries(
     the adaptive skew join.
     """
     index = pin(edge_cells(edges, boundary, cell).withColumnsRenamed({boundary: "_boundary"}))
-    held = index.agg(F.sum(F.size("_edges"))).first()[0] or 0
-    side = F.broadcast(index) if held <= BROADCAST_EDGES else index
+    row_bytes = 64 + 40 * F.size("_edges") + 8 * F.size("_levels") + F.coalesce(F.octet_length(F.col("_boundary").cast("string")), F.lit(0))
+    held = index.agg(F.sum(row_bytes)).first()[0] or 0
+    side = F.broadcast(index) if held <= BROADCAST_BYTES else index
     located = points.withColumns(
         {
             "_row": F.floor(F.col(y) / F.lit(cell)).cast("bigint"),
@@ -112,7 +156,7 @@ def points_in_boundaries(
         }
     )
     joined = located.join(side, ["_row", "_col"])
-    inside = joined.filter(_strictly_inside(F.col(x), F.col(y), F.col("_edges")))
+    inside = joined.filter(_strictly_inside(F.col(x), F.col(y), F.col("_edges"), F.col("_levels")))
     return inside.select(*points.columns, F.col("_boundary").alias(boundary))
 
 

@@ -27,7 +27,7 @@ def _star(rng, cx, cy, size, n):
     return [(*a, *b) for a, b in zip(points, points[1:] + points[:1], strict=True)]
 
 
-@pytest.mark.parametrize("cell", [0.3, 1.0, 50.0])
+@pytest.mark.parametrize("cell", [0.07, 0.3, 1.0, 50.0])
 def test_points_in_random_shapes(spark, cell):
     rng = random.Random(5)
     shapes = {i: _star(rng, rng.uniform(-5, 5), rng.uniform(-5, 5), rng.uniform(0.5, 4), 12) for i in range(12)}
@@ -43,6 +43,32 @@ def test_points_in_random_shapes(spark, cell):
     assert got == want and want
 
 
+def test_points_in_jagged_shapes(spark):
+    rng = random.Random(9)
+    shapes = {i: _star(rng, rng.uniform(-2, 2), rng.uniform(-2, 2), 3, 400) for i in range(4)}
+    # Ends that differ from a border of cells by rounding only, and nearly level edges.
+    shapes[11] = [(0.1, 0.3, 2.1, 0.3 + 1e-12), (2.1, 0.3 + 1e-12, 2.1, 1.2), (2.1, 1.2, 0.1, 0.1 * 3 * 4), (0.1, 0.1 * 3 * 4, 0.1, 0.3)]
+    points = [(i, rng.uniform(-5, 5), rng.uniform(-5, 5)) for i in range(2000)] + [(5000 + i, 0.1 * i, 0.3) for i in range(30)]
+    points += [(6000 + k, x, y) for k, (x, y, _, _) in enumerate(shapes[0])]
+    edges = spark.createDataFrame([(k, *map(float, e)) for k, es in shapes.items() for e in es], "b int, x1 double, y1 double, x2 double, y2 double")
+    frame = spark.createDataFrame([(i, float(x), float(y)) for i, x, y in points], "p int, x double, y double")
+    got = {(r["p"], r["b"]) for r in spatial.points_in_boundaries(frame, "x", "y", edges, "b", 0.1).collect()}
+    assert got == {(i, k) for i, x, y in points for k, es in shapes.items() if _inside(x, y, es)}
+
+
+@pytest.mark.parametrize("width", [10, 20, 40])
+def test_edges_are_copied_only_into_cells_they_touch(spark, width):
+    """Two jagged sides of 200 short edges each, joined by two long edges."""
+    sides = [[(x + 0.3 * (k % 2), k / 50) for k in range(201)] for x in (0.2, width + 0.2)]
+    ring = sides[0] + sides[1][::-1] + sides[0][:1]
+    rows = [("b", *map(float, a), *map(float, b)) for a, b in zip(ring, ring[1:])]
+    edges = spark.createDataFrame(rows, "b string, x1 double, y1 double, x2 double, y2 double")
+    index = spatial.edge_cells(edges, "b", 1.0).collect()
+    assert sum(len(r["_edges"]) for r in index) <= 420 + 2 * (width + 3)
+    assert sum(len(r["_levels"]) for r in index) <= 5 * (width + 3) + 420
+    assert {len(r["_edges"]) for r in index if r["_row"] == 2 and 2 <= r["_col"] <= width - 2} == {0}
+
+
 def test_geojson_rings_to_edges(spark):
     rows = [
         ("P", "Polygon", "[[[0,0],[1,0],[1,1],[0,0]],[[0.2,0.1],[0.3,0.1],[0.3,0.2],[0.2,0.1]]]"),
