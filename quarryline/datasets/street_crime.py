@@ -13,9 +13,9 @@ from quarryline.functions.nulls import pair_mismatch
 from quarryline.operators import calendars, joins
 from quarryline.operators.quality import digest_state
 from quarryline.sinks import landing
-from quarryline.sources.files import is_member
+from quarryline.sources.files import is_member, listing
 from quarryline.sources.literal import literal_table
-from quarryline.sources.text import read_csv
+from quarryline.sources.text import read_csv, text_schema
 
 # Police forces as written in the files; labels follow ``slug``.
 FORCES = (
@@ -121,8 +121,45 @@ def read_raw(spark: SparkSession, paths: str | Sequence[str], months: Sequence[d
     return read_csv(spark, paths, RAW_COLUMNS, name_glob=f"{prefix}*-street.csv", recursiveFileLookup=True)
 
 
-def clean(raw: DataFrame, downloaded: datetime | Column) -> DataFrame:
-    """Typed and coded crimes; an unknown force or type fails the job."""
+def _placed(path: Column) -> dict[str, Column]:
+    """``archive`` and ``member`` of a path: a folder ``<archive>`` or ``archive=<archive>``, and in
+    it a file, or a folder of part files, whose name begins with a month."""
+    pattern = r"/(?:archive=)?([^/=]+)/(?:member=)?([0-9]{4}-[0-9]{2}[^/]*\.csv)(?:/[^/]+)?$"
+    return {"archive": F.regexp_extract(path, pattern, 1), "member": F.regexp_extract(path, pattern, 2)}
+
+
+def member_files(spark: SparkSession, folder: str, wanted: DataFrame, archive_table: DataFrame, period: str = PERIOD) -> DataFrame:
+    """``period, archive, member, path, modified`` of the street members of each wanted month.
+
+    A month is taken from the first archive that holds it, else from ``latest``; other copies of
+    the month, other kinds of member and other months are passed over.  Contents are not read.
+    """
+    found = listing(spark, folder, "*.csv").withColumns(_placed(F.col("path"))).filter("member != ''")
+    chosen = archive_of_month(wanted.select(period).distinct(), archive_table, period).select(period, "archive")
+    found = found.withColumn("_month", F.substring("member", 1, 7))
+    joined = found.join(chosen.withColumn("_month", F.date_format(period, "yyyy-MM")), ["archive", "_month"])
+    return joined.filter(is_member(F.col("member"), F.col(period))).select(period, "archive", "member", "path", "modified")
+
+
+def read_members(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Rows of the listed members, and only those, with ``period`` (the member's month, which may differ
+    from a row's own), ``archive`` and ``downloaded`` (the file's time).
+
+    The names come to the driver, as for any scan of files; no member gives no rows.
+    """
+    extra = [PERIOD, "archive", "downloaded"]
+    paths = [r["path"] for r in files.select("path").distinct().collect()]
+    if not paths:
+        types = text_schema(RAW_COLUMNS).add(PERIOD, "date").add("archive", "string").add("downloaded", "timestamp")
+        return spark.createDataFrame([], types)
+    path, modified = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    rows = read_csv(spark, paths, RAW_COLUMNS).withColumns(_placed(path) | {"downloaded": modified})
+    month = casts.strict_date(F.substring("member", 1, 7), "%Y-%m")
+    return rows.withColumn(PERIOD, month).select(*RAW_COLUMNS, *extra)
+
+
+def clean(raw: DataFrame, downloaded: datetime | Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed and coded crimes, with the columns ``keep`` as they are; an unknown force or type fails the job."""
     month = casts.strict_date(F.col("Month"), "%Y-%m")
     return raw.select(
         F.col("Crime ID").alias("id_crime"),
@@ -139,6 +176,7 @@ def clean(raw: DataFrame, downloaded: datetime | Column) -> DataFrame:
         F.col("Last outcome category").alias("last_outcome_category"),
         F.col("Context").alias("context"),
         dates.stamp(downloaded).alias("datetime_download"),
+        *keep,
     )
 
 

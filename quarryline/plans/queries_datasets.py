@@ -3,7 +3,7 @@ tables, then cleaned, coded and analysed by the data-set modules."""
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -173,6 +173,31 @@ def etl_street_crime(spark, sf):
     return crimes.withColumns({c: F.col(c).cast("double") for c in ("longitude", "latitude")})
 
 
+@query(
+    "etl_month_members",
+    """SELECT CAST(event_id AS VARCHAR) AS id_crime, CAST(make_date(2023, 3 + CAST(event_id % 4 AS INTEGER), 1) AS DATE) AS period,
+        CAST(make_date(2023, CAST(CASE WHEN event_id % 5 = 0 THEN 2 ELSE 3 + event_id % 4 END AS INTEGER), 1) AS DATE) AS month,
+        CASE WHEN event_id % 4 <= 1 THEN '2020-05_2023-04' ELSE 'latest' END AS archive, true AS stamped
+       FROM events WHERE event_id % 3 <> 0 AND event_id % 4 <> 3""",
+)
+def etl_month_members(spark, sf):
+    """Members of four months and two kinds in two archives, one with copies of older months; three months are wanted."""
+    own = "CASE WHEN event_id % 5 = 0 THEN '2023-02' ELSE concat('2023-0', 3 + event_id % 4) END"
+    events = table(spark, sf, "events")
+    raw = spark.sql(_CRIMES.format(month=own).format(events="{events}"), events=events)
+    number = F.col("Crime ID").cast("bigint")
+    kind = F.when(number % 3 == 0, "street-outcomes").otherwise("street")
+    member = F.concat(F.lit("2023-0"), (number % 4 + 3).cast("string"), F.lit("-somewhere-"), kind, F.lit(".csv"))
+    holders = F.when(number % 4 <= 1, F.array(F.lit("2020-05_2023-04"), F.lit("latest"))).otherwise(F.array(F.lit("latest")))
+    path = scratch_path(spark, "members")
+    filed = raw.withColumns({"member": member, "archive": F.explode(holders)})
+    filed.write.partitionBy("archive", "member").options(header=True, escape='"').csv(path)
+    wanted = literal_table(spark, [(date(2023, m, 1),) for m in (3, 4, 5)], "period date")
+    files = street_crime.member_files(spark, path, wanted, street_crime.archives(spark))
+    crimes = street_crime.clean(street_crime.read_members(spark, files), F.col("downloaded"), ["period", "archive"])
+    return crimes.select("id_crime", "period", "month", "archive", F.col("datetime_download").isNotNull().alias("stamped"))
+
+
 # ---- road collisions -------------------------------------------------------
 
 _RAW_COLLISIONS = """SELECT CAST(o_orderkey AS VARCHAR(20)) AS accident_index, CAST(year(o_orderdate) AS VARCHAR(4)) AS accident_year,

@@ -206,10 +206,11 @@ def geo_simplify(spark, sf):
 @query(
     "geo_edges_length",
     f"""WITH shape(hole, ax, ay, bx, by_) AS (VALUES {', '.join(str(e) for e in _EDGES)})
-       SELECT s_suppkey, count(*) AS n_edges FROM supplier, shape WHERE hole = 0 OR s_suppkey % 2 = 0 GROUP BY 1""",
+       SELECT s_suppkey, count(*) AS n_edges, round(sum(sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay))), 6) AS length
+       FROM supplier, shape WHERE hole = 0 OR s_suppkey % 2 = 0 GROUP BY 1""",
 )
 def geo_edges_length(spark, sf):
-    """Edges per boundary, from rings with and without a hole."""
+    """Edges per boundary and their length, from rings with and without a hole."""
     supplier = table(spark, sf, "supplier", "s_suppkey")
 
     def ring(corners):
@@ -220,4 +221,5 @@ def geo_edges_length(spark, sf):
         "s_suppkey", F.struct(F.lit("Polygon").alias("type"), F.to_json(shapes).alias("coordinates")).alias("geometry")
     )
     edges = spatial.ring_edges(spatial.rings(features, ["s_suppkey"]), ["s_suppkey"])
-    return edges.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("n_edges"))
+    length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    return edges.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("n_edges"), F.round(F.sum(length), 6).alias("length"))

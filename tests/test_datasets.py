@@ -238,3 +238,27 @@ def test_schools(spark):
     rows = {r["period"].year: r for r in schools.manifest(typed, "data_types").collect()}
     assert "fileformat=xls&year=1992-1993" in rows[1993]["url"] and "filters=ABS,KS4&fileformat=csv" in rows[2011]["url"]
     assert rows[2010]["url_meta"] is None and rows[2011]["file_name_meta"] == "2011-01-01_meta.zip"
+
+
+def _member(folder, archive, name, rows):
+    place = folder / archive
+    place.mkdir(exist_ok=True)
+    lines = [",".join(street_crime.RAW_COLUMNS)]
+    lines += [f"{r},2021-07,Kent Police,Kent Police,,,Somewhere,E1,Area,Drugs,," for r in rows]
+    (place / name).write_text("\n".join(lines) + "\n")
+
+
+def test_a_month_is_read_from_its_archive_alone(spark, tmp_path):
+    _member(tmp_path, "2020-05_2023-04", "2021-07-kent-street.csv", ["a", "b"])
+    _member(tmp_path, "2020-05_2023-04", "2021-07-kent-street-outcomes.csv", ["no"])
+    _member(tmp_path, "2020-05_2023-04", "2021-08-kent-street.csv", ["no"])
+    _member(tmp_path, "latest", "2021-07-kent-street.csv", ["no"])
+    _member(tmp_path, "latest", "2024-02-kent-street.csv", ["c"])
+    wanted = spark.createDataFrame([(date(2021, 7, 1),), (date(2024, 2, 1),), (date(2024, 3, 1),)], "period date")
+    files = street_crime.member_files(spark, str(tmp_path), wanted, street_crime.archives(spark))
+    raw = street_crime.read_members(spark, files)
+    got = sorted((r["Crime ID"], str(r["period"]), r["archive"]) for r in raw.collect())
+    assert got == [("a", "2021-07-01", "2020-05_2023-04"), ("b", "2021-07-01", "2020-05_2023-04"), ("c", "2024-02-01", "latest")]
+    assert raw.filter("downloaded is null").count() == 0
+    none = street_crime.read_members(spark, files.filter("false"))
+    assert none.columns == raw.columns and none.count() == 0
