@@ -23,9 +23,13 @@ from pyspark.sql import functions as F
 
 from quarryline.session import pin
 
-# Bounds of what the model is fitted on: documents for word lists, labelled findings for the forest.
-DICTIONARY_DOCUMENTS = 4_000
-DICTIONARY_WORDS = 5_000
+# Words and letter pairs of all documents count from this share on, the same at every size of table;
+# so there are at most a million of each.  A word has to stand there LEAST_COUNT times at least.
+LEAST_SHARE = 1e-6
+LEAST_COUNT = 5
+# The widths that describe() looks for.
+LEAST_WORD, MOST_WORD = 4, 14
+# Bounds of the labelled findings that the forest is fitted on.
 TRAIN_DOCUMENTS = 60_000
 TRAIN_FINDINGS = 20_000
 TREES, DEPTH = 24, 6
@@ -95,11 +99,11 @@ def _kind(c: str) -> str:
 
 
 def _covered(value: str, words: frozenset[str]) -> float:
-    """Share of the letters that dictionary words of four letters or more cover, the longest first."""
+    """Share of the letters that dictionary words of LEAST_WORD to MOST_WORD letters cover, the longest first."""
     lowered, at, covered = value.lower(), 0, 0
     letters = sum(map(str.isalpha, lowered))
     while at < len(lowered):
-        width = next((w for w in range(min(14, len(lowered) - at), 3, -1) if lowered[at : at + w] in words), 0)
+        width = next((w for w in range(min(MOST_WORD, len(lowered) - at), LEAST_WORD - 1, -1) if lowered[at : at + w] in words), 0)
         covered += width
         at += width or 1
     return covered / letters if letters else 0.0
@@ -126,30 +130,37 @@ def describe(text: str, finding: Finding, path: str, lists: WordLists) -> list[f
 
 
 def weak_label(rule: str, features: list[float]) -> int | None:
-    """1 or 0 where a rule is sure, else None."""
+    """1 or 0 where a rule is sure, else None; an assigned random value beside a harmless word is not sure."""
     f = dict(zip(FEATURES, features))
+    assigned = f["assigned"] and f["entropy"] >= 3.0 and f["length"] >= 16
     if f["harmless_near"]:
-        return 0
-    if rule in KNOWN_FORMS or (f["assigned"] and f["entropy"] >= 3.0 and f["length"] >= 16):
+        return None if assigned and f["dictionary_share"] < 0.5 else 0
+    if rule in KNOWN_FORMS or assigned:
         return 1
     if f["digit_share"] == 1.0 or f["dictionary_share"] >= 0.5 or f["entropy"] < 2.5:
         return 0
     return None
 
 
-def word_lists(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> WordLists:
-    """Frequent words and letter pairs of about DICTIONARY_DOCUMENTS documents."""
-    sample = _sample(docs, id_col, DICTIONARY_DOCUMENTS)
-    words = sample.select(F.explode(F.split(F.lower(text_col), r"[^\p{L}]+")).alias("w")).where("length(w) >= 2")
-    counted = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(DICTIONARY_WORDS).collect()
-    pairs: Counter = Counter()
-    for r in counted:
-        for a, b in zip(r["w"], r["w"][1:]):
-            pairs[a + b] += r["count"]
-    total = sum(pairs.values()) + len(pairs) + 1
+def word_lists(docs: DataFrame, text_col: str = "text") -> WordLists:
+    """Words and letter pairs of LEAST_SHARE or more, counted over all documents.
+
+    Pairs are those inside of words, each as often as its words; a rarer pair
+    counts as one of LEAST_SHARE.
+    """
+    words = docs.select(F.explode(F.split(F.lower(text_col), r"[^\p{L}]+")).alias("w")).where("length(w) >= 2")
+    counted = pin(words.groupBy("w").agg(F.count("*").alias("n")))
+    total = counted.agg(F.sum("n").alias("words"), F.sum(F.col("n") * (F.length("w") - 1)).alias("pairs")).first()
+    if total["words"] is None:
+        return WordLists(frozenset(), {}, -math.log(LEAST_SHARE))
+    frequent = counted.where(F.length("w").between(LEAST_WORD, MOST_WORD))
+    frequent = frequent.where(F.col("n") >= max(LEAST_COUNT, LEAST_SHARE * total["words"])).select("w")
+    # All pairs in one pass over the word, however long.
+    pairs = counted.select(F.explode(F.regexp_extract_all("w", F.lit("(?=(..))"), F.lit(1))).alias("p"), "n")
+    pairs = pairs.groupBy("p").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_SHARE * total["pairs"])
     return WordLists(
-        frozenset(r["w"] for r in counted if len(r["w"]) >= 4),
-        {p: -math.log((n + 1) / total) for p, n in pairs.items()}, -math.log(1 / total),
+        frozenset(r["w"] for r in frequent.collect()),
+        {r["p"]: -math.log(r["n"] / total["pairs"]) for r in pairs.collect()}, -math.log(LEAST_SHARE),
     )
 
 
@@ -211,7 +222,7 @@ def scan_secrets(
     Null texts and paths count as empty; rows that share an id are scanned one by
     one; with no findings of both labels nothing can be learned, and all are reported.
     """
-    lists = word_lists(docs, id_col, text_col)
+    lists = word_lists(docs, text_col)
     if labelled is None:
         sample = findings(_sample(docs, id_col, TRAIN_DOCUMENTS), lists, id_col, text_col, path_col)
         taught = sample.withColumn("label", F.col("weak"))

@@ -1,8 +1,10 @@
 """Operators that judge each text by itself, against brute force."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -168,6 +170,22 @@ def test_secrets(spark, frame):
     assert [r["doc_id"] for r in secrets.scan_secrets(docs, known).where("is_secret").collect()] == [1, 3]
 
 
+def test_secret_word_lists_cover_all_documents(frame):
+    rng = random.Random(12)
+    common = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(5_200)]
+    rows = [(k, " ".join(common)) for k in range(10, 16)] + [(k, "Zebrafish, ÄÖü") for k in range(20, 25)] + [(30, "seldom"), *[r[:2] for r in ODD]]
+    words = Counter(w for _, t in rows for w in re.findall(r"[^\W\d_]{2,}", (t or "").lower()))
+    pairs = Counter()
+    for w, n in words.items():
+        for a, b in zip(w, w[1:]):
+            pairs[a + b] += n
+    lists = secrets.word_lists(frame(rows))
+    least = max(5, 1e-6 * words.total())
+    assert lists.words == {w for w, n in words.items() if 4 <= len(w) <= 14 and n >= least} and "zebrafish" in lists.words
+    assert lists.bigrams.keys() == pairs.keys() and "äö" in pairs
+    assert all(abs(x + math.log(pairs[p] / pairs.total())) < 1e-9 for p, x in lists.bigrams.items())
+
+
 def test_whole_tables(spark):
     n = spark.read.parquet(f"{TINY}/documents.parquet").count()
     for name in ("op1_token_counts", "op2_line_templates", "op3_license_rules", "op4_pii", "op5_pareto_mix", "op9_merkle_prints"):
