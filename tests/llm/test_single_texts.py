@@ -129,6 +129,21 @@ def test_language_of_odd_rows(frame):
     assert language.keep_identified(frame(ODD), filters).columns == frame(ODD).columns
 
 
+def test_unlearned_languages_and_single_words(spark, frame):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    names = sorted(r["lang"] for r in docs.select("lang").distinct().collect())
+    tried = docs.where(language.held_out(docs["doc_id"]))
+    for left in names:
+        filters = language.train_on(docs.where(docs["lang"] != left))
+        kept = language.keep_identified(tried, filters).groupBy("lang").count().collect()
+        assert {r["lang"]: r["count"] for r in kept} == {
+            r["lang"]: r["count"] for r in tried.where(tried["lang"] != left).groupBy("lang").count().collect()}
+    filters = language.train(frame([(1, "the cat and the dog sat there. " * 9, "en"), (2, "der hund und die katze sassen dort! " * 9, "de")]))
+    words = ["the", "Und", "katze", "Dort!", "zij", "the cat", "the hund", "of", "?"]
+    got = language.keep_identified(frame(list(enumerate(words))), filters).collect()
+    assert [r["text"] for r in got] == ["the", "Und", "katze", "Dort!", "the cat"]
+
+
 def brute_print(text):
     leaves = [hashlib.md5(x.encode()).hexdigest() for x in re.findall(merkle.PARAGRAPH, text)]
     dotted = lambda d: "".join(x[:d] + ("." if x[0] in merkle.SECTION_ENDS else "") for x in leaves)
