@@ -16,7 +16,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines whose template an earlier document has go; all documents stay."""
-    cleaned = line_templates.drop_recurring_lines(docs).select(*docs.columns)
+    cleaned = line_templates.drop_recurring_lines(docs, short_lines=True).select(*docs.columns)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cleaned
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 LEADING_TOKENS = 2
 STRETCHES = 5
-# Shorter lines recur by chance and are left alone.
+# Shorter lines have no stretch templates; their whole-line template counts if ``short_lines`` is set.
 LEAST_TOKENS = 4
 LEAST_DOCUMENTS = 2
 VARIABLE = "<*>"
@@ -39,7 +39,7 @@ def _edge(k: int) -> Column:
     return F.floor(F.greatest(F.col("n") - LEADING_TOKENS, F.lit(0)) * k / STRETCHES).cast("int") + LEADING_TOKENS
 
 
-def _proposals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _proposals(docs: DataFrame, id_col: str, text_col: str, short_lines: bool) -> DataFrame:
     """(_ql_id, line, h, g): for each line and template 96 bits of hash.
 
     Tokens stand between single blanks.  Each stretch is hashed once, with its
@@ -51,10 +51,12 @@ def _proposals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lines = lines.select("_ql_id", "line", masked(F.col("content")).alias("content"))
     blanks = F.octet_length("content") - F.octet_length(F.replace(F.col("content"), F.lit(" "), F.lit("")))
     lines = lines.select("*", (blanks + 1).alias("n"))
+    # A line of digits and signs alone is not a template.
+    lines = lines.withColumn("short", (F.col("n") < LEAST_TOKENS) & F.rlike("content", F.lit(r"\p{L}")) if short_lines else F.lit(False))
     lines = lines.select("*", *[_edge(k).alias(f"e{k}") for k in range(STRETCHES + 1)])
     lines = lines.select("*", *[F.expr(f"substring_index(content, ' ', e{k})").alias(f"upto{k}") for k in range(STRETCHES + 1)])
     parts = lines.select(
-        "_ql_id", "line", "n", *[f"e{k}" for k in range(STRETCHES + 1)], F.col("upto0").alias("lead"),
+        "_ql_id", "line", "n", "short", *[f"e{k}" for k in range(STRETCHES + 1)], F.col("upto0").alias("lead"),
         *[
             F.substr(
                 F.col("content").cast("binary"), F.octet_length(f"upto{k}") + 1,
@@ -64,7 +66,7 @@ def _proposals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         ],
     )
     hashes = parts.select(
-        "_ql_id", "line", "n", *[f"e{k}" for k in range(STRETCHES + 1)],
+        "_ql_id", "line", "n", "short", *[f"e{k}" for k in range(STRETCHES + 1)],
         F.xxhash64("lead", "n").alias("h_lead"), F.hash("lead", "n").alias("g_lead"),
         *[F.xxhash64(f"part{k}", F.lit(k)).alias(f"h{k}") for k in stretches],
         *[F.hash(f"part{k}", F.lit(k)).alias(f"g{k}") for k in stretches],
@@ -81,37 +83,44 @@ def _proposals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return F.when(allowed, F.struct(F.col("h").bitwiseXOR(F.col(f"h{k}")).alias("h"), F.col("g").bitwiseXOR(F.col(f"g{k}")).alias("g")))
 
     templates = F.array(F.struct("h", "g"), *[proposed(k) for k in stretches])
-    rows = hashes.select("_ql_id", "line", F.explode(F.when(F.col("n") >= LEAST_TOKENS, templates)).alias("t"))
+    proposals = F.when(F.col("n") >= LEAST_TOKENS, templates).when(F.col("short"), F.array(F.struct("h", "g")))
+    rows = hashes.select("_ql_id", "line", F.explode(proposals).alias("t"))
     return rows.where(F.col("t").isNotNull()).select("_ql_id", "line", "t.h", "t.g")
 
 
-def recurring_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_DOCUMENTS) -> DataFrame:
-    """(h, g, n_documents, first_id) of templates that lines of ``least`` documents or more propose.
+def recurring_templates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_DOCUMENTS, short_lines: bool = False,
+) -> DataFrame:
+    """(h, g, first_id) of templates that lines of ``least`` documents or more propose.
 
     A document counts once for a template, and rows that share an id count as one.
     """
-    seen = _proposals(docs, id_col, text_col).select("_ql_id", "h", "g")
+    seen = _proposals(docs, id_col, text_col, short_lines).select("_ql_id", "h", "g")
     if least <= 2:
         counted = seen.groupBy("h", "g").agg(F.min("_ql_id").alias("first_id"), F.max("_ql_id").alias("last_id"))
-        return counted.where("first_id < last_id").select("h", "g", F.lit(2).cast("long").alias("n_documents"), "first_id")
+        return counted.where("first_id < last_id").select("h", "g", "first_id")
     counted = seen.distinct().groupBy("h", "g").agg(F.count("*").alias("n_documents"), F.min("_ql_id").alias("first_id"))
-    return counted.where(F.col("n_documents") >= least)
+    return counted.where(F.col("n_documents") >= least).select("h", "g", "first_id")
 
 
-def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_DOCUMENTS) -> DataFrame:
+def drop_recurring_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_DOCUMENTS, short_lines: bool = False,
+) -> DataFrame:
     """The rows of ``docs`` with recurring lines taken out of the text, plus
     ``_ql_n_lines`` and ``_ql_n_dropped``.
 
     A line goes when one of its templates recurs in ``least`` documents and an
     earlier document (by id) has it; the first document keeps its lines, so the
-    content stays once.  Lines under LEAST_TOKENS tokens stay.  Null texts stay
-    null, empty ones empty; a row without an id neither counts nor loses lines;
-    rows that share an id are one document, and a line goes from all of them.
+    content stays once.  Lines under LEAST_TOKENS tokens stay, unless
+    ``short_lines`` is set: then those with a letter outside of variable tokens
+    go as whole lines.  Null texts stay null, empty ones empty; a row without an
+    id neither counts nor loses lines; rows that share an id are one document,
+    and a line goes from all of them.
     Columns beside id and text are passed through.
     """
-    found = recurring_templates(docs, id_col, text_col, least).select("h", "g", "first_id")
+    found = recurring_templates(docs, id_col, text_col, least, short_lines)
     dropped = (
-        _proposals(docs, id_col, text_col)
+        _proposals(docs, id_col, text_col, short_lines)
         .join(found, ["h", "g"])
         .where(F.col("_ql_id") > F.col("first_id"))
         .groupBy("_ql_id")

@@ -36,7 +36,7 @@ def op1_token_counts(spark, folder):
 @_query
 def op2_line_templates(spark, folder):
     """Every document without the lines whose template an earlier document has."""
-    cleaned = line_templates.drop_recurring_lines(_table(spark, folder))
+    cleaned = line_templates.drop_recurring_lines(_table(spark, folder), short_lines=True)
     return cleaned.select("doc_id", "text", F.col("_ql_n_lines").alias("n_lines"), F.col("_ql_n_dropped").alias("n_dropped"))
 
 

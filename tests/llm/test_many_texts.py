@@ -9,7 +9,7 @@ from conftest import TINY
 from llm.conftest import ODD
 
 import corpus_pipeline
-from quarryline.llm import components, decontaminate, jaccard_join, line_templates, mixing
+from quarryline.llm import components, decontaminate, jaccard_join, line_templates, mixing, queries
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -166,6 +166,20 @@ def test_line_templates(frame):
     assert line_templates.drop_recurring_lines(frame([])).count() == 0
 
 
+def test_short_recurring_lines(spark, frame):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()
+    left = {r["doc_id"]: r["text"] for r in queries.op2_line_templates(spark, "/root/testdata/sf0.01").collect()}
+    seen = set()
+    for r in docs:
+        lines = (r["text"] or "").split("\n")
+        assert not [x for x in (left[r["doc_id"]] or "").split("\n") if x in seen]
+        seen |= {x for x in lines if re.search(r"[^\W\d_]", re.sub(r"\S*\d\S*", "", x))}
+    rows = [(1, "Of.\n12\nPage 3\nx"), (2, "Of.\n12\nPage 47\n\nof."), (3, "Of.\nOf. it\n\n7 --\nPage 1 a"), (None, "Of.\nx")]
+    got = line_templates.drop_recurring_lines(frame(rows), short_lines=True).collect()
+    assert {(r["doc_id"], r["text"], r["_ql_n_dropped"]) for r in got} == {
+        (1, rows[0][1], 0), (2, "12\n\nof.", 2), (3, "Of. it\n\n7 --\nPage 1 a", 1), (None, rows[3][1], 0)}
+
+
 def test_mix(spark, frame):
     rng = random.Random(9)
     rows = [(k, " ".join(["w"] * rng.randint(0, 40)), "en", s) for k, s in enumerate(["a"] * 300 + ["b"] * 80 + ["c"] * 60 + [None] * 30 + ["e"] * 5)]
