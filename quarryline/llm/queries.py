@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarryline.llm import (
     decontaminate, jaccard_join, language, license_rules, line_templates, merkle, mixing, pii, secrets,
-    token_counts,
+    suffix_dedup, token_counts,
 )
 from quarryline.llm.sql import SQL
 
@@ -104,3 +104,10 @@ def op10_secrets(spark, folder):
         F.count("*").alias("n_candidates"), F.count_if("is_secret").alias("n_secrets"),
         F.round(F.max("score"), 6).alias("score"), F.array_join(spans, ",").alias("spans"),
     )
+
+
+@_query
+def op11_suffix_dedup(spark, folder):
+    """Bytes left of every document when all that stands at several places is removed."""
+    left = suffix_dedup.drop_repeats(_table(spark, folder), keep_bytes=False)
+    return left.select("doc_id", *[F.col(f"_ql_{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
