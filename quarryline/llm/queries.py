@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.llm import (
-    decontaminate, jaccard_join, language, license_rules, line_templates, merkle, mixing, pii, secrets,
-    suffix_dedup, token_counts,
+    conversation_repair, decontaminate, jaccard_join, language, license_rules, line_templates, merkle, mixing, pii, secrets,
+    suffix_dedup, token_counts, whitening,
 )
 from quarryline.llm.sql import SQL
 
@@ -111,3 +111,18 @@ def op11_suffix_dedup(spark, folder):
     """Bytes left of every document when all that stands at several places is removed."""
     left = suffix_dedup.drop_repeats(_table(spark, folder), keep_bytes=False)
     return left.select("doc_id", *[F.col(f"_ql_{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
+
+
+@_query
+def op12_whitening(spark, folder):
+    """The first whitened components of every embedding."""
+    names = {"component": "int", "n": "long", "deviation": "long", "whitened": "double", "explained": "double", "identity_error": "double"}
+    rows = whitening.whiten(_table(spark, folder, "embeddings"))
+    return rows.select("vec_id", *[F.col(f"_ql_{c}").cast(t).alias(c) for c, t in names.items()])
+
+
+@_query
+def op13_conversation_repair(spark, folder):
+    """Faults and cheapest repair of every conversation after the test damage."""
+    conversations = _table(spark, folder, "conversations")
+    return conversation_repair.repair_all(conversations, conversation_repair.damaged(conversations))
