@@ -7,16 +7,19 @@ Texts are compared as UTF-8 bytes and no string crosses the end of a text.
 Sharding.  The least hash among the GRAM-byte strings of a window (the leftmost of
 equal ones) owns it.  Equal windows have equal owners at equal offsets, so they
 meet in the shard of their owner's hash: consecutive windows of one owner travel as
-one piece, and owners that occur once send nothing.  Equal pieces are one content
-with a count.  The contents of a shard are joined to one string whose suffixes are
-ordered by external induced sorting (``induced``); windows are equal where
-neighbours in that order share WINDOW bytes.  A content alone with its hash needs
-no order: its windows can equal none of another content.
+one piece, and owners that occur once send nothing.  Equal pieces are combined in
+every task to one content with a count.  The contents of a shard are joined to one
+string whose suffixes are ordered by external induced sorting (``induced``); windows
+are equal where neighbours in that order share WINDOW bytes.  A content alone with
+its hash needs no order: its windows can equal none of another content.
 
 Skew.  A shard is a run of whole hashes of about SHARD_BYTES, read from a sorted
-partition.  A hash with over HOT_OWNERS owners would be too long for one shard; its
-windows are counted by a 128-bit hash of the whole window instead, combined in
-every task before the shuffle.  Copies of a whole text are one text with a count.
+partition; it holds different contents only.  A hash with over MOST_CONTENTS of them
+(a passage that very many texts share, in different surroundings) is divided: windows
+whose owner lies at nearly the same offset share a longer core, whose hash takes the
+owner's place.  Cores grow from level to level to whole windows, which need no order;
+windows inside the passage become equal contents, those beyond it cores that occur
+once.  Copies of a whole text are one text with a count.
 
 Defined cases: a null text is empty; a text under WINDOW bytes keeps all; a text
 with an exact copy loses all if it has WINDOW bytes; rows without or with equal ids
@@ -41,12 +44,16 @@ from quarryline.session import scratch_path
 WINDOW = 400
 GRAM = 100
 SHARD_BYTES = 4_000_000
-HOT_OWNERS = 5_000
+MOST_CONTENTS = 5_000
+# Offsets of an owner that share a core, by level; WINDOW - GRAM + 1 offsets share the owner.
+CORE_WIDTHS = (75, 19, 5, 1)
 # Bytes of pieces that one partition of shards should hold.
 PARTITION_BYTES = 32_000_000
 
 OWNERS = "_ql_key binary, hash long, start long, windows long, owners long"
-SPANS = "_ql_key binary, start long, end long"
+PIECES = "_ql_key binary, hash long, start long, owners long, piece binary, copies long, digest binary"
+WINDOWS = "_ql_key binary, hash long, check long, start long, windows long, copies long"
+RUNS = "digest binary, low long, high long"
 DIGEST = "_ql_key binary, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
 # Odd multipliers of the two byte hashes; the second belongs to whole windows only.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -117,15 +124,21 @@ def _owner_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([keys, *(pa.array(c.astype(np.int64)) for c in rest)], names)
 
 
+def _piece_batch(keys, hashes, starts, owners, pieces: list[bytes], copies) -> pa.RecordBatch:
+    digests = [hashlib.blake2b(piece, digest_size=16).digest() for piece in pieces]
+    columns = [keys, hashes, starts, owners, pa.array(pieces, pa.binary()), copies, pa.array(digests, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in PIECES.split(", ")])
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cut the stretches that ``_ql_places`` names out of each text."""
     for batch in batches:
         texts, places = batch.column("_ql_text").cast(pa.large_binary()), batch.column("_ql_places")
         lengths = pc.list_value_length(places).to_numpy(zero_copy_only=False)
-        fields = dict(zip(("hash", "start", "windows", "hot", "owners"), places.flatten().flatten(), strict=True))
+        fields = dict(zip(("hash", "start", "windows", "owners"), places.flatten().flatten(), strict=True))
         row = np.repeat(np.arange(len(batch)), lengths)
         starts, windows = fields["start"].to_numpy(), fields["windows"].to_numpy()
-        # Few texts at a time, so that long ones do not double the batch.
+        # Few pieces at a time, so that long texts do not double the batch.
         for low in range(0, len(row), 2_000):
             part = slice(low, low + 2_000)
             held, cut = None, []
@@ -133,13 +146,45 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if held != r:
                     held, raw = r, memoryview(texts[r].as_buffer())
                 cut.append(bytes(raw[s : s + w + WINDOW - 1]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("_ql_key").take(pa.array(row[part])), fields["hash"][part], fields["start"][part],
-                    fields["hot"][part], fields["owners"][part], pa.array(cut, pa.binary()),
-                ],
-                ["_ql_key", "hash", "start", "hot", "owners", "piece"],
-            )
+            keys = batch.column("_ql_key").take(pa.array(row[part]))
+            one = pa.array(np.ones(len(cut), np.int64))
+            yield _piece_batch(keys, fields["hash"][part], fields["start"][part], fields["owners"][part], cut, one)
+
+
+def _cores(piece: bytes, width: int) -> tuple[np.ndarray, ...]:
+    """(first window, windows, owners, place of the core) of the runs of windows of a
+    piece whose owner lies at one of ``width`` offsets, where runs of one core are one."""
+    data = np.frombuffer(piece, np.uint8)
+    grams = string_hashes(data, GRAM)
+    ranked = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+    owner = (_least_in_windows(ranked, WINDOW - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    core = owner - (owner - np.arange(len(owner))) // width * width
+    hashes = string_hashes(data, WINDOW - width + 1)[core]
+    moves = np.append(True, (core[1:] != core[:-1]) | (owner[1:] != owner[:-1]))
+    opens = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    owners = np.add.reduceat(moves.astype(np.int64), opens)
+    return opens, np.diff(np.append(opens, len(owner))), owners, hashes[opens].view(np.int64)
+
+
+def _divided(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of contents by longer cores, each keyed by the content it lies in."""
+    for batch in batches:
+        for row, piece in enumerate(batch.column("piece").to_pylist()):
+            first, windows, owners, hashes = _cores(piece, width)
+            cut = [piece[f : f + w + WINDOW - 1] for f, w in zip(first.tolist(), windows.tolist(), strict=True)]
+            keys, copies = (pa.repeat(batch.column(c)[row], len(cut)) for c in ("digest", "copies"))
+            yield _piece_batch(keys, pa.array(hashes), pa.array(first), pa.array(owners), cut, copies)
+
+
+def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of contents with a 128-bit hash of all their bytes; equal ones in a row are one."""
+    names = [f.split()[0] for f in WINDOWS.split(", ")]
+    for batch in batches:
+        for row, piece in enumerate(batch.column("piece").to_pylist()):
+            first, windows, _, hashes = _cores(piece, 1)
+            check = string_hashes(np.frombuffer(piece, np.uint8), WINDOW, BASES[1])[first].view(np.int64)
+            keys, copies = (pa.repeat(batch.column(c)[row], len(first)) for c in ("digest", "copies"))
+            yield pa.RecordBatch.from_arrays([keys, *map(pa.array, (hashes, check, first, windows)), copies], names)
 
 
 def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -174,43 +219,17 @@ def _repeated_in(contents: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, ..
 
 
 def repeats_in_shard(table: pa.Table) -> pa.RecordBatch:
-    """Spans of all members of a shard whose windows occur more than once in it."""
-    hashes = table["hash"].to_numpy()
-    encoded = table["piece"].combine_chunks().dictionary_encode()
-    if isinstance(encoded, pa.ChunkedArray):
-        encoded = encoded.combine_chunks()
-    content, contents = encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
-    counts = np.bincount(content, minlength=len(contents))
-    of_content = np.empty(len(contents), np.int64)
-    of_content[content] = hashes
-    windows = pc.binary_length(contents).to_numpy().astype(np.int64) - WINDOW + 1
-    _, which, sharing = np.unique(of_content, return_inverse=True, return_counts=True)
-    # A content that repeats a gram inside has to be compared with itself.
-    inside = np.zeros(len(contents), bool)
-    inside[content] = table["owners"].to_numpy() > 1
-    compared = np.flatnonzero((sharing[which] > 1) | inside)
-    runs = [(np.flatnonzero(counts > 1), np.zeros(int((counts > 1).sum()), np.int64), windows[counts > 1])]
-    if len(compared):
-        owner, first, end = _repeated_in(contents.take(pa.array(compared)), counts[compared])
-        single = counts[compared[owner]] == 1
-        runs.append((compared[owner[single]], first[single], end[single]))
-    owner, first, end = (np.concatenate(c) for c in zip(*runs, strict=True))
-    order = np.argsort(owner, kind="stable")
-    owner, first, end = owner[order], first[order], end[order]
-    n_runs = np.bincount(owner, minlength=len(contents))
-    opens = np.cumsum(n_runs) - n_runs
-    member = np.repeat(np.arange(len(content)), n_runs[content])
-    place = np.arange(len(member)) - np.repeat(np.cumsum(n_runs[content]) - n_runs[content], n_runs[content])
-    run = opens[content[member]] + place
-    starts = table["start"].to_numpy()[member]
-    keys = table["_ql_key"].combine_chunks().take(pa.array(member))
-    return pa.RecordBatch.from_arrays(
-        [keys, pa.array(starts + first[run]), pa.array(starts + end[run] + WINDOW - 1)], ["_ql_key", "start", "end"]
-    )
+    """The runs of bytes of the contents of a shard whose windows occur in it more
+    than once; contents that occur more than once themselves are left out."""
+    counts = table["copies"].to_numpy()
+    owner, first, end = _repeated_in(table["piece"].combine_chunks(), counts)
+    single = counts[owner] == 1
+    digests = table["digest"].combine_chunks().take(pa.array(owner[single]))
+    return pa.RecordBatch.from_arrays([digests, pa.array(first[single]), pa.array(end[single] + WINDOW - 1)], ["digest", "low", "high"])
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted pieces in runs of whole hashes of about SHARD_BYTES."""
+    """Sorted contents in runs of whole hashes of about SHARD_BYTES."""
     held, size = [], 0
     for batch in batches:
         held.append(batch)
@@ -228,18 +247,6 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield repeats_in_shard(pa.Table.from_batches(held).combine_chunks())
 
 
-def _hot_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of the pieces with a 128-bit hash of its bytes."""
-    for batch in batches:
-        starts = batch.column("start").to_numpy()
-        for row, piece in enumerate(batch.column("piece").to_pylist()):
-            data = np.frombuffer(piece, np.uint8)
-            one, two = (string_hashes(data, WINDOW, base).view(np.int64) for base in BASES)
-            keys = pa.repeat(batch.column("_ql_key")[row], len(one))
-            at = pa.array(np.arange(len(one)) + starts[row])
-            yield pa.RecordBatch.from_arrays([keys, at, pa.array(one), pa.array(two)], ["_ql_key", "start", "one", "two"])
-
-
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """Each text once, with a 128-bit key and its count; copies are combined in every task."""
     return docs.groupBy("_ql_key").agg(F.first("_ql_text").alias("_ql_text"), F.count("*").alias("_ql_copies"))
@@ -250,27 +257,59 @@ def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumns({"_ql_text": whole, "_ql_key": F.substring(F.unhex(F.sha2(whole, 256)), 1, 16)})
 
 
+def _repeated_windows(contents: DataFrame) -> DataFrame:
+    """Runs of contents from the counts of their single windows."""
+    windows = contents.mapInArrow(_single_windows, WINDOWS)
+    met = windows.groupBy("hash", "check").agg(F.sum(F.col("copies") * F.col("windows")).alias("_ql_met")).where("_ql_met > 1")
+    high = (F.col("start") + F.col("windows") + (WINDOW - 1)).alias("high")
+    return windows.join(met, ["hash", "check"]).select(F.col("_ql_key").alias("digest"), F.col("start").alias("low"), high)
+
+
+def _spans_of_pieces(pieces: DataFrame, level: int = 0) -> DataFrame:
+    """(_ql_key, start, end) of the repeated windows of pieces."""
+    spark = pieces.sparkSession
+    path = scratch_path(spark, f"pieces-{level}")
+    pieces.write.parquet(path)
+    pieces = spark.read.parquet(path)
+    contents = pieces.groupBy("hash", "digest").agg(
+        F.first("piece").alias("piece"), F.first("owners").alias("owners"), F.sum("copies").alias("copies")
+    )
+    # How many contents, and how many bytes of them, have one hash.
+    sizes = pieces.select("hash", "digest", F.length("piece").alias("size"), "owners").distinct()
+    sizes = sizes.groupBy("hash").agg(F.count("*").alias("_ql_n"), F.sum("size").alias("_ql_size"), F.max("owners").alias("_ql_owners"))
+    compared = sizes.where("_ql_n > 1 OR _ql_owners > 1")
+    hot = F.col("_ql_n") > MOST_CONTENTS
+    facts = compared.agg(F.sum(F.when(~hot, F.col("_ql_size"))).alias("size"), F.count_if(hot).alias("hot")).first()
+    contents = contents.join(compared.select("hash", hot.alias("_ql_hot")), "hash", "left")
+    often = contents.where("copies > 1").select("digest", F.lit(0).cast("long").alias("low"), F.length("piece").cast("long").alias("high"))
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(facts["size"] or 0) // PARTITION_BYTES))
+    sharded = contents.where("NOT _ql_hot").select("hash", "digest", "piece", "copies").repartition(partitions, "hash")
+    runs = often.unionByName(sharded.sortWithinPartitions("hash").mapInArrow(_shards, RUNS))
+    if facts["hot"]:
+        divided, width = contents.where("_ql_hot").select("digest", "piece", "copies"), CORE_WIDTHS[level]
+        if width == 1:
+            inside = _repeated_windows(divided)
+        else:
+            inside = _spans_of_pieces(divided.mapInArrow(lambda b: _divided(b, width), PIECES), level + 1)
+            inside = inside.toDF("digest", "low", "high")
+        runs = runs.unionByName(inside)
+    start = F.col("start")
+    return pieces.select("_ql_key", "start", "digest").join(runs, "digest").select(
+        "_ql_key", (start + F.col("low")).alias("start"), (start + F.col("high")).alias("end")
+    )
+
+
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(_ql_key, start, end) of byte runs of different texts made of repeated windows;
-    runs may overlap.  Owners are written to the shared folder and read twice."""
+    runs may overlap.  Owners and pieces are written to the shared folder and read twice."""
     spark = texts.sparkSession
     path = scratch_path(spark, "owners")
     texts.mapInArrow(_owner_rows, OWNERS).write.parquet(path)
     owners = spark.read.parquet(path)
     met = owners.groupBy("hash").agg(F.sum("owners").alias("_ql_met")).where("_ql_met > 1")
-    hot = (F.col("_ql_met") > HOT_OWNERS).alias("hot")
-    places = owners.join(met, "hash").select("_ql_key", F.struct("hash", "start", "windows", hot, "owners").alias("_ql_place"))
+    places = owners.join(met, "hash").select("_ql_key", F.struct("hash", "start", "windows", "owners").alias("_ql_place"))
     of_text = places.groupBy("_ql_key").agg(F.collect_list("_ql_place").alias("_ql_places"))
-    schema = "_ql_key binary, hash long, start long, hot boolean, owners long, piece binary"
-    pieces = texts.join(of_text, "_ql_key").mapInArrow(_pieces, schema)
-    n_bytes = owners.agg(F.sum(F.col("windows") + WINDOW)).first()[0] or 0
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // PARTITION_BYTES))
-    sharded = pieces.where("not hot").repartition(partitions, "hash").sortWithinPartitions("hash")
-    spans = sharded.mapInArrow(_shards, SPANS)
-    windows = pieces.where("hot").mapInArrow(_hot_windows, "_ql_key binary, start long, one long, two long")
-    repeated = windows.groupBy("one", "two").agg(F.count("*").alias("_ql_n")).where("_ql_n > 1")
-    hot_spans = windows.join(repeated, ["one", "two"]).select("_ql_key", "start", (F.col("start") + WINDOW).alias("end"))
-    return spans.unionByName(hot_spans)
+    return _spans_of_pieces(texts.join(of_text, "_ql_key").mapInArrow(_pieces, PIECES))
 
 
 def _without_spans(batches: Iterator[pa.RecordBatch], keep: bool) -> Iterator[pa.RecordBatch]:

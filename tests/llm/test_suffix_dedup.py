@@ -85,9 +85,11 @@ def planted():
     return texts + ["z" * (W - 1), words(W), "é" * 500]
 
 
-@pytest.mark.parametrize("hot", [5_000, 1], ids=["shards", "hot hashes"])
-def test_drop_repeats(spark, monkeypatch, hot):
-    monkeypatch.setattr(suffix_dedup, "HOT_OWNERS", hot)
+@pytest.mark.parametrize("most, widths", [(5_000, (75, 1)), (1, (75, 19, 5, 1)), (3, (75, 1)), (1, (1,))])
+def test_drop_repeats(spark, monkeypatch, most, widths):
+    """Contents in shards, and those of a hash divided by cores of several levels."""
+    monkeypatch.setattr(suffix_dedup, "MOST_CONTENTS", most)
+    monkeypatch.setattr(suffix_dedup, "CORE_WIDTHS", widths)
     texts = planted()
     rows = [(i // 2, t, b"k", 1, "h") for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept binary, start int, hash string")
