@@ -19,8 +19,10 @@ def counter_rate(
     tie: str | None = None,
     bucket: str = "day",
     output: str = "rate",
+    horizon: str | None = None,
 ) -> DataFrame:
-    """Difference from the previous reading of the same series, in MiB at 3 decimals.
+    """Difference from the previous reading of the same series, in MiB at 3 decimals;
+    null where the previous reading is older than ``horizon`` (an interval).
 
     A series is cut into time buckets, so even one that holds a third of all
     rows is ordered by many tasks.  Each bucket is handed the last reading of
@@ -41,7 +43,10 @@ def counter_rate(
     )
     both = rows.unionByName(carried, allowMissingColumns=True)
     window = Window.partitionBy(*keys, "_bucket").orderBy(F.col("_carried").desc(), *order)
-    rated = both.withColumn(output, mebibytes(F.col(reading) - F.lag(reading).over(window)))
+    rate = mebibytes(F.col(reading) - F.lag(reading).over(window))
+    if horizon is not None:
+        rate = F.when(F.lag(at).over(window) + F.expr(f"INTERVAL {horizon}") >= F.col(at), rate)
+    rated = both.withColumn(output, rate)
     return rated.filter(~F.col("_carried")).drop("_bucket", "_carried")
 
 

@@ -2,114 +2,100 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import ArrayType, DoubleType, StructType, TimestampType
+from pyspark.sql.types import StructType
 
-from quarryline.sinks.paths import matching_paths, remove_folder
-from quarryline.streaming.metrics import HISTORY, latest_state
+from quarryline.sinks.paths import matching_paths
+from quarryline.streaming.merged_state import MergedState
+from quarryline.streaming.metrics import HISTORY, counter_rate, last_n, latest_state
 
-MEBIBYTE = 1_048_576
 
+def snapshot_state(path: str, keys: Sequence[str], at: Sequence[str], columns: Sequence[str], **options) -> MergedState:
+    """State that is the newest row per key."""
 
-def counter_rate_stream(
-    stream: DataFrame, key: str, at: str, reading: str, columns: Sequence[str], output: str = "rate"
-) -> DataFrame:
-    """Rate against the previous reading, kept as state per series between batches.
+    def newest(rows: DataFrame) -> DataFrame:
+        return latest_state(rows, keys, at, columns)
 
-    Readings inside a batch are put in time order; a reading older than the last
-    one already emitted for its series gives a null rate and leaves the state.
-    """
-    fields = [stream.schema[c] for c in columns]
-    out = StructType(fields).add(output, "double")
-    state_type = StructType([stream.schema[at], stream.schema[reading]])
-
-    def step(_key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = pd.concat(list(frames), ignore_index=True)
-        rows = held.sort_values(list(dict.fromkeys([at, *columns])), kind="stable", ignore_index=True)
-        newest, value = state.get if state.exists else (None, None)
-        newest = None if newest is None else pd.Timestamp(newest)
-        late = rows[at] < newest if newest is not None else pd.Series(False, index=rows.index)
-        timely = rows[~late]
-        before = timely[reading].shift(1)
-        if len(timely) and value is not None:
-            before.iloc[0] = value
-        rows[output] = ((timely[reading] - before) / MEBIBYTE).round(3)
-        if len(timely):
-            state.update((timely[at].iloc[-1].to_pydatetime(), timely[reading].iloc[-1].item()))
-        yield rows[[*columns, output]]
-
-    return stream.groupBy(key).applyInPandasWithState(step, out, state_type, "append", GroupStateTimeout.NoTimeout)
-
-
-def last_n_stream(
-    stream: DataFrame, key: str, at: str, value: str, n: int = HISTORY, ties: Sequence[str] = ()
-) -> DataFrame:
-    """The last ``n`` points of each series after every batch (update mode): arrays
-    ``times``, the ``ties`` columns and ``points``.  Equal times stand in the order of
-    ``ties``, as in the batch form, and at last of the value."""
-    columns = [at, *ties, value]
-    types = [TimestampType(), *[stream.schema[c].dataType for c in ties], DoubleType()]
-    arrays = StructType()
-    for name, kind in zip(["times", *ties, "points"], types, strict=True):
-        arrays = arrays.add(name, ArrayType(kind))
-    out = StructType([stream.schema[key], *arrays.fields])
-
-    def step(group, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = None
-        if state.exists:
-            held = pd.DataFrame(dict(zip(columns, map(list, state.get), strict=True)))
-            held[at] = pd.to_datetime(held[at]).astype("datetime64[us]")
-        for frame in frames:  # never more than n kept between pieces of a large batch
-            merged = frame[columns] if held is None else pd.concat([held, frame[columns]], ignore_index=True)
-            held = merged.sort_values(columns, kind="stable").tail(n)
-        lists = [[t.to_pydatetime() for t in held[at]], *[held[c].tolist() for c in ties], [float(v) for v in held[value]]]
-        state.update(tuple(lists))
-        yield pd.DataFrame({key: [group[0]], **{f.name: [x] for f, x in zip(arrays.fields, lists, strict=True)}})
-
-    return stream.groupBy(key).applyInPandasWithState(step, out, arrays, "update", GroupStateTimeout.NoTimeout)
-
-
-def snapshot_writer(
-    path: str, keys: Sequence[str], at: Sequence[str], columns: Sequence[str], keep: int = 3
-) -> Callable:
-    """``foreachBatch`` function keeping the newest row per key under ``path``.
-
-    Batch b reads the newest complete snapshot before b and writes its own
-    folder, so a repeated batch gives the same result and keys absent from a
-    batch are kept.  Only the last ``keep`` snapshots stay.
-    """
+    return MergedState(path, keys, newest, **options)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*keys, *columns)
-        held = _snapshot_before(batch.sparkSession, path, batch_id)
-        if held is not None:
-            rows = rows.unionByName(held.select(*keys, *columns))
-        latest_state(rows, keys, at, columns).write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
-        for old in _complete_batches(batch.sparkSession, path)[:-keep]:
-            remove_folder(batch.sparkSession, old)
 
-    return write
+def history_state(
+    path: str, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], n: int = HISTORY, **options
+) -> MergedState:
+    """State that is the last ``n`` rows per key; ``order`` must leave no ties between
+    different rows.  Each task keeps its own last ``n`` of a key before the shuffle, so
+    a hot series brings no more than ``n`` rows from every task to the one that merges."""
+
+    def last(rows: DataFrame) -> DataFrame:
+        return last_n(rows.select(*keys, *columns), keys, order, n)
+
+    return MergedState(path, keys, last, **options)
 
 
-def _complete_batches(spark: SparkSession, path: str) -> list[str]:
-    return [p.rsplit("/", 1)[0] for p in matching_paths(spark, f"{path}/batch=*/_SUCCESS")]
+def state_writer(state: MergedState) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that adds each batch to a state."""
+    return lambda batch, batch_id: state.apply(batch, batch_id)
 
 
-def _snapshot_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    before = [p for p in _complete_batches(spark, path) if int(p.rsplit("=", 1)[1]) < batch_id]
-    return spark.read.parquet(before[-1]) if before else None
+def rate_writer(
+    target: str,
+    path: str,
+    keys: Sequence[str],
+    at: str,
+    reading: str,
+    tie: str,
+    bucket: str = "day",
+    horizon: str | None = None,
+    output: str = "rate",
+    **options,
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that writes the counter rates of each batch under ``target``.
+
+    The state under ``path`` is the last reading of each series.  A batch reads it for
+    the buckets its keys fall in, and hands each series its last reading as one more
+    row of the batch form, which orders a series a time bucket at a time: a hot series
+    is spread over as many tasks as it has buckets in the batch, and only its last
+    readings go on to the next batch.  A reading older than the last one of an earlier
+    batch is late: its rate is null and the state stays.  A series without a reading
+    for ``horizon`` starts anew, and goes when its state bucket is rewritten.
+    """
+    order = [at, tie]
+    state = snapshot_state(path, keys, order, [*order, reading], **options)
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.persist()
+        try:
+            buckets = [r[0] for r in rows.select(state.bucket()).distinct().collect()]
+            held = state.read(spark, batch_id, buckets)
+            late = None
+            timely = rows.withColumn("_held", F.lit(False))
+            if held is not None:
+                met = held.select(*[F.col(c).alias(f"_key_{c}") for c in keys], F.struct(*order).alias("_last"))
+                same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys])
+                seen = rows.join(met, same, "left").drop(*[f"_key_{c}" for c in keys])
+                is_late = F.coalesce(F.struct(*order) < F.col("_last"), F.lit(False))
+                late = seen.filter(is_late).drop("_last").withColumn(output, F.lit(None).cast("double"))
+                timely = seen.filter(~is_late).drop("_last").withColumn("_held", F.lit(False))
+                named = rows.select(*[F.col(c).alias(f"_key_{c}") for c in keys]).distinct()
+                carried = held.join(named, same, "left_semi").withColumn("_held", F.lit(True))
+                timely = timely.unionByName(carried, allowMissingColumns=True)
+            rated = counter_rate(timely, keys, at, reading, tie, bucket, output, horizon).filter(~F.col("_held")).drop("_held")
+            rated = rated if late is None else rated.unionByName(late)
+            rated.write.mode("overwrite").parquet(f"{target}/batch={batch_id:012d}")
+            alive = None
+            if horizon is not None and (newest := rows.agg(F.max(at)).first()[0]) is not None:
+                alive = F.col(at) + F.expr(f"INTERVAL {horizon}") >= F.lit(newest).cast(rows.schema[at].dataType)
+            # The newest reading wins in the state, so late rows change nothing there.
+            state.apply(rows.select(*keys, *order, reading), batch_id, alive)
+        finally:
+            rows.unpersist()
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete snapshot."""
-    complete = _complete_batches(spark, path)
-    if not complete:
-        raise FileNotFoundError(f"no complete snapshot under {path}")
-    return spark.read.parquet(complete[-1])
+    return write
 
 
 def intake_files(
@@ -144,7 +130,3 @@ def _last_batch(spark: SparkSession, checkpoint: str) -> int:
     """Number of the last committed batch, -1 before the first; Spark keeps only the latest progress reports."""
     return max((int(p.rsplit("/", 1)[1]) for p in matching_paths(spark, f"{checkpoint}/commits/[0-9]*")), default=-1)
 
-
-def tick(at: str, width: str = "1 second"):
-    """The tick a reading belongs to, usable in batch and streaming."""
-    return F.window(at, width).start

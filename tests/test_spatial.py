@@ -106,6 +106,38 @@ def test_density_matches_direct_sum(spark, monkeypatch, memory, side):
     assert all(got["flat", i, j] is None for i in range(side) for j in range(side))
 
 
+def test_gauss_sums_keep_their_bound():
+    """Points far apart and close together, boxes dropped on the way; work not by point."""
+    rng = np.random.default_rng(8)
+    for a, b, c, n in ((40.0, -25.0, 30.0, 40), (0.01, 0.004, 0.02, 9), (900.0, 0.0, 4.0, 25), (1.0, 0.5, 1.0, 1)):
+        x, y, w = rng.uniform(-3, 5, 3000), rng.normal(size=3000), rng.integers(1, 9, 3000).astype(float)
+        x[:900], y[:900] = 1.25, 0.5
+        surface = spatial.GaussSurface(n, x.min(), x.max(), y.min(), y.max(), a, b, c)
+        for part in np.array_split(np.arange(3000), 7):
+            surface.add(x[part], y[part], w[part])
+        gx, gy = np.linspace(x.min(), x.max(), n), np.linspace(y.min(), y.max(), n)
+        dx, dy = gx[None, :, None] - x, gy[:, None, None] - y
+        direct = (w * np.exp(-(a * dx * dx + 2 * b * dx * dy + c * dy * dy))).sum(axis=2)
+        assert np.abs(surface.done() - direct).max() < 5e-14 * w.sum()
+
+
+def test_gauss_sums_by_the_box(monkeypatch):
+    """A million points in few boxes cost no more series than a thousand do."""
+    evaluated = []
+    hermite = spatial._hermite
+    monkeypatch.setattr(spatial, "_hermite", lambda x: evaluated.append(x.size) or hermite(x))
+    rng, totals = np.random.default_rng(9), []
+    for size in (1_000, 200_000):
+        evaluated.clear()
+        x, y = rng.uniform(0, 4, size), rng.uniform(0, 4, size)
+        surface = spatial.GaussSurface(50, 0, 4, 0, 4, 1.0, 0.0, 1.0)
+        surface.add(x, y, np.ones(size))
+        assert len(surface.boxes) == 16
+        surface.done()
+        totals.append(sum(evaluated))
+    assert totals[0] == totals[1]
+
+
 def test_grid_has_both_ends(spark):
     df = spark.createDataFrame([(0.0, 1.0, 10.0, 30.0)], "min_x double, max_x double, min_y double, max_y double")
     cells = {(r["i"], r["j"]): (r["x"], r["y"]) for r in spatial.grid(df, 5).collect()}

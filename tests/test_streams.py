@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from quarryline.streaming import metrics, stateful
+from quarryline.streaming import metrics, stateful, ticks
 
 START = datetime(2024, 1, 1)
 SCHEMA = "host string, at timestamp, seq bigint, bytes bigint"
@@ -47,35 +47,61 @@ def test_counter_rate_orders_a_bucket_at_a_time(spark):
     assert plan.count("hashpartitioning(host#") >= 1 and "_bucket" in plan and "CartesianProduct" not in plan
 
 
-def _streamed(spark, tmp_path, batches, build, mode, collect):
-    """Each batch is one file, read in the order the files were written."""
-    source = tmp_path / "in"
-    session = spark.newSession()
-    session.conf.set("spark.sql.shuffle.partitions", "4")
-    for rows in batches:
-        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(source))
-        stream = build(session.readStream.schema(SCHEMA).parquet(str(source)))
-        writer = stream.writeStream.outputMode(mode).foreachBatch(collect)
-        writer.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination()
-
-
-def test_counter_rate_stream_keeps_state_between_batches(spark, tmp_path):
-    rows = sorted(_readings(n=60), key=lambda r: (r[1], r[2]))
+def _rate_batches(rows):
+    rows = sorted(rows, key=lambda r: (r[1], r[2]))
     third = len(rows) // 3
-    late = [("h1", START - timedelta(days=1), 999, 5)]
-    batches = [rows[:third], rows[third : 2 * third], [*rows[2 * third :], *late]]
-    got = {}
-
-    def collect(batch, _):
-        for r in batch.collect():
-            got[r["host"], r["seq"]] = r["rate"]
-
-    def build(df):
-        return stateful.counter_rate_stream(df, "host", "at", "bytes", ["host", "at", "seq"])
-
-    _streamed(spark, tmp_path, batches, build, "append", collect)
-    assert got.pop(("h1", 999)) is None
-    assert got == _rates(rows)
+    return [rows[:third], rows[third : 2 * third], rows[2 * third :]]
+
+
+def _rates_written(spark, path):
+    return {(r["host"], r["seq"]): r["rate"] for r in spark.read.parquet(path).collect()}
+
+
+@pytest.mark.parametrize("options", [{}, {"buckets": 2, "compact_after": 1}])
+def test_rates_of_several_batches(spark, tmp_path, options):
+    rows, target = _readings(n=60), str(tmp_path / "rates")
+    rows += [(None, START + timedelta(hours=h), 1000 + h, h * 1_000_000) for h in range(90)]  # a series without a name
+    write = stateful.rate_writer(target, str(tmp_path / "state"), ["host"], "at", "bytes", "seq", "hour", **options)
+    for batch_id, part in enumerate(_rate_batches(rows)):
+        for _ in range(2):  # a batch may be run again
+            write(spark.createDataFrame(part, SCHEMA), batch_id)
+    late = [("h1", START - timedelta(days=1), 999, 5), ("new", START - timedelta(days=1), 1, 5)]
+    write(spark.createDataFrame(late, SCHEMA), 3)
+    got = _rates_written(spark, target)
+    assert got.pop(("h1", 999)) is None and got.pop(("new", 1)) is None
+    named = [(h or "", *rest) for h, *rest in rows]
+    assert {(h or "", seq): rate for (h, seq), rate in got.items()} == _rates(named)
+    write(spark.createDataFrame([], SCHEMA), 4)  # an empty batch
+    after = [("h1", START + timedelta(days=400), 2000, 0)]
+    write(spark.createDataFrame(after, SCHEMA), 5)
+    last = max((r for r in rows if r[0] == "h1"), key=lambda r: (r[1], r[2]))  # the late row did not become the last
+    assert _rates_written(spark, target)["h1", 2000] == round(-last[3] / 1048576, 3)
+
+
+def test_a_hot_series_is_ordered_by_many_tasks(spark, tmp_path):
+    rows = [("hot", START + timedelta(minutes=m), m, m * 7919) for m in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    rated = metrics.counter_rate(df, ["host"], "at", "bytes", tie="seq", bucket="hour")
+    sizes = [r["count"] for r in rated.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 0.6 * len(rows)
+    write = stateful.rate_writer(str(tmp_path / "r"), str(tmp_path / "s"), ["host"], "at", "bytes", "seq", "hour")
+    write(df, 0)
+    assert len(_rates_written(spark, str(tmp_path / "r"))) == 3000
+    assert spark.read.parquet(*map(str, (tmp_path / "s").glob("*-delta"))).count() == 1  # the state is one reading
+
+
+def test_a_series_starts_anew_after_the_horizon(spark, tmp_path):
+    target, state = str(tmp_path / "r"), str(tmp_path / "s")
+    write = stateful.rate_writer(target, state, ["host"], "at", "bytes", "seq", horizon="1 DAY", compact_after=1, buckets=1)
+    days = [0, 0.5, 3, 3.2, 9]
+    for batch_id, day in enumerate(days):
+        row = ("h", START + timedelta(days=day), batch_id, 1_048_576 * batch_id)
+        other = (f"gone{batch_id}", START + timedelta(days=day), 0, 1)
+        write(spark.createDataFrame([row, other], SCHEMA), batch_id)
+    got = _rates_written(spark, target)
+    assert [got["h", i] for i in range(5)] == [None, 1.0, None, 1.0, None]
+    held = stateful.snapshot_state(state, ["host"], ["at", "seq"], ["at", "seq", "bytes"]).read(spark)
+    assert {r["host"] for r in held.collect()} == {"h", "gone4"}
 
 
 def test_last_n(spark):
@@ -86,39 +112,122 @@ def test_last_n(spark):
         assert sorted((r["seq"] for r in kept if r["host"] == host)) == sorted(r[2] for r in want)
 
 
-def test_last_n_stream(spark, tmp_path):
-    rows = sorted(_readings(n=40), key=lambda r: r[1])
-    half, buffers = len(rows) // 2, {}
+def test_history_of_several_batches(spark, tmp_path):
+    rows = _readings(n=40)
+    state = stateful.history_state(str(tmp_path / "h"), ["host"], ["at", "seq"], ["at", "seq", "bytes"], 10, compact_after=2)
+    for batch_id in range(6):
+        part = rows[batch_id::6]
+        state.apply(spark.createDataFrame(part, SCHEMA), batch_id)
+        state.apply(spark.createDataFrame(part, SCHEMA), batch_id)
+    got = [(r["host"], r["at"], r["seq"], r["bytes"]) for r in state.read(spark).collect()]
+    for host in ("h0", "h1", "h2"):
+        want = sorted((r for r in rows if r[0] == host), key=lambda r: (r[1], r[2]))[-10:]
+        assert sorted((r for r in got if r[0] == host), key=lambda r: (r[1], r[2])) == want
 
-    def collect(batch, _):
-        for r in batch.collect():
-            buffers[r["host"]] = (r["times"], r["seq"], r["points"])
 
-    def build(df):
-        return stateful.last_n_stream(df.withColumn("v", F.col("bytes").cast("double")), "host", "at", "v", 10, ["seq"])
+def test_a_hot_series_sends_n_rows_a_task(spark, tmp_path):
+    """Rows that reach the task merging a series are bounded by n times the partitions read."""
+    df = spark.createDataFrame([("hot", START + timedelta(seconds=i), i, i) for i in range(4000)], SCHEMA).repartition(5)
+    plan = metrics.last_n(df, ["host"], ["at", "seq"], 10)._jdf.queryExecution().executedPlan().toString()
+    partial, final = plan.index("Partial"), plan.index("Final")
+    assert "WindowGroupLimit" in plan and final < plan.rindex("hashpartitioning(host") < partial
 
-    _streamed(spark, tmp_path, [rows[:half], rows[half:]], build, "update", collect)
-    for host in ("h0", "h1", "h2"):
-        want = sorted((r[1], r[2], float(r[3])) for r in rows if r[0] == host)[-10:]
-        assert list(zip(*buffers[host], strict=True)) == want
-
-
-def test_snapshot_keeps_absent_keys_and_repeats_safely(spark, tmp_path):
-    path = str(tmp_path / "snap")
-    write = stateful.snapshot_writer(path, ["host"], ["at", "seq"], ["at", "seq", "bytes"])
-    with pytest.raises(FileNotFoundError):
-        stateful.read_snapshot(spark, path)
-    first = spark.createDataFrame([("a", START, 1, 10), ("b", START, 1, 20)], SCHEMA)
-    second = spark.createDataFrame([("a", START + timedelta(1), 2, 11), ("a", START - timedelta(1), 0, 5)], SCHEMA)
-    write(first, 0)
+
+def _files(path):
+    return {str(p.relative_to(path)) for p in path.glob("*-*/_bucket=*/*.parquet")}
+
+
+def test_snapshot_of_several_batches(spark, tmp_path):
+    path = tmp_path / "snap"
+
+    def state():
+        return stateful.snapshot_state(str(path), ["host"], ["at", "seq"], ["at", "seq", "bytes"], buckets=8, compact_after=2, keep=2)
+
+    assert state().read(spark) is None
+    many = [(f"k{i}", START, 0, i) for i in range(200)]
+    state().apply(spark.createDataFrame(many, SCHEMA), 0)
+    assert len({f.split("/")[1] for f in _files(path)}) == 8
+    before = _files(path)
+    second = spark.createDataFrame([("k7", START + timedelta(1), 2, 11), ("k7", START - timedelta(1), 0, 5)], SCHEMA)
     for _ in range(2):  # a batch may be run again
-        write(second, 1)
-    got = {r["host"]: r["bytes"] for r in stateful.read_snapshot(spark, path).collect()}
-    assert got == {"a": 11, "b": 20}
-    for batch_id in range(2, 7):
-        write(first.filter("host = 'b'"), batch_id)
-    assert len(list((tmp_path / "snap").glob("batch=*"))) == 3
-    assert {r["host"]: r["bytes"] for r in stateful.read_snapshot(spark, path).collect()} == got
+        state().apply(second, 1)
+    added = _files(path) - before
+    assert before <= _files(path) and len(added) == 1  # one key: one file of one bucket
+    want = {host: b for host, _, _, b in many} | {"k7": 11}
+    assert {r["host"]: r["bytes"] for r in state().read(spark).collect()} == want
+    bucket = added.pop().split("/")[1]
+    for batch_id in (2, 3):
+        state().apply(spark.createDataFrame([("k7", START + timedelta(batch_id), 3, 10 + batch_id)], SCHEMA), batch_id)
+    state().apply(spark.createDataFrame([("k7", START, 3, 0)], SCHEMA).limit(0), 4)
+    after = _files(path)  # its third delta had the bucket rewritten; the others keep their files
+    assert {f for f in after if bucket not in f} == {f for f in before if bucket not in f}
+    assert {f.split("/")[0] for f in after if bucket in f} == {"000000000002-base", "000000000003-delta"}
+    assert {r["host"]: r["bytes"] for r in state().read(spark).collect()} == want | {"k7": 13}
+    assert state().read(spark, buckets=[]) is None
+    with pytest.raises(ValueError, match="versions"):
+        stateful.snapshot_state(str(path), ["host"], ["at"], ["at"], keep=1)
+
+
+def test_a_batch_stopped_before_its_commit_is_not_seen(spark, tmp_path, monkeypatch):
+    state = stateful.snapshot_state(str(tmp_path / "snap"), ["host"], ["at", "seq"], ["at", "seq", "bytes"])
+    state.apply(spark.createDataFrame([("a", START, 1, 10)], SCHEMA), 0)
+
+    def stopped(*_):
+        raise KeyboardInterrupt
+
+    second = spark.createDataFrame([("a", START + timedelta(1), 2, 11)], SCHEMA)
+    with monkeypatch.context() as patch:
+        patch.setattr("quarryline.streaming.merged_state.commit_version", stopped)
+        with pytest.raises(KeyboardInterrupt):
+            state.apply(second, 1)
+    assert [r["bytes"] for r in state.read(spark).collect()] == [10]
+    state.apply(second, 1)
+    assert [r["bytes"] for r in state.read(spark).collect()] == [11]
+
+
+TICKS = "at timestamp, sensor string, milli bigint"
+
+
+def _tick_stream(spark, source, rows):
+    spark.createDataFrame(rows, TICKS).coalesce(1).write.mode("append").parquet(source)
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "2")
+    return session.readStream.schema(TICKS).option("maxFilesPerTrigger", 1).parquet(source)
+
+
+def test_ticks_and_late_rows(spark, tmp_path):
+    source, target, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+
+    def run(rows):
+        stream = _tick_stream(spark, source, rows)
+        means = ticks.sensor_mean_ticks(stream, "at", "milli", "1 minute", "2 minutes", ["sensor"])
+        return ticks.run_ticks(spark, means, target, check)
+
+    def at(minute, second=0):
+        return START + timedelta(minutes=minute, seconds=second)
+
+    first = run([(at(0), "cpu", 41000), (at(0, 30), "cpu", 42500), (at(0, 5), "gpu", None), (at(1), "cpu", 7)])
+    assert (first.rows_read, first.rows_emitted, first.rows_open, first.rows_late) == (4, 0, 4, 0)
+    # In time for its tick although an hour of others came between; then the watermark moves on.
+    second = run([(at(1, 59), "cpu", 9), (at(10), "cpu", 1000)])
+    assert (second.rows_read, second.rows_emitted, second.rows_open, second.rows_late) == (6, 5, 1, 0)
+    third = run([(at(0, 1), "cpu", 5), (at(0, 2), "cpu", 5), (at(9), "gpu", 3000)])
+    assert (third.rows_read, third.rows_emitted, third.rows_open, third.rows_late) == (9, 5, 2, 2)
+    got = {(r["tick"], r["sensor"]): (r["mean"], r["n_rows"]) for r in spark.read.parquet(target).collect()}
+    assert got == {(at(0), "cpu"): (83500 / 2000, 2), (at(0), "gpu"): (None, 1), (at(1), "cpu"): (16 / 2000, 2)}
+
+
+def test_state_of_ticks_is_bounded(spark, tmp_path):
+    source, target, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    for hour in range(6):
+        rows = [(START + timedelta(hours=hour, minutes=m), "cpu", m) for m in range(60)]
+        stream = _tick_stream(spark, source, rows)
+    wide = ticks.metric_row_ticks(stream, "at", "sensor", "milli", {"cpu": None, "n": F.count("milli")}, "1 minute", "5 minutes")
+    report = ticks.run_ticks(spark, wide, target, check)
+    assert report.batches >= 6 and report.rows_read == 360 and report.rows_late == 0
+    assert report.most_open_ticks <= 60 + 6 and report.rows_open <= 6
+    got = {r["tick"]: (r["cpu"], r["n"]) for r in spark.read.parquet(target).collect()}
+    assert all(v == (tick.minute, 1) for tick, v in got.items()) and len(got) >= 354
 
 
 def test_latest_row_as_json(spark):
