@@ -14,12 +14,15 @@ from quarryline.functions.codes import recode_strict
 from quarryline.functions.geodesy import with_lonlat
 from quarryline.functions.nulls import empty_flag, sentinels_to_null
 from quarryline.operators.codebook import (
+    DomainWatch,
     Recode,
     lookup_entry,
     resolve_lookups,
+    watched_labels,
     with_labels,
 )
 from quarryline.sinks import landing
+from quarryline.sinks.paths import remove_folder
 from quarryline.sources.files import contains_member, listing
 from quarryline.sources.literal import literal_table
 from quarryline.sources.text import file_order, header_of, read_csv, read_csv_sidecar
@@ -334,16 +337,23 @@ def direct_columns(downloaded: datetime | Column) -> dict[str, Column]:
 
 
 def clean_directory(
-    raw: DataFrame, files: Mapping[str, DataFrame], downloaded: datetime | Column, *, null_island: bool = False
+    raw: DataFrame,
+    files: Mapping[str, DataFrame],
+    downloaded: datetime | Column,
+    *,
+    null_island: bool = False,
+    watch: DomainWatch | None = None,
 ) -> DataFrame:
     """The 93-column directory; ``files`` maps a lookup file part to its table.
 
-    A strict recode already proves that a code is in its lookup, so the kept code
-    column needs no second join.  With ``null_island`` the placeholder
+    A strict recode proves that a code is in its lookup while its label is selected.
+    With ``watch`` the codes are counted in the same pass whatever is selected, and
+    ``land_directory`` refuses the result.  With ``null_island`` the placeholder
     coordinates of postcodes without a grid reference become null.
     """
     resolved = resolve_lookups(lookup_rows(raw.sparkSession, files))
-    joined, labels = with_labels(raw, [(r.rule(), resolved.get(r.lookup_name, {})) for r in RECODED])
+    recodes = [(r.rule(), resolved.get(r.lookup_name, {})) for r in RECODED]
+    joined, labels = with_labels(raw, recodes) if watch is None else watched_labels(raw, recodes, watch, {"ctry": ~F.col("ctry").isin(*COUNTRY)})
     outputs = direct_columns(downloaded)
     if null_island:
         placed = F.col("osgrdind") != "9"
@@ -358,13 +368,20 @@ def directory_columns(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, header_of(spark, path))
 
 
-def land_directory(directory: DataFrame, root: str, release: str) -> bool:
+def land_directory(directory: DataFrame, root: str, release: str, watch: DomainWatch | None = None) -> bool:
     """Write the directory of one source release unless that release is there;
-    keyed by the release alone, so a later day does not write it again."""
+    keyed by the release alone, so a later day does not write it again.  A watched
+    directory with a code outside its domain is removed again and is an error."""
     path = f"{root}/release={release}"
     if landing.is_complete(directory.sparkSession, path):
         return False
     landing.write_table(directory, path, "overwrite")
+    if watch is not None:
+        try:
+            watch.require_none()
+        except ValueError:
+            remove_folder(directory.sparkSession, path)
+            raise
     return True
 
 

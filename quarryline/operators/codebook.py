@@ -9,9 +9,9 @@ split by the adaptive skew join.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from quarryline.functions.codes import LITERAL_MAP_LIMIT, recode_lenient
 from quarryline.functions.text import replace_first
@@ -90,8 +90,16 @@ def with_labels(
     """The frame joined to every lookup table its recodes need, and the label
     expressions by output name.  Mappings become literal maps and need no join;
     recodes of one column by one table share a join."""
+    df, found = _with_found(df, recodes)
+    return df, {recode.output: recode.label(label) for recode, label in found}
+
+
+def _with_found(
+    df: DataFrame, recodes: Sequence[tuple[Recode, DataFrame | Mapping[str, str]]]
+) -> tuple[DataFrame, list[tuple[Recode, Column]]]:
+    """The frame with its lookups, and what each recode finds there (null where nothing)."""
     sides: dict[tuple[str, int], str] = {}
-    labels: dict[str, Column] = {}
+    out: list[tuple[Recode, Column]] = []
     for recode, lookup in recodes:
         if isinstance(lookup, Mapping):
             found = recode_lenient(F.col(recode.column).cast("string"), lookup)
@@ -103,8 +111,59 @@ def with_labels(
                 side = lookup.select(F.col("code").alias(code), F.col("label").alias(sides[at]))
                 df = df.join(side, F.col(recode.column).cast("string") == F.col(code), "left")
             found = F.col(sides[at])
-        labels[recode.output] = recode.label(found)
-    return df, labels
+        out.append((recode, found))
+    return df, out
+
+
+class DomainWatch:
+    """Counts values outside their domains while a frame is computed for another purpose.
+
+    The counters are part of the plan (``DataFrame.observe``), so they see every row
+    and stay when the labels that would prove a code are not selected.  They are read
+    after the action; before it ``counts`` would wait for one.
+    """
+
+    def __init__(self) -> None:
+        self._observation = Observation()
+        self._columns: list[str] = []
+
+    def over(self, df: DataFrame, unknown: Mapping[str, Column]) -> DataFrame:
+        """The frame itself, watched; ``unknown`` tells for each column which rows are outside."""
+        self._columns = list(unknown)
+        counters = []
+        for i, (column, outside) in enumerate(unknown.items()):
+            outside = F.coalesce(outside, F.lit(False))
+            counters += [F.count_if(outside).alias(f"n{i}"), F.min(F.when(outside, F.col(column).cast("string"))).alias(f"e{i}")]
+        return df.observe(self._observation, *counters)
+
+    def counts(self) -> list[tuple[str, int, str | None]]:
+        """(column, rows outside, the least such value) of the last action."""
+        seen = self._observation.get
+        return [(c, seen.get(f"n{i}") or 0, seen.get(f"e{i}")) for i, c in enumerate(self._columns)]
+
+    def require_none(self) -> None:
+        bad = [f"{c}: {n} rows, such as {example!r}" for c, n, example in self.counts() if n]
+        if bad:
+            raise ValueError(f"codes outside their domain: {'; '.join(bad)}")
+
+
+def watched_labels(
+    df: DataFrame,
+    recodes: Sequence[tuple[Recode, DataFrame | Mapping[str, str]]],
+    watch: DomainWatch,
+    also: Mapping[str, Column] | None = None,
+) -> tuple[DataFrame, dict[str, Column]]:
+    """As ``with_labels``; the codes of strict recodes (and the columns that ``also``
+    judges) are counted by ``watch`` and, so that all of them are seen, an unmapped code
+    gives a null label instead of failing."""
+    df, found = _with_found(df, recodes)
+    unknown = dict(also or {})
+    for recode, label in found:
+        if recode.strict and recode.fallback is None:
+            outside = F.col(recode.column).isNotNull() & label.isNull()
+            unknown[recode.column] = unknown[recode.column] | outside if recode.column in unknown else outside
+    df = watch.over(df, unknown)
+    return df, {recode.output: replace(recode, strict=False).label(label) for recode, label in found}
 
 
 def apply_lookup(

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from quarryline.functions import codes, nulls
 from quarryline.operators import codebook, rows
 from quarryline.plans.registry import query, table
+from quarryline.session import scratch_path
+from quarryline.sources.literal import literal_table
 
 STATUS = {"F": "fulfilled", "O": "open", "P": "pending"}
 _STATUS_SQL = "CASE o_orderstatus WHEN 'F' THEN 'fulfilled' WHEN 'O' THEN 'open' WHEN 'P' THEN 'pending' END"
@@ -173,6 +175,27 @@ def map_domain_check(spark, sf):
     return checked.withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
 
 
+@query(
+    "map_domain_watch",
+    """SELECT 'c_mktsegment' AS code_column, count(*) AS n_unknown, min(c_mktsegment) AS example FROM customer WHERE c_mktsegment IN ('HOUSEHOLD', 'MACHINERY')
+       UNION ALL SELECT 'c_nationkey', count(*), min(CAST(c_nationkey AS VARCHAR)) FROM customer
+        WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 2)""",
+)
+def map_domain_watch(spark, sf):
+    """Codes outside a literal domain and a lookup's, counted while a table without
+    their labels is written."""
+    segments = {s: s.lower() for s in ("AUTOMOBILE", "BUILDING", "FURNITURE")}
+    nations = codebook.lookup_from_columns(table(spark, sf, "nation").filter("n_regionkey <> 2"), 0, 1)
+    rules = [
+        (codebook.Recode("c_mktsegment", "segment", strict=True), segments),
+        (codebook.Recode("c_nationkey", "nation", strict=True), nations),
+    ]
+    watch = codebook.DomainWatch()
+    watched, _ = codebook.watched_labels(table(spark, sf, "customer"), rules, watch)
+    watched.select("c_custkey", "c_mktsegment", "c_nationkey").write.parquet(scratch_path(spark, "watched"))
+    return literal_table(spark, watch.counts(), "code_column string, n_unknown bigint, example string")
+
+
 @query("map_observed_domain", "SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL")
 def map_observed_domain(spark, sf):
     return codebook.observed_domain(table(spark, sf, "part"), "p_type")

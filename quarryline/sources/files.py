@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -55,17 +56,44 @@ def payload_rows(df: DataFrame, body: str, field: str, row_type: str, keep: Sequ
 SERVICE_ROW = "struct<name:string,type:string,url:string>"
 
 
-def read_geojson(spark: SparkSession, paths: str | Sequence[str], properties: str) -> DataFrame:
+# The same member once more in a feature's text: a feature that does not begin with it.
+STRAY_FEATURE = r'"type"\s*:\s*"Feature"\s*[,}]'
+
+
+def feature_border(spark: SparkSession, paths: str | Sequence[str]) -> str | None:
+    """The text a feature begins with in the first file, blanks as written there; None
+    where the file has no feature that begins with its type."""
+    head = spark.read.option("lineSep", '"Feature"').text(paths).first()
+    found = re.search(r'\{\s*"type"\s*:\s*$', head["value"]) if head else None
+    return f'{found[0]}"Feature"' if found else None
+
+
+def read_geojson(
+    spark: SparkSession, paths: str | Sequence[str], properties: str, border: str | None = None, whole: bool = False
+) -> DataFrame:
     """Features of FeatureCollection files (one document per file), chunks appended:
     ``id``, the declared properties, and ``geometry`` with its coordinates as text,
-    since polygons and multi-polygons nest to different depths."""
-    schema = (
-        "type string, features array<struct<type:string,id:string,"
-        f"geometry:struct<type:string,coordinates:string>,properties:struct<{properties}>>>"
-    )
-    documents = spark.read.option("multiLine", True).schema(schema).json(paths)
-    features = documents.select(F.explode("features").alias("f"))
-    return features.select("f.id", "f.properties.*", "f.geometry")
+    since polygons and multi-polygons nest to different depths.
+
+    Files are cut at the border with which features begin, by byte ranges, so one
+    large file is read by many tasks and a task holds one feature at a time.  Inside
+    a JSON text quotes are escaped, so the border cannot stand there.  All files must
+    write it alike (``border`` names it; else the first file does): a feature that
+    begins otherwise fails the job rather than being lost, and ``whole`` reads such
+    files a document at a time.
+    """
+    feature = f"struct<type:string,id:string,geometry:struct<type:string,coordinates:string>,properties:struct<{properties}>>"
+    border = None if whole else border or feature_border(spark, paths)
+    if border is None:
+        documents = spark.read.option("multiLine", True).schema(f"type string, features array<{feature}>").json(paths)
+        return documents.select(F.explode("features").alias("f")).select("f.id", "f.properties.*", "f.geometry")
+    pieces = spark.read.option("lineSep", border).text(paths)
+    told = F.concat(F.lit("a feature does not begin with its type, or not as in the first file: "), F.substring("value", 1, 200))
+    stray = F.when(F.col("value").rlike(STRAY_FEATURE), F.raise_error(told).cast("boolean")).otherwise(True)
+    # What stands before the first feature of a file opens the collection; a feature goes on with its next member.
+    opens = F.col("value").rlike(r"^\s*\{")
+    parsed = pieces.filter(stray & ~opens).select(F.from_json(F.concat(F.lit(border), "value"), feature).alias("f"))
+    return parsed.select("f.id", "f.properties.*", "f.geometry")
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

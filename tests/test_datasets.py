@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from quarryline.datasets import boundaries, postcodes, price_paid, road_collisions, schools, street_crime
+from quarryline.operators import codebook
 from quarryline.sources.text import text_schema
 
 AS_OF = date(2024, 11, 5)
@@ -204,6 +205,27 @@ def test_directory_is_strict(spark, tmp_path):
         postcodes.clean_directory(raw, files, NOW).collect()
 
 
+def test_directory_watch_sees_codes_whose_labels_are_not_selected(spark, tmp_path):
+    raw, files = _directory(spark, tmp_path, oslaua="nowhere", ctry="W92000004", pfa="also nowhere")
+    watch = codebook.DomainWatch()
+    directory = postcodes.clean_directory(raw, files, NOW, watch=watch).select("postcode", "local_authority_code")
+    root = tmp_path / "out"
+    with pytest.raises(ValueError, match="oslaua: 1 rows, such as 'nowhere'"):
+        postcodes.land_directory(directory, str(root), "2024-11-01", watch)
+    assert not (root / "release=2024-11-01").exists()
+    assert {c for c, n, _ in watch.counts() if n} == {"oslaua", "pfa"}
+
+
+def test_watched_directory_without_unknown_codes(spark, tmp_path):
+    raw, files = _directory(spark, tmp_path)
+    watch = codebook.DomainWatch()
+    directory = postcodes.clean_directory(raw, files, NOW, watch=watch)
+    assert postcodes.land_directory(directory, str(tmp_path / "out"), "2024-11-01", watch)
+    assert [c for c, n, _ in watch.counts() if n] == [] and len(watch.counts()) > 5
+    plain = postcodes.clean_directory(raw, files, NOW)
+    assert spark.read.parquet(str(tmp_path / "out" / "release=2024-11-01")).first() == plain.first()
+
+
 def test_lookup_file_must_be_unique(spark, tmp_path):
     _directory(spark, tmp_path)
     (tmp_path / "Documents" / "copy of County names and codes UK as at 12_24.csv").write_text("a,b\n")

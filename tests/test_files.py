@@ -1,6 +1,8 @@
 """Readers, listings and incremental landing on small files."""
 
+import json
 import os
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -115,6 +117,48 @@ def test_geojson_chunks(spark, tmp_path):
     assert boundaries.generalised_rings(df, "LAD24CD").count() == 2
 
 
+PROPERTIES = "name string, n bigint"
+
+
+def _features(n, spaced=""):
+    rng = random.Random(4)
+    for i in range(n):
+        ring = [[round(rng.uniform(-9, 3), 5), i / 7] for _ in range(rng.randrange(4, 60))]
+        name = rng.choice(["plain", 'quoted "type":"Feature", as it were', "Feature", '{\\"type\\":\\"Feature\\"', "line\nend", "é]}{"])
+        geometry = None if i % 50 == 9 else {"type": "Polygon", "coordinates": [ring]}
+        rest = {"id": i, "geometry": geometry, "properties": {"n": i, "name": name, "other": [1, {"type": "x"}]}}
+        yield f'{{{spaced}"type":{spaced}"Feature",' + json.dumps(rest, indent=1 if i % 3 == 0 else None)[1:]
+
+
+@pytest.mark.parametrize("spaced", ["", " ", "\n  "])
+def test_one_large_geojson_file_is_read_by_many_tasks(spark, tmp_path, spaced):
+    body = f'{{"type":{spaced}"FeatureCollection","crs":{{"name":"x"}},\n"features":[' + ",\n".join(_features(3_000, spaced)) + '],"end":[1]}'
+    path = _write(tmp_path / "a.geojson", body)
+    _write(tmp_path / "b.geojson", '{"type":"FeatureCollection","features":[]}')
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    cut, whole = (files.read_geojson(session, str(tmp_path / "*.geojson"), PROPERTIES, whole=w) for w in (False, True))
+    assert cut.schema == whole.schema
+    # The text of coordinates may differ by blanks.
+    rows, expected = (sorted(repr((r["id"], r["name"], r["n"], r["geometry"] and json.loads(r["geometry"]["coordinates"]))) for r in df.collect()) for df in (cut, whole))
+    assert rows == expected and len(rows) == 3_000
+    tasks = [r["n"] for r in files.read_geojson(session, path, PROPERTIES).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(tasks) >= 5 and max(tasks) < 1_000
+
+
+def test_features_that_begin_otherwise_are_not_lost(spark, tmp_path):
+    first = _write(tmp_path / "a.geojson", '{"type":"FeatureCollection","features":[%s]}' % ",".join(_features(3)))
+    other = '{"type":"FeatureCollection","features":[{"id":"x","type":"Feature","properties":{"n":1}}]}'
+    second = _write(tmp_path / "b.geojson", other)
+    with pytest.raises(PySparkException, match="does not begin with its type"):
+        files.read_geojson(spark, [first, second], PROPERTIES).collect()
+    assert files.read_geojson(spark, [first, second], PROPERTIES, whole=True).count() == 4
+    assert [r["id"] for r in files.read_geojson(spark, second, PROPERTIES).collect()] == ["x"]  # no border there: read whole
+    mixed = _write(tmp_path / "c.geojson", other.replace("]}", ',{"type":"Feature","id":"y","properties":{"n":2}},{"id":"z","type":"Feature"}]}'))
+    with pytest.raises(PySparkException, match="does not begin with its type"):
+        files.read_geojson(spark, mixed, PROPERTIES, border='{"type":"Feature"').collect()
+
+
 def test_status_and_payload(spark):
     manifest = spark.createDataFrame([("k", "http://a", 200), ("k2", "http://b", 404), ("k3", None, None)], "key string, url string, status int")
     bad = quality.bad_status(manifest, "status", "key", "url")
