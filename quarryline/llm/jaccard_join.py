@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.components import least_of_component
@@ -92,7 +92,8 @@ def _binary(values: np.ndarray) -> pa.Array:
 
 
 def _nodes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, node, n, bands): the name of a document's shingle set and its band hashes; null without words."""
+    """(id, key, node, n, bands): a hash of a document's text, the name of its shingle set
+    and its band hashes; the last three null without words."""
     id_type = docs.schema[id_col].dataType.simpleString()
     columns = np.arange(BANDS * ROWS).reshape(BANDS, ROWS)
 
@@ -112,11 +113,16 @@ def _nodes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for at, node, size, own in zip(rows.tolist(), _binary(names).to_pylist(), np.diff(first).tolist(), hashed.view(np.int64)):
                     nodes[at], sizes[at], bands[at] = node, size, own
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                ["id", "node", "n", "bands"],
+                [batch.column(0), batch.column(2), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                ["id", "key", "node", "n", "bands"],
             )
 
-    return docs.select(id_col, text_col).mapInArrow(name, f"id {id_type}, node binary, n long, bands array<long>")
+    rows = docs.select(id_col, text_col, _text_key(text_col).alias("key"))
+    return rows.mapInArrow(name, f"id {id_type}, key binary, node binary, n long, bands array<long>")
+
+
+def _text_key(text_col: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
 
 
 def _candidate_groups(nodes: DataFrame) -> DataFrame:
@@ -235,8 +241,15 @@ def _verified(members: DataFrame) -> DataFrame:
 
 
 def _members(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(least, node, copies, n, shingles) of one document for each node of a candidate group."""
-    texts = docs.select(F.col(id_col).alias("id"), text_col).join(chosen, "id")
+    """(least, node, copies, n, shingles) of one document for each node of a candidate group.
+
+    A node that has an id is read by its least id, others by the hash of a text, each
+    text once."""
+    named = chosen.where("id is not null").drop("key")
+    texts = docs.select(F.col(id_col).alias("id"), text_col).join(named, "id")
+    rows = docs.where(F.col(id_col).isNull()).groupBy(_text_key(text_col).alias("key")).agg(F.first(text_col).alias(text_col))
+    unnamed = rows.join(chosen.where("id is null"), "key").drop("key")
+    texts = texts.unionByName(unnamed.select(*texts.columns))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,20 +287,14 @@ def _bundled(members: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, class_id, n_links, n_texts, n_copies) for every row.
-
-    ``n_links`` counts the other documents of similarity LEAST or more, copies
-    included; ``n_texts`` the different shingle sets among them; ``n_copies`` the
-    rows with the same set, itself included.  ``class_id`` is the least id of all
-    that are linked directly or through others.  Rows that share an id count one by
-    one.  Null and empty texts and texts without a word have no links and no copies,
-    and are a class each (``n_copies`` is 1); a null id never is the least if another is there.
-    """
+def _classed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows (id, key, node, ...), and (node, id, copies, n_nodes, n_documents, least) of
+    their shingle sets, ``least`` naming the class."""
     named = pin(_nodes(docs, id_col, text_col))
     worded = named.where("node is not null")
     nodes = worded.groupBy("node").agg(
-        F.min("id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")
+        F.min("id").alias("id"), F.min("key").alias("key"), F.count("*").alias("copies"), F.first("n").alias("n"),
+        F.first("bands").alias("bands"),
     )
     nodes = pin(nodes)
     near = pin(_candidate_groups(nodes))
@@ -295,15 +302,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chosen = pin(nodes.drop("bands").withColumn("name", F.xxhash64("node")).join(leasts, "name").drop("name"))
     groups = chosen.groupBy("least").agg(F.sum("n").alias("total"))
     groups = pin(groups.withColumn("blocks", F.ceil(F.col("total") / BLOCK_SHINGLES)))
-    # A node without an id has no row to be read by; its copies are linked by name alone.
-    members = _members(docs, chosen.where("id is not null"), id_col, text_col)
-    links = pin(_verified(_bundled(members, groups)))
+    links = pin(_verified(_bundled(_members(docs, chosen, id_col, text_col), groups)))
 
     ties = least_of_component(links.select(F.col("node").alias("u"), F.col("tied").alias("v")))
     counts = links.groupBy("node").agg(F.sum("n_nodes").alias("n_nodes"), F.sum("n_documents").alias("n_documents"))
     classed = nodes.select("node", "id", "copies").join(counts, "node", "left").join(ties, "node", "left")
-    classed = classed.withColumn("least", F.coalesce("least", "node"))
-    classed = pin(classed)
+    return named, pin(classed.withColumn("least", F.coalesce("least", "node")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, class_id, n_links, n_texts, n_copies) for every row.
+
+    ``n_links`` counts the other documents of similarity LEAST or more, copies
+    included; ``n_texts`` the different shingle sets among them; ``n_copies`` the
+    rows with the same set, itself included.  ``class_id`` is the least id of all
+    that are linked directly or through others.  Rows that share an id count one by
+    one.  Null and empty texts and texts without a word have no links and no copies,
+    and are a class each (``n_copies`` is 1); a null id never is the least if another is there.
+    """
+    named, classed = _classed(docs, id_col, text_col)
     firsts = classed.groupBy("least").agg(F.min("id").alias("class_id"))
     classed = classed.join(firsts, "least").select(
         "node", "class_id", "copies",
@@ -320,15 +337,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the least of their class; of
-    rows that repeat an id the first by text stays, and rows without an id all stay."""
-    judged = pin(near_duplicates(docs, id_col, text_col))
-    gone = judged.where(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("_ql_gone")).distinct()
-    kept = docs.join(gone, docs[id_col] == F.col("_ql_gone"), "left_anti")
-    ids = judged.where(F.col(id_col) == F.col("class_id")).agg(F.count(id_col), F.count_distinct(id_col)).first()
-    if ids[0] == ids[1]:
-        return kept
-    # Repeated rows: the first by text of an id stays; null ids are left as they are.
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
-    ranked = kept.withColumn("_ql_first", first)
-    return ranked.where((F.col("_ql_first") == 1) | F.col(id_col).isNull()).drop("_ql_first")
+    """One row of each class of ``docs``: that of the least id, of equal ids the one whose
+    text's hash is least, a row without an id only where none has one.  Rows that share
+    an id but no class all stay, as do texts without words; of rows alike in id and
+    text one stays."""
+    named, classed = _classed(docs, id_col, text_col)
+    rows = named.select("id", "key", "node").join(classed.select("node", "least"), "node")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first")
+    firsts = pin(rows.groupBy("least").agg(first))
+    is_first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key"))
+    judged = rows.join(firsts, "least").select("id", "key", is_first.alias("stays"))
+    judged = pin(judged.groupBy("id", "key").agg(F.max("stays").alias("stays"), F.count("*").alias("n")))
+    keyed = docs.withColumn("_ql_key", _text_key(text_col))
+
+    def same(side: DataFrame) -> Column:
+        return keyed[id_col].eqNullSafe(side["id"]) & (keyed["_ql_key"] == side["key"])
+
+    gone = judged.where("not stays")
+    kept = keyed.join(gone, same(gone), "left_anti")
+    again = judged.where("stays and n > 1")
+    if again.isEmpty():
+        return kept.drop("_ql_key")
+    repeated = kept.join(again, kept[id_col].eqNullSafe(again["id"]) & (kept["_ql_key"] == again["key"]), "left_semi")
+    single = kept.join(again, kept[id_col].eqNullSafe(again["id"]) & (kept["_ql_key"] == again["key"]), "left_anti")
+    return single.unionByName(repeated.dropDuplicates([id_col, "_ql_key"])).drop("_ql_key")

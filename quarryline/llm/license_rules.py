@@ -9,6 +9,7 @@ priority wins, then the label that sorts first.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -179,6 +180,9 @@ def _literal(rule: Rule) -> Column:
     )
 
 
+FOUND = "array<struct<start:int,minus_end:int,rank:int,label:string,confidence:double,base:boolean>>"
+
+
 def _blanks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
@@ -191,24 +195,69 @@ def _places(words: Column, rule: Column) -> Column:
     """
     parts = F.call_function("split", words, rule["pattern"], F.lit(-1))
     matches = F.regexp_extract_all(words, rule["pattern"], F.lit(0))
-    steps = F.zip_with(
-        F.transform(F.slice(parts, F.lit(1), F.size(matches)), _blanks),
-        F.transform(matches, _blanks),
-        lambda before, inside: F.struct(before.alias("before"), inside.alias("inside")),
-    )
 
-    def add(state: Column, step: Column) -> Column:
-        start = state["at"] + step["before"]
-        found = F.struct(
-            start.alias("start"), (-(start + step["inside"] + 1)).alias("minus_end"), rule["rank"].alias("rank"),
-            rule["label"].alias("label"), rule["confidence"].alias("confidence"), rule["base"].alias("base"),
+    def steps_of(cut: Column) -> Column:
+        return F.zip_with(
+            F.transform(F.slice(cut["parts"], F.lit(1), F.size(cut["matches"])), _blanks),
+            F.transform(cut["matches"], _blanks),
+            lambda before, inside: F.struct(before.alias("before"), inside.alias("inside")),
         )
+
+    def detection(start: Column, step: Column) -> Column:
         return F.struct(
-            (start + step["inside"]).alias("at"), F.concat(state["found"], F.array(found)).alias("found")
+            start.alias("start"), (-(start + step["inside"] + 1)).alias("minus_end"), rule["rank"].alias("rank"),
+            rule["label"].alias("label"), rule["confidence"].alias("confidence"), rule["base"].alias("base"),
         )
 
-    none = F.array().cast("array<struct<start:int,minus_end:int,rank:int,label:string,confidence:double,base:boolean>>")
-    return F.aggregate(steps, F.struct(F.lit(-1).alias("at"), none.alias("found")), add)["found"]
+    def detections(steps: Column) -> Column:
+        widths = F.transform(steps, lambda step: step["before"] + step["inside"])
+        found = F.zip_with(steps, _let(widths, _sums_before), lambda step, before: detection(before + step["before"] - 1, step))
+        return F.when(F.size(steps) > 0, found).otherwise(F.array().cast(FOUND))
+
+    return _let(_let(F.struct(parts.alias("parts"), matches.alias("matches")), steps_of), detections)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once; an expression named inside of a
+    lambda would be computed for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _plain_sums_before(values: Column) -> Column:
+    """For each of a few numbers the sum of those before it (copies the list at every step)."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("sums"))
+
+    def add(state: Column, x: Column) -> Column:
+        return F.struct((state["at"] + x).alias("at"), F.concat(state["sums"], F.array(state["at"])).alias("sums"))
+
+    return F.aggregate(values, start, add)["sums"]
+
+
+def _sums_before(values: Column) -> Column:
+    """For each of many numbers the sum of those before it.  They are cut into parts,
+    and the parts into parts again, so that no list longer than the cube root of all
+    is copied at every step."""
+
+    def summed(values: Column, levels: int) -> Column:
+        if levels == 1:
+            return _plain_sums_before(values)
+
+        def of_parts(bound: Column) -> Column:
+            v, width = bound["v"], bound["width"]
+            parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / width).cast("int")), lambda k: F.slice(v, k * width + 1, width))
+
+            def joined(parts: Column) -> Column:
+                totals = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda a, x: a + x))
+                inner = F.transform(parts, lambda p: summed(p, levels - 1))
+                return F.flatten(F.zip_with(inner, _plain_sums_before(totals), lambda sums, before: F.transform(sums, lambda s: s + before)))
+
+            return _let(parts, joined)
+
+        width = F.ceil(F.pow(F.size(values).cast("double"), F.lit((levels - 1) / levels))).cast("int")
+        return _let(F.struct(values.alias("v"), F.greatest(width, F.lit(1)).alias("width")), of_parts)
+
+    # A few numbers need no parts.
+    return F.when(F.size(values) <= 32, _plain_sums_before(values)).otherwise(summed(values, 3))
 
 
 def _unsuppressed(found: Column) -> Column:
@@ -265,7 +314,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         lambda r: F.array_contains(F.col("_ql_present"), r["keyword"]) & F.array_contains(F.col("_ql_present"), r["gate"]),
     )
     found = F.when(F.col("_ql_words").isNotNull(), F.flatten(F.transform(wanted, lambda r: _places(F.col("_ql_words"), r))))
-    none = F.array().cast("array<struct<start:int,minus_end:int,rank:int,label:string,confidence:double,base:boolean>>")
+    none = F.array().cast(FOUND)
     rows = rows.select(F.col(id_col), "n_words", F.coalesce(found, none).alias("found"))
     return rows.select("*", _unsuppressed(F.col("found")).alias("kept"))
 

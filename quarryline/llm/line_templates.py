@@ -128,8 +128,13 @@ def drop_recurring_lines(
     )
     lines = F.split(F.col(text_col), "\n")
     gone = F.coalesce(F.col("_ql_lines"), F.array().cast("array<int>"))
-    marks = F.map_from_arrays(gone, F.transform(gone, lambda x: F.lit(True)))
-    kept = F.filter(lines, lambda x, i: ~F.coalesce(marks[i], F.lit(False)))
+    # Lines and marks in one order: a line that goes has its mark behind it.
+    numbered = F.transform(lines, lambda x, i: F.struct(i.alias("line"), F.lit(0).alias("mark"), x.alias("text")))
+    marks = F.transform(gone, lambda i: F.struct(i.alias("line"), F.lit(1).alias("mark"), F.lit(None).cast("string").alias("text")))
+    ordered = F.sort_array(F.concat(numbered, marks))
+    following = F.slice(ordered, 2, 2**30)
+    # Joining leaves out nulls.
+    kept = F.zip_with(ordered, following, lambda x, after: F.when(F.coalesce(after["mark"], F.lit(0)) == 0, x["text"]))
     joined = docs.join(dropped, docs[id_col] == F.col("_ql_id"), "left")
     return joined.select(
         *[

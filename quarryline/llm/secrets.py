@@ -39,13 +39,13 @@ NEAR_CHARS = 40
 KNOWN_FORMS = {
     "aws_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     "github_token": r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])",
-    "slack_token": r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9-]{10,72}",
-    "web_token": r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,512}\.eyJ[A-Za-z0-9_-]{8,2048}\.[A-Za-z0-9_-]{8,512}",
+    "slack_token": r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9-]{10,}+",
+    "web_token": r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",
     "private_key": r"-----BEGIN (?:[A-Z]{2,9} ){0,2}PRIVATE KEY-----",
 }
 CREDENTIAL_WORDS = "token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key"
 _KNOWN = [(name, re.compile(p)) for name, p in KNOWN_FORMS.items()]
-_ASSIGNED = re.compile(rf"(?i:{CREDENTIAL_WORDS})[\w-]{{0,16}}[ \t]{{0,2}}[:=][ \t]{{0,2}}[\"']?([^\s\"'`,;]{{8,512}})")
+_ASSIGNED = re.compile(rf"(?i:{CREDENTIAL_WORDS})[\w-]{{0,16}}[ \t]{{0,2}}[:=][ \t]{{0,2}}[\"']?([^\s\"'`,;]{{8,}}+)")
 _ASSIGNING = re.compile(rf"(?i:{CREDENTIAL_WORDS})[\w-]{{0,16}}[ \t]{{0,2}}[:=][ \t]{{0,2}}[\"']?\Z")
 _GENERIC = re.compile(r"[A-Za-z0-9+/_=-]{16,}+")
 _CREDENTIAL = re.compile(CREDENTIAL_WORDS, re.I)
@@ -110,8 +110,8 @@ def _covered(value: str, words: frozenset[str]) -> float:
 
 
 def describe(text: str, finding: Finding, path: str, lists: WordLists) -> list[float]:
-    """The features of a finding; of very long values the first 512 characters are described."""
-    value = text[finding.start : min(finding.end, finding.start + 512)]
+    """The features of a finding, of its whole value."""
+    value = text[finding.start : finding.end]
     before, after = text[max(0, finding.start - NEAR_CHARS) : finding.start], text[finding.end : finding.end + NEAR_CHARS]
     near = before + " " + after
     kinds = [_kind(c) for c in value]

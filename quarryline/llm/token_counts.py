@@ -34,6 +34,10 @@ def piece_vocabulary(model_file: str) -> list[str]:
     return [model.id_to_piece(i) for i in range(model.get_piece_size()) if not any(test(i) for test in special)]
 
 
+# So few words are walked one by one; more of them side by side.
+FEW_WORDS = 4
+
+
 class Automaton(NamedTuple):
     alphabet: np.ndarray  # sorted code points of the vocabulary
     edges: np.ndarray  # sorted node * len(alphabet) + character
@@ -99,6 +103,23 @@ class Automaton(NamedTuple):
         places = np.minimum(np.searchsorted(self.edges, keys), len(self.edges) - 1)
         return np.where((self.edges[places] == keys) & (characters >= 0), self.targets[places], -1)
 
+    def _children(self) -> dict[int, int]:
+        return dict(zip(self.edges.tolist(), self.targets.tolist(), strict=True))
+
+    def _walk(self, children: dict[int, int], characters: np.ndarray, node: int, count: int) -> tuple[int, int, bool]:
+        """The node reached from ``node``, the tokens popped, and whether all fitted; one character at a time."""
+        size, fail, pops = len(self.alphabet), self.fail.tolist(), self.pops.tolist()
+        for character in characters.tolist():
+            reached = children.get(node * size + character) if character >= 0 else None
+            while reached is None:
+                if fail[node] < 0:
+                    return node, count, False
+                count += pops[node]
+                node = fail[node]
+                reached = children.get(node * size + character) if character >= 0 else None
+            node = reached
+        return node, count, True
+
     def counts(self, words: list[str]) -> np.ndarray:
         """Tokens of each word; -1 where some part of it is not in the vocabulary."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -112,6 +133,12 @@ class Automaton(NamedTuple):
         alive = np.ones(len(words), bool)
         for step in range(int(lengths[0]) if len(words) else 0):
             longer = int(np.searchsorted(-lengths, -step, "left"))  # words with a character here
+            if longer <= FEW_WORDS:
+                children = self._children()
+                for k in np.flatnonzero(alive[:longer]):
+                    rest = characters[begins[k] + step : begins[k] + lengths[k]]
+                    nodes[k], counts[k], alive[k] = self._walk(children, rest, int(nodes[k]), int(counts[k]))
+                break
             todo = np.flatnonzero(alive[:longer])
             while len(todo):
                 reached = self._step(nodes[todo], characters[begins[todo] + step])

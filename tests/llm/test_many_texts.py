@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -51,6 +52,42 @@ def test_components(spark):
     assert got == {x: root(x) for x in parent if root(x) != x}
 
 
+def test_lines_dropped_from_texts_of_many_lines(frame):
+    rng = random.Random(21)
+    shared = [" ".join(prose(rng, 6)) for _ in range(50_000)]
+    own = [" ".join(prose(rng, 6)) for _ in range(50_000)]
+    mixed = [line for pair in zip(shared, own) for line in pair]
+    rows = [(1, "\n".join(shared)), (2, "\n".join(mixed)), (3, "\n".join(["", shared[0], "", "a", shared[1]]))]
+    started = time.monotonic()
+    got = {r["doc_id"]: r for r in line_templates.drop_recurring_lines(frame(rows)).collect()}
+    assert time.monotonic() - started < 60
+    assert got[1]["text"] == rows[0][1] and got[2]["text"] == "\n".join(own) and got[3]["text"] == "\n\na"
+    assert (got[2]["_ql_n_lines"], got[2]["_ql_n_dropped"]) == (100_000, 50_000)
+
+
+def test_texts_without_ids_are_linked(frame):
+    rng = random.Random(22)
+    base = prose(rng, 60)
+    near = [*base[:58], "other", "end"]
+    far = prose(rng, 60)
+    rows = [(None, " ".join(base)), (5, " ".join(near)), (None, " ".join(far)), (None, " ".join([*far[:59], "z"])), (None, " ".join(base))]
+    got = sorted((r["doc_id"] or 0, r["class_id"] or 0, r["n_links"], r["n_texts"], r["n_copies"]) for r in jaccard_join.near_duplicates(frame(rows)).collect())
+    assert got == [(0, 0, 1, 1, 1), (0, 0, 1, 1, 1), (0, 5, 2, 1, 2), (0, 5, 2, 1, 2), (5, 5, 2, 1, 1)]
+    kept = [(r["doc_id"], r["text"]) for r in jaccard_join.keep_one_of_each_class(frame(rows)).collect()]
+    assert (5, rows[1][1]) in kept and len(kept) == 2 and {t for _, t in kept} & {rows[2][1], rows[3][1]}
+
+
+def test_only_rows_of_a_class_go(frame):
+    """Unrelated texts of one id stay, as do texts without words; copies do not."""
+    rng = random.Random(23)
+    one, other, third = (" ".join(prose(rng, 40)) for _ in range(3))
+    rows = [(1, one), (1, other), (2, one), (2, third), (3, third), (3, third), (4, ""), (4, ""), (None, None), (7, one), (6, other)]
+    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in jaccard_join.keep_one_of_each_class(frame(rows)).collect())
+    assert kept == sorted([(1, one), (1, other), (2, third), (4, ""), (4, ""), (0, "")])
+    same = [(9, one), (9, one), (9, one)]
+    assert [(r["doc_id"], r["text"]) for r in jaccard_join.keep_one_of_each_class(frame(same)).collect()] == [(9, one)]
+
+
 def test_near_duplicates(frame, monkeypatch):
     rng = random.Random(4)
     rows, n = [], 0
