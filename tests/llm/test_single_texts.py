@@ -208,7 +208,7 @@ def test_secrets(spark, frame):
 def plain_candidates(text):
     """Every proposed stretch by slow search of each place, merged where they overlap."""
     generic = set(string.ascii_letters + string.digits + "+/_=-")
-    found = []
+    found, assigned = [], 0
     for i in range(len(text)):
         alone = i == 0 or not (text[i - 1].isascii() and text[i - 1].isalnum())
         if alone and text[i:].startswith(("AKIA", "ASIA")):
@@ -224,13 +224,14 @@ def plain_candidates(text):
             if end - i >= 16 and any(c.isdigit() for c in text[i:end]):
                 found.append((i, end, "generic"))
         for word in ("password", "token", "secret"):
-            if text[i:].lower().startswith(word):
+            if i >= assigned and text[i:].lower().startswith(word):
                 opened = re.match(r"[\w-]{0,16}[ \t]{0,2}[:=][ \t]{0,2}[\"']?", text[i + len(word) :])
                 if opened:
                     start = i + len(word) + opened.end()
                     end = next((k for k in range(start, len(text)) if text[k] in " \t\n\"'`,;"), len(text))
                     if end - start >= 8:
                         found.append((start, end, "assigned"))
+                        assigned = end
     kept = []
     first = ("aws_key", "web_token", "assigned", "generic").index
     for start, end, rule in sorted(found, key=lambda f: (f[0], -f[1], first(f[2]))):
