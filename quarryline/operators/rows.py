@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quarryline.functions.codes import ordinal
+from quarryline.session import pin
 
 
 def sort_coded(df: DataFrame, by: Sequence[str], domains: Mapping[str, Sequence] | None = None) -> DataFrame:
@@ -16,6 +17,27 @@ def sort_coded(df: DataFrame, by: Sequence[str], domains: Mapping[str, Sequence]
     return df.orderBy(*[k.asc_nulls_first() for k in keys])
 
 
+def place_in_group(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], output: str = "place"
+) -> DataFrame:
+    """Adds each row's place (from 1) within its group; ``order`` must leave no ties.
+
+    Rows are dealt to ranges of group and order and pinned there.  The rows of a
+    group before each of its ranges come from counts, a row for each group and
+    range, so only a range's share of a group is ever ordered by one task.
+    """
+    # Structs compare and join null-safely, so the null group finds its own rows.
+    group = F.struct(F.lit(0).alias("_all"), *[F.col(k) for k in keys])
+    ranked = df.withColumns({"_group": group, "_order": F.struct(*order)})
+    dealt = pin(ranked.repartitionByRange("_group", "_order").withColumn("_range", F.spark_partition_id()))
+    counts = dealt.groupBy("_group", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    inner = Window.partitionBy("_group", "_range").orderBy("_order")
+    placed = dealt.join(before, ["_group", "_range"]).withColumn(output, (F.col("_before") + F.row_number().over(inner)).cast("long"))
+    return placed.drop("_group", "_order", "_range", "_before")
+
+
 def head(df: DataFrame, by: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*by).limit(n)
 

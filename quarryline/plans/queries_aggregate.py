@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from quarryline.functions.codes import ordinal, recode_strict
 from quarryline.functions.dates import month_start, year_start
@@ -222,8 +222,8 @@ def srt_multi_key(spark, sf):
     """Declared order as a sort key, shown as each customer's place within its nation."""
     domain = ("MACHINERY", "HOUSEHOLD", "FURNITURE", "BUILDING", "AUTOMOBILE")
     customer = table(spark, sf, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
-    window = Window.partitionBy("c_nationkey").orderBy(ordinal(F.col("c_mktsegment"), domain), "c_custkey")
-    placed = customer.withColumn("place", F.row_number().over(window))
+    placed = rows.place_in_group(customer, ["c_nationkey"], [ordinal(F.col("c_mktsegment"), domain), F.col("c_custkey")])
+    placed = placed.withColumn("place", F.col("place").cast("int"))
     ordered = rows.sort_coded(placed, ["c_nationkey", "c_mktsegment", "c_custkey"], {"c_mktsegment": domain})
     return ordered.select("c_custkey", "c_nationkey", "place")
 

@@ -1,5 +1,7 @@
 """Aggregates on literal rows, nulls and empty groups included."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +82,28 @@ def test_sample_does_not_depend_on_partitions(spark):
     assert sorted(rows.sample_rows(df, F.col("k"), 10, seed=4).collect()) != sorted(one)
 
 
+def test_places_in_a_hot_group(spark):
+    """Places equal sorted order; the hot group's rows are ordered in many ranges."""
+    rng = random.Random(3)
+    rows_in = [(rng.choice(["hot", "hot", "hot", "a", None]), rng.choice([None, 1, 2, 3]), i) for i in range(4000)]
+    df = spark.createDataFrame(rows_in, "k string, v int, i int").repartition(6)
+    placed = rows.place_in_group(df, ["k"], [F.col("v"), F.col("i")])
+    assert placed.columns == ["k", "v", "i", "place"]
+    got = {r["i"]: r["place"] for r in placed.collect()}
+    for k in ("hot", "a", None):
+        mine = sorted((r for r in rows_in if r[0] == k), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        assert [got[r[2]] for r in mine] == list(range(1, len(mine) + 1))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or few rows make one range
+    try:
+        placed = rows.place_in_group(df, ["k"], [F.col("v"), F.col("i")])
+        assert {r["i"]: r["place"] for r in placed.collect()} == got
+        sizes = placed.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) > 2 and max(r["count"] for r in sizes) < 1500
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert rows.place_in_group(df.limit(0), ["k"], [F.col("i")]).count() == 0
+
+
 def test_coded_sort_puts_nulls_first(spark):
     df = spark.createDataFrame([("high",), ("low",), (None,), ("mid",)], "v string")
     assert [r[0] for r in rows.sort_coded(df, ["v"], {"v": ("low", "mid", "high")}).collect()] == [None, "low", "mid", "high"]
