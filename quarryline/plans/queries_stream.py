@@ -20,7 +20,7 @@ def _readings(spark, sf):
     return events.select("event_id", "user_id", "ts", F.expr(_READING).alias("reading"))
 
 
-def _as_stream(spark, df, label: str, at: str = "ts", files: int = 8, per_batch: int = 3):
+def _as_stream(spark, df, label: str, at: str = "ts", files: int = 6, per_batch: int = 3):
     """The frame as a stream of files, each a range of time, the earliest first and a
     few at a time."""
     path = scratch_path(spark, label)
@@ -71,7 +71,7 @@ def st_counter_rate(spark, sf):
 def st_counter_rate_stream(spark, sf):
     """The rates of the batch form, from several micro-batches and the last readings kept between them."""
     root = scratch_path(spark, "rates")
-    write = stateful.rate_writer(f"{root}/rates", f"{root}/state", ["user_id"], "ts", "reading", "event_id")
+    write = stateful.rate_writer(f"{root}/rates", f"{root}/state", ["user_id"], "ts", "reading", "event_id", buckets=8)
     _each_batch(_as_stream(spark, _readings(spark, sf), "readings"), write, "rates")
     return spark.read.parquet(f"{root}/rates").select("event_id", "user_id", "rate")
 
@@ -136,7 +136,7 @@ def st_metric_row(spark, sf):
 def st_latest_snapshot(spark, sf):
     """The newest row per user, kept by a stream that adds a delta per batch."""
     columns = ["event_id", "event_type", "ts"]
-    state = stateful.snapshot_state(scratch_path(spark, "snapshot"), ["user_id"], ["ts", "event_id"], columns, compact_after=2)
+    state = stateful.snapshot_state(scratch_path(spark, "snapshot"), ["user_id"], ["ts", "event_id"], columns, buckets=8, compact_after=2)
     stream = _as_stream(spark, table(spark, sf, "events", "user_id", *columns), "latest")
     _each_batch(stream, stateful.state_writer(state), "snapshot")
     return state.read(spark)
@@ -167,7 +167,7 @@ def st_last_n_buffer(spark, sf):
 def st_last_n_stream(spark, sf):
     """The rows of the batch form, kept as state between batches."""
     columns = ["event_id", "ts", "value"]
-    state = stateful.history_state(scratch_path(spark, "history"), ["user_id"], ["ts", "event_id"], columns, compact_after=2)
+    state = stateful.history_state(scratch_path(spark, "history"), ["user_id"], ["ts", "event_id"], columns, buckets=8, compact_after=2)
     stream = _as_stream(spark, table(spark, sf, "events", "user_id", *columns), "points")
     _each_batch(stream, stateful.state_writer(state), "history")
     return state.read(spark)
