@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarryline.operators import calendars, quality
+from quarryline.operators.generalise import simplify_neighbours
 from quarryline.operators.spatial import ring_edges, rings, simplify_rings
 from quarryline.sources.files import SERVICE_ROW, latest, listing, payload_rows, read_geojson
 from quarryline.sources.literal import literal_table
@@ -154,6 +155,11 @@ def generalised_rings(features: DataFrame, code: str, tolerance: float = GENERAL
     return simplify_rings(rings(features, [code]), tolerance)
 
 
+def generalised_neighbours(features: DataFrame, code: str, tolerance: float = GENERALISATION) -> DataFrame:
+    """Like ``generalised_rings``, but borders stay common and do not cross."""
+    return simplify_neighbours(rings(features, [code]), [code, "part", "ring"], tolerance)
+
+
 def edges(features: DataFrame, code: str) -> DataFrame:
     return ring_edges(rings(features, [code]), [code])
 

@@ -362,32 +362,35 @@ def simplify_rings(ring_table: DataFrame, tolerance: float, points: str = "point
     return ring_table.withColumn(points, reduce(F.col(points)))
 
 
-def kept_vertices(xy: np.ndarray, starts: np.ndarray, tolerance: float) -> np.ndarray:
+def kept_vertices(xy: np.ndarray, starts: np.ndarray, tolerance: float, closed: np.ndarray | None = None) -> np.ndarray:
     """Which vertices stay, for many rings laid end to end (``starts`` has one entry
     per ring and the end).  All open stretches of all rings are split together,
-    one level at a time."""
+    one level at a time.  Lines that ``closed`` says are no rings keep their ends."""
     first, end = starts[:-1], starts[1:]
-    keep = np.repeat(end - first <= 4, end - first)
-    first, last = (x[end - first > 4] for x in (first, end - 1))
-    if not len(first):
-        return keep
-    # A closed ring has no chord of its own: split it at the vertex farthest from
-    # its start and at the one farthest from that chord, which are always kept.
-    far = _farthest(xy, first, last, first, first)[0]
-    before, after = _farthest(xy, first, far, first, far), _farthest(xy, far, last, first, far)
-    off = np.where(after[1] > before[1], after[0], before[0])
-    fixed = np.sort(np.stack([first, far, off, last]), axis=0)
-    keep[fixed.ravel()] = True
-    a, b = fixed[:-1].ravel(), fixed[1:].ravel()
+    closed = np.ones(len(first), bool) if closed is None else closed
+    keep = np.repeat(closed & (end - first <= 4), end - first)
+    opened, last = first[~closed], end[~closed] - 1
+    keep[opened] = keep[last] = True
+    a, b = opened, last
+    first, last = (x[closed & (end - first > 4)] for x in (first, end - 1))
+    if len(first):
+        # A closed ring has no chord of its own: split it at the vertex farthest from
+        # its start and at the one farthest from that chord, which are always kept.
+        far = farthest(xy, first, last, first, first)[0]
+        before, after = farthest(xy, first, far, first, far), farthest(xy, far, last, first, far)
+        off = np.where(after[1] > before[1], after[0], before[0])
+        fixed = np.sort(np.stack([first, far, off, last]), axis=0)
+        keep[fixed.ravel()] = True
+        a, b = np.concatenate([a, fixed[:-1].ravel()]), np.concatenate([b, fixed[1:].ravel()])
     while len(a):
-        middle, gap = _farthest(xy, a, b, a, b)
+        middle, gap = farthest(xy, a, b, a, b)
         split = gap > tolerance
         keep[middle[split]] = True
         a, b = np.concatenate([a[split], middle[split]]), np.concatenate([middle[split], b[split]])
     return keep
 
 
-def _farthest(xy, a, b, p, q) -> tuple[np.ndarray, np.ndarray]:
+def farthest(xy, a, b, p, q) -> tuple[np.ndarray, np.ndarray]:
     """Per stretch a..b: the vertex strictly inside it farthest from segment p-q (the
     first of equals) and its distance, which is -1 for a stretch without any."""
     lengths = np.maximum(b - a - 1, 0)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions import geodesy
 from quarryline.operators import spatial
+from quarryline.operators.generalise import simplify_neighbours
 from quarryline.plans.registry import query, table
 
 _EAST = "100000 + c_custkey * 7919 % 500000"
@@ -203,6 +204,58 @@ def geo_simplify(spark, sf):
     return kept.select("vec_id", x.alias("x"), y.alias("y"))
 
 
+# One cell of a lattice per vector; its lower and left borders swing with its numbers,
+# least near the corners, so that reduced borders cannot meet.
+_WIDE, _STEPS, _SWING = 32, 16, 0.03
+_SWUNG = "CAST(CASE WHEN {k} IN (0, 16) THEN 0 ELSE 0.45 * least({k}, 16 - {k}) / 16 * {v} / (1 + abs({v})) END AS DOUBLE)"
+
+
+@query(
+    "geo_simplify_neighbours",
+    f"""WITH RECURSIVE c AS (SELECT vec_id, vec_id % {_WIDE} AS cx, vec_id // {_WIDE} AS cy, embedding FROM embeddings),
+        side AS (SELECT unnest([0, 1]) AS s),
+        border AS (SELECT c.vec_id, s, cx, cy, embedding FROM c, side WHERE EXISTS (SELECT 1 FROM c o
+            WHERE CASE s WHEN 0 THEN o.cx = c.cx AND o.cy = c.cy - 1 ELSE o.cx = c.cx - 1 AND o.cy = c.cy END)),
+        b AS (SELECT vec_id, s, cx, cy, k, {_SWUNG.format(k='k', v='CAST(embedding[k + 1 + 17 * s] AS DOUBLE)')} AS w
+            FROM (SELECT *, unnest(range(0, {_STEPS + 1})) AS k FROM border)),
+        p AS (SELECT vec_id, s, k, CASE s WHEN 0 THEN cx + k / {_STEPS}.0::DOUBLE ELSE cx + w END AS x,
+            CASE s WHEN 0 THEN cy + w ELSE cy + k / {_STEPS}.0::DOUBLE END AS y FROM b),
+        line AS (SELECT vec_id, s, list(x ORDER BY k) AS xs, list(y ORDER BY k) AS ys FROM p GROUP BY 1, 2),
+        seg(vec_id, s, a, b) AS (
+            SELECT vec_id, s, 0::BIGINT, {_STEPS}::BIGINT FROM line
+            UNION ALL
+            SELECT vec_id, s, unnest([a, m]) AS a, unnest([m, b]) AS b FROM (
+                SELECT vec_id, s, a, b, arg_max(k, ({_gap('x', 'y', 'u', 'w')}, -k)) AS m, max({_gap('x', 'y', 'u', 'w')}) AS d
+                FROM (SELECT vec_id, s, a, b, u, w, k, xs[k + 1] AS x, ys[k + 1] AS y FROM (
+                    SELECT g.vec_id, g.s, g.a, g.b, {{'x': xs[g.a + 1], 'y': ys[g.a + 1]}} AS u, {{'x': xs[g.b + 1], 'y': ys[g.b + 1]}} AS w,
+                        xs, ys, unnest(range(g.a + 1, g.b)) AS k FROM seg g JOIN line USING (vec_id, s) WHERE g.b - g.a > 1))
+                GROUP BY 1, 2, 3, 4) WHERE d > {_SWING})
+       SELECT round(x, 9) + 0 AS x, round(y, 9) + 0 AS y, 2::BIGINT AS n_rings FROM (SELECT DISTINCT vec_id, s, a AS k FROM seg WHERE a > 0) JOIN p USING (vec_id, s, k)""",
+)
+def geo_simplify_neighbours(spark, sf):
+    """Points, between the corners, that two reduced neighbours have in common."""
+    cells = table(spark, sf, "embeddings", "vec_id", "embedding")
+    cells = cells.selectExpr("vec_id", f"vec_id % {_WIDE} AS cx", f"vec_id DIV {_WIDE} AS cy", "embedding")
+
+    def border(held, at_x, at_y, s):
+        """Points of a side of a cell, straight where no cell holds its numbers."""
+        w = _SWUNG.format(k="k", v=f"CAST({held}[k + {17 * s}] AS DOUBLE)")
+        along, across = f"{('cx', 'cy')[s]} + k / {_STEPS}.0D", f"coalesce({w}, 0D)"
+        x, y = ((f"{along} + {at_x}", f"cy + {at_y} + {across}"), (f"cx + {at_x} + {across}", f"{along} + {at_y}"))[s]
+        return F.expr(f"transform(sequence(0, {_STEPS}), k -> array(CAST({x} AS DOUBLE), CAST({y} AS DOUBLE)))")
+
+    above = cells.selectExpr("cx", "cy - 1 AS cy", "embedding AS above")
+    beside = cells.selectExpr("cx - 1 AS cx", "cy", "embedding AS beside")
+    whole = cells.join(above, ["cx", "cy"], "left").join(beside, ["cx", "cy"], "left")
+    sides = [border("embedding", 0, 0, 0), border("beside", 1, 0, 1), F.reverse(border("above", 0, 1, 0)), F.reverse(border("embedding", 0, 0, 1))]
+    rings = whole.select("vec_id", F.concat(sides[0], *[F.slice(s, 2, _STEPS) for s in sides[1:]]).alias("points"))
+    kept = simplify_neighbours(rings, ["vec_id"], _SWING)
+    open_ring = F.explode(F.slice("points", F.lit(1), F.size("points") - 1)).alias("p")
+    x, y = (F.round(F.col("p")[i], 9) + F.lit(0.0) for i in (0, 1))
+    counted = kept.select(open_ring).select(x.alias("x"), y.alias("y")).groupBy("x", "y").agg(F.count(F.lit(1)).alias("n_rings"))
+    return counted.filter("n_rings > 1 AND NOT (x = round(x) AND y = round(y))")
+
+
 @query(
     "geo_edges_length",
     f"""WITH shape(hole, ax, ay, bx, by_) AS (VALUES {', '.join(str(e) for e in _EDGES)})

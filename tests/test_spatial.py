@@ -2,13 +2,15 @@
 
 import math
 import random
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quarryline.functions import geodesy
-from quarryline.operators import spatial
+from quarryline.operators import generalise, spatial
 
 
 def _inside(x, y, edges):
@@ -203,3 +205,94 @@ def test_simplify_drops_points_within_tolerance(spark):
     ring = [[0, 0], [1, 0.0001], [2, 0], [2, 1], [2, 2], [1, 2], [0, 2], [0, 1], [0, 0]]
     df = spark.createDataFrame([([[float(a), float(b)] for a, b in ring],)], "points array<array<double>>")
     assert spatial.simplify_rings(df, 0.001).first()[0] == [[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]]
+
+
+# ---- boundaries with neighbours -------------------------------------------------
+
+
+def _lattice(rng, side, steps, wild):
+    """Cells of a lattice whose borders wander; each border is made once and used by both cells."""
+    def border(a, b):
+        line = [a]
+        for k in range(1, steps):
+            t, w = k / steps, wild * min(k, steps - k) / steps
+            line.append((a[0] + (b[0] - a[0]) * t + rng.uniform(-w, w), a[1] + (b[1] - a[1]) * t + rng.uniform(-w, w)))
+        return [*line, b]
+
+    low = {(c, r): border((c, r), (c + 1, r)) for c in range(side) for r in range(side + 1)}
+    left = {(c, r): border((c, r), (c, r + 1)) for c in range(side + 1) for r in range(side)}
+    cells = {}
+    for c in range(side):
+        for r in range(side):
+            ring = low[c, r][:-1] + left[c + 1, r][:-1] + low[c, r + 1][::-1][:-1] + left[c, r][::-1]
+            turn = rng.randrange(len(ring) - 1)
+            ring = ring[turn:-1] + ring[: turn + 1]
+            cells[c * side + r] = ring[::-1] if rng.random() < 0.5 else ring
+    return cells
+
+
+def _sides(rings):
+    return Counter(tuple(sorted((tuple(a), tuple(b)))) for ring in rings for a, b in zip(ring[:-1], ring[1:], strict=True))
+
+
+def _cross(s, t):
+    def turn(a, b, p):
+        return np.sign((b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0]))
+
+    (a, b), (c, d) = s, t
+    return turn(a, b, c) * turn(a, b, d) < 0 and turn(c, d, a) * turn(c, d, b) < 0
+
+
+def _generalised(spark, cells, tolerance):
+    rows = [(k, [[float(x), float(y)] for x, y in ring]) for k, ring in cells.items()]
+    df = spark.createDataFrame(rows, "k int, points array<array<double>>")
+    return {r["k"]: [tuple(p) for p in r["points"]] for r in generalise.simplify_neighbours(df, ["k"], tolerance).collect()}
+
+
+def test_neighbours_stay_joined(spark):
+    cells = _lattice(random.Random(3), 5, 24, 0.05)
+    got = _generalised(spark, cells, 0.08)
+    before, after = _sides(cells.values()), _sides(got.values())
+    assert len(after) < len(before) / 4
+    assert Counter(after.values())[1] < 60 and max(after.values()) == 2
+    rim = lambda p: min(p) < 0.06 or max(p) > 4.94
+    assert all(rim(a) and rim(b) for (a, b), n in after.items() if n == 1)  # no gap inside
+    corners = {(c, r) for c in range(5) for r in range(5) if c and r}
+    assert corners <= {p for ring in got.values() for p in ring}
+    plain = spark.createDataFrame([(k, [list(map(float, p)) for p in r]) for k, r in cells.items()], "k int, points array<array<double>>")
+    alone = _sides([tuple(p) for p in r["points"]] for r in spatial.simplify_rings(plain, 0.08).collect())
+    assert any(n == 1 and not (rim(a) and rim(b)) for (a, b), n in alone.items())  # rings on their own do part
+
+
+def test_reduced_borders_do_not_cross(spark):
+    """Two combs whose teeth stand in one another's gaps, much closer than the tolerance."""
+    up = [(k / 2, 0.9 if k % 2 else 0.1) for k in range(21)]
+    down = [(k / 2, 1.0 if k % 2 else 0.2) for k in range(21)]
+    cells = {1: [(0, -3), (10, -3), *up[::-1], (0, -3)], 2: [(0, 4), *down, (10, 4), (0, 4)]}
+    for tolerance in (0.3, 0.75, 2.0):
+        sides = list(_sides(_generalised(spark, cells, tolerance).values()))
+        assert not any(_cross(s, t) for s, t in combinations(sides, 2))
+    wild = _lattice(random.Random(5), 4, 12, 0.9)
+    given = {s for s in _sides(wild.values())}
+    sides = list(_sides(_generalised(spark, wild, 0.4).values()))
+    bad = {x for s, t in combinations(sides, 2) if _cross(s, t) for x in (s, t)}
+    assert bad <= given and len(sides) < len(given)  # only crossings of the input are left
+
+
+def test_an_island_stays_on_its_side(spark):
+    bay = [(0, 0), (4, 0), (4.5, 1), (5, 1.5), (5.5, 1), (6, 0), (10, 0), (10, 9), (0, 9), (0, 0)]
+    island = [(4.9, 0.4), (5.1, 0.4), (5.1, 0.6), (4.9, 0.6), (4.9, 0.4)]  # in the bay, outside the ring
+    got = _generalised(spark, {1: bay, 2: island}, 2.0)
+    assert (5.0, 1.5) in got[1]
+    assert (5.0, 1.5) not in _generalised(spark, {1: bay}, 2.0)[1]
+
+
+def test_odd_rings(spark):
+    hole = [(1, 1), (2, 1), (2, 2), (1, 2), (1, 1)]
+    rows = [(1, None), (2, []), (3, [[0.0, 0.0], [1.0, 0.0], [0.0, 0.0]]), (4, [[float(x), float(y)] for x, y in hole]),
+            (5, [[float(x), float(y)] for x, y in [(2, 2), (2, 2), *hole[3:], *hole[1:3]]])]
+    df = spark.createDataFrame(rows, "k int, points array<array<double>>")
+    got = {r["k"]: r["points"] for r in generalise.simplify_neighbours(df, ["k"], 0.001).collect()}
+    assert got[1] is None and got[2] == [] and got[3] == rows[2][1]
+    assert _sides([got[4]]) == _sides([got[5]]) == _sides([rows[3][1]])
+    assert generalise.simplify_neighbours(df.limit(0), ["k"], 1.0).count() == 0
