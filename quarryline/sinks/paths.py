@@ -34,6 +34,16 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def move_folder(spark: SparkSession, path: str, target: str) -> None:
+    """Put a folder this library wrote in the place of ``target``."""
+    source, system = located(spark, path)
+    final, _ = located(spark, target)
+    system.mkdirs(final.getParent())
+    system.delete(final, True)
+    if not system.rename(source, final):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
 def remove_file(spark: SparkSession, path: str) -> None:
     """Remove one marker file if it is there."""
     target, system = located(spark, path)

@@ -201,6 +201,43 @@ def test_land_only_what_is_missing(spark, tmp_path):
         landing.read_complete(spark, path)
 
 
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["commit_version", "move_folder", "touch", "remove_folder"])
+def test_a_stopped_landing_is_whole_or_absent(spark, tmp_path, monkeypatch, step):
+    """Stopped before, between and after the moves; one of three years has no rows."""
+    path = str(tmp_path / "t")
+    wanted = spark.sql("select explode(sequence(date'2019-01-01', date'2022-01-01', interval 1 year)) as period")
+    rows = spark.sql("select * from values (1, date'2019-01-01'), (2, date'2020-01-01'), (3, date'2022-01-01') t(v, period)")
+    landing.land(rows.filter("v = 1"), wanted.filter("period < date'2020-01-01'"), path, "period")
+    done = []
+
+    def stop(*args):
+        if len(done) == (1 if step == "move_folder" else 0):  # after the first of two moves
+            raise Stopped
+        done.append(args)
+        real(*args)
+
+    real = getattr(landing, step)
+    with monkeypatch.context() as patch, pytest.raises(Stopped):
+        patch.setattr(landing, step, stop)
+        landing.land(rows, wanted, path, "period")
+    landed = {str(r[0])[:4] for r in landing.landed_periods(spark, path, "period").collect()}
+    if step == "commit_version":
+        assert landed == {"2019"} and [r["v"] for r in landing.read_complete(spark, path).collect()] == [1]
+    else:
+        assert landed == {"2019", "2020", "2021", "2022"}
+        assert landing.is_complete(spark, path) == (step == "remove_folder")
+    # The next run finishes it; what was landed is not written again.
+    changed = rows.withColumn("v", rows.v * 10)
+    assert landing.land(changed, wanted, path, "period").count() == (3 if step == "commit_version" else 0)
+    values = sorted(r["v"] for r in landing.read_complete(spark, path).collect())
+    assert values == ([1, 20, 30] if step == "commit_version" else [1, 2, 3])
+    assert not landing.recover(spark, path)
+
+
 def test_incomplete_table_is_refused(spark, tmp_path):
     path = tmp_path / "t"
     landing.write_table(spark.range(3), str(path))
