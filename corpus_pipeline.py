@@ -42,7 +42,7 @@ STAGES = [
     ("decontaminate", drop_benchmark_leaks),
     ("mix", mix_sources),
 ]
-# Trained filters, hashed templates and MinHash candidates have no SQL form; tests compare run() with the stages called singly.
+# Trained filters, hashed templates and MinHash candidates have no SQL form; tests compare run() and every stage with plain Python.
 ORACLE_SQL = None
 
 
