@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarryline.datasets import postcodes, price_paid, road_collisions, schools, street_crime
 from quarryline.operators import calendars
 from quarryline.operators.codebook import CodeBook, read_codebook
+from quarryline.plans.queries_spatial import EAST, NORTH, grid_sql
 from quarryline.plans.registry import query, table
 from quarryline.session import scratch_path
 from quarryline.sources.literal import literal_table
@@ -407,22 +408,20 @@ def etl_postcode_directory(spark, sf):
 
 @query(
     "etl_code_point",
-    """SELECT CAST(c_custkey AS VARCHAR) AS "Postcode", CAST(100000 + c_custkey * 7919 % 500000 AS BIGINT) AS "Eastings",
-        CAST(50000 + c_custkey * 104729 % 900000 AS BIGINT) AS "Northings", true AS placed FROM customer""",
+    f"""SELECT CAST(c_custkey AS VARCHAR) AS "Postcode", CAST({EAST} AS BIGINT) AS "Eastings", CAST({NORTH} AS BIGINT) AS "Northings",
+        longitude AS "Longitude", latitude AS "Latitude" FROM customer JOIN ({grid_sql()}) AS located USING (c_custkey)""",
 )
 def etl_code_point(spark, sf):
+    """Integer grid coordinates, with longitude and latitude to a centimetre."""
     raw = table(spark, sf, "customer").selectExpr(
-        "CAST(c_custkey AS STRING) AS Postcode",
-        "CAST(100000 + c_custkey * 7919 % 500000 AS STRING) AS Eastings",
-        "CAST(50000 + c_custkey * 104729 % 900000 AS STRING) AS Northings",
+        "CAST(c_custkey AS STRING) AS Postcode", f"CAST({EAST} AS STRING) AS Eastings", f"CAST({NORTH} AS STRING) AS Northings"
     )
     path = scratch_path(spark, "code-point")
     raw.write.csv(f"{path}/data")
     sidecar = literal_table(spark, [("PC,EA,NO",), ("Postcode,Eastings,Northings",)], "value string")
     sidecar.coalesce(1).write.text(f"{path}/doc")
     placed = postcodes.clean_code_point(postcodes.read_code_point(spark, f"{path}/data", f"{path}/doc"))
-    inside = F.col("Longitude").between(-9, 3) & F.col("Latitude").between(49, 61)
-    return placed.select("Postcode", "Eastings", "Northings", inside.alias("placed"))
+    return placed.withColumns({c: F.round(c, 7) for c in ("Longitude", "Latitude")})
 
 
 # ---- school performance ----------------------------------------------------

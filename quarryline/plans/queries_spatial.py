@@ -11,11 +11,11 @@ from quarryline.operators import spatial
 from quarryline.operators.generalise import simplify_neighbours
 from quarryline.plans.registry import query, table
 
-_EAST = "100000 + c_custkey * 7919 % 500000"
-_NORTH = "50000 + c_custkey * 104729 % 900000"
+EAST = "100000 + c_custkey * 7919 % 500000"
+NORTH = "50000 + c_custkey * 104729 % 900000"
 
 
-def _grid_sql() -> str:
+def grid_sql() -> str:
     """The published method with its latitude loops written out, as an independent check."""
     g = geodesy
     n = (g.AIRY_A - g.AIRY_B) / (g.AIRY_A + g.AIRY_B)
@@ -29,8 +29,8 @@ def _grid_sql() -> str:
     )
     (tx, ty, tz), (rx, ry, rz), s = g.SHIFT, g.ROTATION, 1 + g.SCALE_PPM
     steps = [
-        f"l0 AS (SELECT c_custkey, CAST({_EAST} AS DOUBLE) - {g.EASTING_0!r} AS d, CAST({_NORTH} AS DOUBLE) - ({g.NORTHING_0!r}) AS nn,"
-        f" (CAST({_NORTH} AS DOUBLE) - ({g.NORTHING_0!r})) / {af!r} + {g.ORIGIN_LAT!r} AS p FROM customer)"
+        f"l0 AS (SELECT c_custkey, CAST({EAST} AS DOUBLE) - {g.EASTING_0!r} AS d, CAST({NORTH} AS DOUBLE) - ({g.NORTHING_0!r}) AS nn,"
+        f" (CAST({NORTH} AS DOUBLE) - ({g.NORTHING_0!r})) / {af!r} + {g.ORIGIN_LAT!r} AS p FROM customer)"
     ]
     steps += [f"l{i} AS (SELECT c_custkey, d, nn, p + (nn - {arc}) / {af!r} AS p FROM l{i - 1})" for i in range(1, 8)]
     steps.append(
@@ -62,10 +62,10 @@ def _grid_sql() -> str:
     )
 
 
-@query("geo_grid_to_lonlat", _grid_sql())
+@query("geo_grid_to_lonlat", grid_sql())
 def geo_grid_to_lonlat(spark, sf):
     customer = table(spark, sf, "customer", "c_custkey")
-    placed = customer.select("c_custkey", F.expr(_EAST).alias("e"), F.expr(_NORTH).alias("n"))
+    placed = customer.select("c_custkey", F.expr(EAST).alias("e"), F.expr(NORTH).alias("n"))
     located = geodesy.with_lonlat(placed, "e", "n", "longitude", "latitude")
     return located.select("c_custkey", F.round("longitude", 7).alias("longitude"), F.round("latitude", 7).alias("latitude"))
 

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarryline.sinks.paths import remove_folder
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +21,10 @@ DEFAULTS = {
 }
 
 
+# Folders of the open ``scratch_scope`` blocks, the innermost last.
+_SCOPES: list[str] = []
+
+
 def local_session(app: str, cores: int | str = "*", **conf: str) -> SparkSession:
     """A single-machine session for tests and timing runs."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -34,6 +42,8 @@ def shared_folder(spark: SparkSession) -> str:
     setting gets a temporary folder; a cluster without it is an error, since
     a folder on one machine would be lost with that machine.
     """
+    if _SCOPES:
+        return _SCOPES[-1]
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
@@ -57,3 +67,28 @@ def pin(df: DataFrame) -> DataFrame:
     same rows even when an executor is lost and its stage runs again."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Removes at its end, also after an error, all that was pinned or written to
+    scratch paths within it.
+
+    Write or collect results inside: a frame carried out of the block may read
+    files that are gone.  What was pinned before the block stays.  Blocks may be
+    nested, but the checkpoint folder belongs to the application, so blocks in
+    several threads at a time aren't supported.  Only the block's own new
+    folder, below the shared one, is removed.
+    """
+    context = spark.sparkContext
+    outer = shared_folder(spark)
+    checkpoints = context.getCheckpointDir().rsplit("/", 1)[0]
+    folder = f"{outer}/runs/{uuid.uuid4().hex}"
+    context.setCheckpointDir(folder)
+    _SCOPES.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPES.remove(folder)
+        context.setCheckpointDir(checkpoints)
+        remove_folder(spark, folder)

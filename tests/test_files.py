@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarryline import session
 from quarryline.datasets import boundaries
 from quarryline.operators import quality
-from quarryline.sinks import landing
+from quarryline.sinks import landing, paths
 from quarryline.sources import files, text
 
 
@@ -253,3 +253,30 @@ def test_shared_folder_is_the_named_one(spark):
     folder = session.shared_folder(spark)
     assert named is None or folder == named
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_scratch_scope_removes_what_it_pinned(spark):
+    kept = session.pin(spark.range(5))
+    with session.scratch_scope(spark) as outer:
+        path = session.scratch_path(spark, "x")
+        assert path.startswith(outer)
+        spark.range(3).write.parquet(path)
+        pinned = session.pin(spark.range(7))
+        with session.scratch_scope(spark) as inner:
+            assert inner.startswith(outer)
+            session.pin(spark.range(2))
+        assert not paths.exists(spark, inner)
+        # An inner block leaves the outer one's files and pins later ones beside them.
+        again = session.pin(pinned.where("id > 0"))
+        assert again.count() == 6 and pinned.count() == 7 and spark.read.parquet(path).count() == 3
+        assert paths.matching_paths(spark, f"{outer}/*/rdd-*")
+    assert not paths.exists(spark, outer)
+    assert kept.count() == 5 and session.pin(spark.range(4)).count() == 4
+
+
+def test_scratch_scope_removes_after_an_error(spark):
+    before = session.shared_folder(spark)
+    with pytest.raises(RuntimeError, match="stop"), session.scratch_scope(spark) as folder:
+        session.pin(spark.range(2))
+        raise RuntimeError("stop")
+    assert not paths.exists(spark, folder) and session.shared_folder(spark) == before
