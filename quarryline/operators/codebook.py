@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, fu
 
 from quarryline.functions.codes import LITERAL_MAP_LIMIT, recode_lenient
 from quarryline.functions.text import replace_first
-from quarryline.plans.sizing import BROADCAST_ROWS
+from quarryline.plans.sizing import LITERAL_BYTES, row_bytes, together_small
 from quarryline.session import pin
 from quarryline.sources.literal import literal_table
 
@@ -187,24 +187,36 @@ def lookup_entry(name: str, code: str, label: str, priority: int, order: str | N
 
 def resolve_lookups(rows: DataFrame) -> dict[str, DataFrame | dict[str, str]]:
     """Many lookups (rows of ``lookup_entry``) at once, each as a literal map if
-    short, else as a table, marked for broadcast if it proved small.
+    short, in rows and in bytes, else as a table; the smallest tables are marked for
+    broadcast, as many as are few bytes together.
 
     One job reads and de-duplicates them all into a pinned table.
     """
     usable = rows.na.drop(subset=["code", "label"])
     long = pin(usable.groupBy("map", "code").agg(F.max_by("label", F.struct("at", "label")).alias("label")))
-    sizes = {r["map"]: r["n"] for r in long.groupBy("map").agg(F.count(F.lit(1)).alias("n")).collect()}
-    short = [name for name, n in sizes.items() if n <= LITERAL_MAP_LIMIT]
+    sizes = _sizes(long, "map")
+    short = [name for name, size in sizes.items() if _literal(size)]
     out: dict[str, DataFrame | dict[str, str]] = {name: {} for name in short}
     for row in long.filter(F.col("map").isin(*short)).collect() if short else []:
         out[row["map"]][row["code"]] = row["label"]
-    for name, n in sizes.items():
-        if name not in out:
-            table = long.filter(F.col("map") == name).select("code", "label")
-            out[name] = F.broadcast(table) if n <= BROADCAST_ROWS else table
+    joined = {name: held for name, (_, held) in sizes.items() if name not in out}
+    sent = together_small(joined)
+    for name in joined:
+        table = long.filter(F.col("map") == name).select("code", "label")
+        out[name] = F.broadcast(table) if name in sent else table
     return out
 
 
+def _sizes(labels: DataFrame, name: str) -> dict[str, tuple[int, int]]:
+    """Rows and bytes of each lookup in a table of many: a row for each lookup."""
+    sizes = labels.groupBy(name).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(labels.select("code", "label"))).alias("held"))
+    return {r[name]: (r["n"], r["held"]) for r in sizes.collect()}
+
+
+def _literal(size: tuple[int, int]) -> bool:
+    return size[0] <= LITERAL_MAP_LIMIT and size[1] <= LITERAL_BYTES
+
+
 def unmapped_codes(df: DataFrame, column: str, lookup: DataFrame) -> DataFrame:
     """Distinct non-null codes the lookup does not hold."""
     codes = df.select(F.col(column).cast("string").alias("code")).na.drop()
@@ -258,9 +270,9 @@ class CodeBook:
         usable = book.filter(F.col("code").isNotNull() & F.col("label").isNotNull())
         self.book = usable.filter(F.col("code") != MISSING_CODE) if drop_missing_code else usable
         self._labels = pin(one_label(self.book, ["field", "code"], "at" if "at" in book.columns else None))
-        counts = self._labels.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each column
-        self.fields = {r.field for r in counts}
-        short = [r.field for r in counts if r.n <= LITERAL_MAP_LIMIT]
+        sizes = _sizes(self._labels, "field")
+        self.fields = set(sizes)
+        short = [field for field, size in sizes.items() if _literal(size)]
         self._maps: dict[str, dict[str, str]] = {}
         for row in self._labels.filter(F.col("field").isin(*short)).collect() if short else []:
             self._maps.setdefault(row.field, {})[row.code] = row.label

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quarryline.plans.sizing import small_side
+from quarryline.plans.sizing import BROADCAST_BYTES, small_side
 from quarryline.session import pin
 
 RING = "array<array<double>>"
@@ -46,8 +46,6 @@ def ring_edges(ring_table: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 # Share of a cell by which rounding may move an edge.
 ROUNDING = 1e-6
-# A boundary index of up to this many bytes is sent to every executor.
-BROADCAST_BYTES = 16_000_000
 
 
 def edge_cells(edges: DataFrame, boundary: str, cell: float) -> DataFrame:

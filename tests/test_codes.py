@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions import codes
 from quarryline.operators import codebook
+from quarryline.plans import sizing
 
 T = F.col("t")
 
@@ -126,3 +127,29 @@ def test_resolve_lookups(spark):
     found = codebook.resolve_lookups(rows)
     assert found["short"] == {"a": "A2"}
     assert found["its long"].count() == 200
+
+
+def test_wide_labels_are_neither_literals_nor_broadcast(spark):
+    rows = spark.range(20).selectExpr("CAST(id AS STRING) AS c", "repeat('x', 1000000) || id AS l")
+    few = spark.createDataFrame([("a", "A")], "c string, l string")
+    entries = rows.selectExpr(f"inline(array({codebook.lookup_entry('wide', 'c', 'l', 0)}))").union(
+        few.selectExpr(f"inline(array({codebook.lookup_entry('short', 'c', 'l', 0)}))")
+    )
+    found = codebook.resolve_lookups(entries)
+    assert found["short"] == {"a": "A"}
+    plan = found["wide"]._jdf.queryExecution().analyzed().toString()
+    assert found["wide"].count() == 20 and "ResolvedHint" not in plan
+    book = rows.selectExpr("'t' AS table", "'f' AS field", "c AS code", "l AS label")
+    wide = codebook.CodeBook(book)
+    assert wide.literal("f") is None and wide.fields == {"f"} and wide.lookup("f").count() == 20
+
+
+def test_sides_are_measured_in_bytes(spark):
+    df = spark.sql("SELECT 1L AS n, 'abc' AS `t.x`, array(1, 2) AS a UNION ALL SELECT null, null, null")
+    # Two rows of three columns, three bytes of text and the six of "[1, 2]".
+    assert df.agg(F.sum(sizing.row_bytes(df))).first()[0] == 2 * 48 + 3 + 6
+    marked = sizing.small_side(df)._jdf.queryExecution().analyzed().toString()
+    unmarked = sizing.small_side(df, 104)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in marked and "ResolvedHint" not in unmarked
+    assert sizing.together_small({"a": 5, "b": 3, "c": 9}, 8) == {"a", "b"}
+    assert sizing.together_small({"a": 9}, 8) == set()
